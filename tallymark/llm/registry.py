@@ -1,6 +1,6 @@
 """The queries of this subpackage, and their SQL where SQL can express them."""
 
-from . import decontamination, secrets, sentencepieces, token_files, url_reputation, warc
+from . import decontamination, near_duplicates, secrets, sentencepieces, token_files, url_reputation, warc
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op5_warc": warc.op5_warc,
         "op7_sentencepiece": sentencepieces.op7_sentencepiece,
         "op8_decontamination": decontamination.op8_decontamination,
+        "op9_near_duplicates": near_duplicates.op9_near_duplicates,
         "op10_token_files": token_files.op10_token_files,
     }
 
