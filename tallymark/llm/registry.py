@@ -1,6 +1,6 @@
 """The queries of this subpackage, and their SQL where SQL can express them."""
 
-from . import decontamination, near_duplicates, secrets, sentencepieces, token_files, url_reputation, warc
+from . import decontamination, near_duplicates, repeats, secrets, sentencepieces, token_files, url_reputation, warc
 
 
 def queries() -> dict:
@@ -8,6 +8,7 @@ def queries() -> dict:
         "op2_url_reputation": url_reputation.op2_url_reputation,
         "op3_secrets": secrets.op3_secrets,
         "op5_warc": warc.op5_warc,
+        "op6_repeats": repeats.op6_repeats,
         "op7_sentencepiece": sentencepieces.op7_sentencepiece,
         "op8_decontamination": decontamination.op8_decontamination,
         "op9_near_duplicates": near_duplicates.op9_near_duplicates,
