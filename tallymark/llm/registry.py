@@ -1,12 +1,14 @@
 """The queries of this subpackage, and their SQL where SQL can express them."""
 
-from . import decontamination, near_duplicates, repeats, secrets, sentencepieces, token_files, url_reputation, warc
+from . import decontamination, language_id, metric_tree, near_duplicates, repeats, secrets, sentencepieces, token_files, url_reputation, warc
 
 
 def queries() -> dict:
     return {
+        "op1_language_id": language_id.op1_language_id,
         "op2_url_reputation": url_reputation.op2_url_reputation,
         "op3_secrets": secrets.op3_secrets,
+        "op4_top_k": metric_tree.op4_top_k,
         "op5_warc": warc.op5_warc,
         "op6_repeats": repeats.op6_repeats,
         "op7_sentencepiece": sentencepieces.op7_sentencepiece,
@@ -17,4 +19,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return {"op2_url_reputation": url_reputation.OP2_SQL, "op5_warc": warc.OP5_SQL, "op8_decontamination": decontamination.OP8_SQL}
+    return {"op2_url_reputation": url_reputation.OP2_SQL, "op4_top_k": metric_tree.OP4_SQL, "op5_warc": warc.OP5_SQL, "op8_decontamination": decontamination.OP8_SQL}
