@@ -64,9 +64,9 @@ class Block:
     def __init__(self, data: np.ndarray, offsets: np.ndarray, doc_ids: list):
         self.data, self.offsets, self.doc_ids = data, offsets, doc_ids
         self.sums = shared.prefix_sums(data)
-        sizes = np.diff(offsets)
-        self.end = np.repeat(offsets[1:], sizes)  # by byte, of its text
-        self.start = np.repeat(offsets[:-1], sizes)
+        sizes, kind = np.diff(offsets), np.int32 if len(data) < 2**31 - 2**20 else np.int64
+        self.end = np.repeat(offsets[1:].astype(kind), sizes)  # by byte, of its text
+        self.start = np.repeat(offsets[:-1].astype(kind), sizes)
 
     @staticmethod
     def write(fs, path: str, parts: list[tuple[np.ndarray, np.ndarray, list]]) -> None:
@@ -93,7 +93,7 @@ class Block:
         in_cover = np.zeros(v, bool)
         in_cover[cover] = True
         width = length - v + 1
-        place = np.arange(len(self.data))
+        place = np.arange(len(self.data), dtype=self.start.dtype)
         return place[in_cover[(place - self.start) % v] & (place + width <= self.end) & (self.end - self.start >= length)]
 
     def names(self, places: np.ndarray, width: int) -> np.ndarray:
@@ -172,7 +172,7 @@ def _repeated(names: np.ndarray, answers: list) -> np.ndarray:
     return is_in(names, every[np.concatenate(bits).astype(bool)]) if bits else np.zeros(len(names), bool)
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, block_bytes: int = 8 << 20, text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 400, block_bytes: int = 4 << 20, text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row; with text, kept (binary) too.
 
     A byte is removed if a string of length bytes that also starts elsewhere covers it.
@@ -236,7 +236,8 @@ def remove_repeats(docs: DataFrame, length: int = 400, block_bytes: int = 8 << 2
         empty = pa.schema([("uid", pa.string()), ("bucket", pa.int32()), ("n", pa.int32()), ("names", pa.binary()), ("twice", pa.binary())])
         return pa.Table.from_batches(sent, empty)
 
-    second = shared.materialise(_answers(first.groupBy("uid").applyInArrow(second_level, NAMES), 2), "answers")
+    # a number of partitions of its own, as little shuffled data stands for much work
+    second = shared.materialise(_answers(first.repartition(tasks, "uid").groupBy("uid").applyInArrow(second_level, NAMES), 2), "answers")
 
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * text
     kinds = [pa.int64()] * 4 + [pa.string()] + [pa.binary()] * text
@@ -257,7 +258,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, block_bytes: int = 8 << 2
     marks = blocks.select("uid", F.lit(0).alias("level"), F.lit(0).alias("bucket"), F.lit(0).alias("n"), F.lit(None).cast("binary").alias("repeated"))
     every = marks.unionByName(first).unionByName(second)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * text
-    return every.groupBy("uid").applyInArrow(finish, schema)
+    return every.repartition(tasks, "uid").groupBy("uid").applyInArrow(finish, schema)
 
 
 def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
