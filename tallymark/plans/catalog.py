@@ -1,11 +1,392 @@
-"""Queries of the linkage engine and their SQL."""
+"""Queries of the linkage engine, each over its whole tables, and the equivalent SQL."""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import similarity as S
+from ..functions import text as T
+from ..operators import blocking, features, labels, metrics, model, outputs, profile
+from ..sources import tables
+from . import sql
+
+QUERIES, SQL = {}, {}
+THRESHOLD = 0.7
+
+
+def query(name: str, oracle: str | None = None):
+    def keep(f):
+        QUERIES[name] = f
+        if oracle:
+            SQL[name] = oracle
+        return f
+
+    return keep
+
+
+def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The entity view, prepared; its text is ASCII."""
+    return tables.prepared(tables.entities(spark, sf_dir), fold=False)
+
+
+def sides(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    every = records(spark, sf_dir)
+    return every.filter("src = 'S1'"), every.filter("src <> 'S1'")
+
+
+def links(spark, sf_dir) -> DataFrame:
+    return labels.links_of(truth(spark, sf_dir))
+
+
+def truth(spark, sf_dir) -> DataFrame:
+    return labels.parse_truth(tables.truth_of(tables.entities(spark, sf_dir)))
+
+
+def found(spark, sf_dir) -> DataFrame:
+    return blocking.candidates(*sides(spark, sf_dir))
+
+
+def scored(spark, sf_dir) -> DataFrame:
+    s1, pool = sides(spark, sf_dir)
+    pairs = features.attach(blocking.candidates(s1, pool), s1, pool)
+    return model.linear_score(pairs.select("s1", "cand", *[c.alias(n) for n, c in features.native_features().items()]))
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    return df.select(*[F.round(c, 9).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
+@query("normalize_text", f"WITH {sql.NORM} SELECT entity_id, name, address, country_norm FROM norm")
+def _(spark, d):
+    return records(spark, d).select("entity_id", "name", "address", "country_norm")
+
+
+@query("extract_fields", f"WITH {sql.NORM} SELECT entity_id, postal, house, array_to_string(numbers, ',') AS numbers FROM norm")
+def _(spark, d):
+    return records(spark, d).select("entity_id", "postal", "house", F.array_join("numbers", ",").alias("numbers"))
+
+
+@query("tokens_and_ngrams", f"WITH {sql.NORM} SELECT entity_id, len(tk) AS n_tokens, array_to_string(list_sort({sql.GRAMS}), '|') AS grams FROM norm")
+def _(spark, d):
+    return records(spark, d).select("entity_id", F.size(T.tokenize(F.col("name"))).cast("long").alias("n_tokens"), F.array_join(F.array_sort(T.char_ngrams(F.col("name"))), "|").alias("grams"))
+
+
+@query("text_flags", rf"WITH {sql.ENT} SELECT entity_id, length(business_name) AS chars, regexp_matches(business_name, '[^\w\s]') AS punctuation, regexp_matches(lower(business_name), '\bltd\b') AS ltd, business_address = '' AS no_address FROM ent")
+def _(spark, d):
+    name = F.col("business_name")
+    return tables.entities(spark, d).select("entity_id", F.length(name).cast("long").alias("chars"), name.rlike(r"[^\w\s]").alias("punctuation"), F.lower(name).rlike(r"\bltd\b").alias("ltd"), (F.col("business_address") == "").alias("no_address"))
+
+
+def _block(rule):
+    @query(f"block_{rule}", f"WITH {sql.keys((rule,))} SELECT entity_id, rule, key FROM keys")
+    def _(spark, d):
+        return blocking.block_keys(records(spark, d), (rule,))
+
+
+for _rule in sql.KEYS:
+    _block(_rule)
+
+
+@query("block_prune", f"WITH {sql.pairs()} SELECT rule, key, entity_id FROM pool_keys")
+def _(spark, d):
+    return blocking.prune(blocking.block_keys(sides(spark, d)[1]))
+
+
+@query("block_index", f"WITH {sql.keys()} SELECT rule, key, count(DISTINCT entity_id) AS ids FROM keys WHERE src <> 'S1' GROUP BY ALL")
+def _(spark, d):
+    return blocking.block_keys(sides(spark, d)[1]).distinct().groupBy("rule", "key").agg(F.count(F.lit(1)).alias("ids"))
+
+
+@query("candidates_union", f"WITH {sql.pairs()} SELECT s1, cand, hits, rules FROM pairs")
+def _(spark, d):
+    return blocking.pairs(*sides(spark, d)).withColumn("rules", F.array_join("rules", ","))
+
+
+_GRAM_RULES = ("char_ngram", "name_token_postal")
+
+
+@query("candidates_char_ngram", f"WITH {sql.pairs(_GRAM_RULES)} SELECT s1, cand, hits, rules FROM pairs")
+def _(spark, d):
+    return blocking.pairs(*sides(spark, d), _GRAM_RULES).withColumn("rules", F.array_join("rules", ","))
+
+
+@query("candidates_topk", f"WITH {sql.ranked()} SELECT s1, cand, source, hits, rules, round(score, 9) AS score, rn::INTEGER AS rn FROM cands")
+def _(spark, d):
+    return _rounded(found(spark, d).withColumn("rules", F.array_join("rules", ",")))
+
+
+@query("candidate_stats", f"""WITH {sql.ranked()}, per AS (SELECT count(*) AS n FROM cands GROUP BY s1), c AS (SELECT count(*) FILTER (src = 'S1') * count(*) FILTER (src <> 'S1') AS possible FROM ent)
+SELECT any_value(possible) AS possible, sum(n)::BIGINT AS pairs, round(1 - sum(n) / any_value(possible), 9) AS reduction_ratio, round(avg(n), 9) AS avg_per_s1, max(n) AS max_per_s1 FROM per, c""")
+def _(spark, d):
+    s1, pool = sides(spark, d)
+    return _rounded(blocking.candidate_stats(found(spark, d), s1.count(), pool.count()))
+
+
+@query("candidate_recall", f"""WITH {sql.ranked()}, {sql.LINKS}, per AS (SELECT l.s1, count(*) AS n, count(c.cand) AS k FROM links l LEFT JOIN cands c USING (s1, cand) GROUP BY 1)
+SELECT sum(n)::BIGINT AS links, sum(k)::BIGINT AS covered, round(sum(k) / sum(n), 9) AS recall, count(*) AS entities, count(*) FILTER (k = n) AS all_covered, count(*) FILTER (k > 0) AS any_covered, 'OK' AS status FROM per""")
+def _(spark, d):
+    return _rounded(blocking.candidate_recall(found(spark, d), links(spark, d)))
+
+
+@query("cap_sweep", f"""WITH {sql.ranked()}, {sql.LINKS}, ks AS (SELECT unnest([25, 50, 75, 100, 150])::INTEGER AS k)
+SELECT k, count(*) FILTER (rn <= k) AS pairs, count(l.cand) FILTER (rn <= k) AS found, count(l.cand) FILTER (rn > k) AS lost FROM ranked r LEFT JOIN links l USING (s1, cand), ks GROUP BY k""")
+def _(spark, d):
+    s1, pool = sides(spark, d)
+    return blocking.cap_sweep(blocking.ranked(blocking.pairs(s1, pool), s1, pool), links(spark, d))
+
+
+_NATIVE = ["name_exact", "name_jaccard", "name_char_sim", "name_length_diff", "name_common_tokens", "name_token_count_diff", "address_exact", "address_jaccard", "address_char_sim", "address_length_diff", "address_common_tokens", "address_numeric_overlap", "postal_code_match", "house_number_match", "country_exact", "source_is_s2", "source_is_s3"]
+
+
+@query("features_native", f"WITH {sql.SCORED} SELECT s1, cand, {', '.join(f'round({c}::DOUBLE, 9) AS {c}' for c in _NATIVE)} FROM feats")
+def _(spark, d):
+    return _rounded(scored(spark, d).select("s1", "cand", *[F.col(c).cast("double").alias(c) for c in _NATIVE]))
+
+
+@query("features_fuzzy")
+def _(spark, d):
+    s1, pool = sides(spark, d)
+    return features.attach(blocking.candidates(s1, pool), s1, pool).select("s1", "cand", *[c.alias(n) for n, c in features.fuzzy_features().items()])
+
+
+@query("features_all")
+def _(spark, d):
+    s1, pool = sides(spark, d)
+    return features.feature_matrix(blocking.candidates(s1, pool), s1, pool, {v: _vocabulary(spark, d, *v.split("_tfidf_")) for v in ("name_tfidf_word", "name_tfidf_char", "address_tfidf_word", "address_tfidf_char")})
+
+
+def _vocabulary(spark, d, field, analyzer):
+    return features.fit_tfidf(records(spark, d).select(F.col("entity_id").alias("id"), field), field, analyzer)
+
+
+def _tfidf_sql(field: str, analyzer: str) -> str:
+    if analyzer == "word":
+        words = rf"regexp_extract_all({field}, '\w\w+')"
+        made = f"SELECT entity_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS term FROM (SELECT entity_id, {words} AS w FROM norm)"
+    else:
+        grams = ", ".join(f"CASE WHEN length(p) >= {n} THEN list_transform(range(1, length(p) - {n - 2}), lambda i: substr(p, i, {n})) ELSE [] END" for n in (2, 3, 4))
+        made = f"SELECT entity_id, unnest(flatten([{grams}])) AS term FROM (SELECT entity_id, ' ' || unnest(list_filter(string_split({field}, ' '), lambda w: w <> '')) || ' ' AS p FROM norm)"
+    return f"""WITH {sql.ranked()}, made AS ({made}), tf AS (SELECT entity_id, term, count(*) AS tf FROM made GROUP BY ALL),
+vocab AS (SELECT term, ln((1 + (SELECT count(*) FROM norm)) / (1 + count(*))) + 1 AS idf FROM tf GROUP BY term ORDER BY sum(tf) DESC, term LIMIT 10000),
+x AS (SELECT entity_id, term, (1 + ln(tf)) * idf AS x FROM tf JOIN vocab USING (term)), w AS (SELECT entity_id, term, x / sqrt(sum(x * x) OVER (PARTITION BY entity_id)) AS w FROM x),
+dots AS (SELECT s1, cand, sum(a.w * b.w) AS dot FROM cands JOIN w a ON a.entity_id = s1 JOIN w b ON b.entity_id = cand AND a.term = b.term GROUP BY ALL)
+SELECT s1, cand, round(least(1.0, greatest(0.0, coalesce(dot, 0.0))), 6) AS cosine FROM cands LEFT JOIN dots USING (s1, cand)"""
+
+
+def _tfidf(field, analyzer):
+    @query(f"tfidf_{field}_{analyzer}", _tfidf_sql(field, analyzer))
+    def _(spark, d):
+        s1, pool = sides(spark, d)
+        out = features.cosine(blocking.candidates(s1, pool), s1, pool, field, analyzer, _vocabulary(spark, d, field, analyzer))
+        return out.withColumn("cosine", F.round("cosine", 6))
+
+
+for _field in ("name", "address"):
+    for _analyzer in ("word", "char"):
+        _tfidf(_field, _analyzer)
+
+
+@query("truth_parse", f"WITH {sql.ENT}, {sql.LINKS} SELECT e.entity_id AS s1, coalesce(string_agg(cand, ',' ORDER BY cand), '') AS ids FROM ent e LEFT JOIN links l ON l.s1 = e.entity_id WHERE src = 'S1' GROUP BY 1")
+def _(spark, d):
+    return truth(spark, d).withColumn("ids", F.array_join("ids", ","))
+
+
+@query("truth_profile", f"""WITH {sql.ENT}, {sql.LINKS}, r AS (SELECT e.entity_id, count(cand) AS n, count(*) FILTER (cand LIKE 'S2%') AS n2, count(*) FILTER (cand LIKE 'S3%') AS n3 FROM ent e LEFT JOIN links l ON l.s1 = e.entity_id WHERE src = 'S1' GROUP BY 1)
+SELECT count(*) AS entities, sum(n)::BIGINT AS links, sum(n2)::BIGINT AS links_s2, sum(n3)::BIGINT AS links_s3, count(*) FILTER (n2 > 0 AND n3 = 0) AS only_s2, count(*) FILTER (n3 > 0 AND n2 = 0) AS only_s3,
+count(*) FILTER (n2 > 0 AND n3 > 0) AS both, count(*) FILTER (n = 0) AS none, count(*) FILTER (n = 1) AS one, count(*) FILTER (n > 1) AS many, round(avg(n), 3) AS mean, round(stddev_samp(n), 3) AS std, min(n)::DOUBLE AS least, quantile_cont(n, 0.5)::DOUBLE AS median, max(n)::DOUBLE AS most FROM r""")
+def _(spark, d):
+    out = profile.truth_profile(truth(spark, d))
+    kept = ["entities", "links", "links_s2", "links_s3", "only_s2", "only_s3", "both", "none", "one", "many"]
+    return out.select(*kept, F.round("links_mean", 3).alias("mean"), F.round("links_std", 3).alias("std"), F.col("links_min").alias("least"), F.col("links_median").alias("median"), F.col("links_max").alias("most"))
+
+
+def _labelled(spark, d):
+    return labels.label(found(spark, d), links(spark, d))
+
+
+_LAB = f"{sql.ranked()}, {sql.LINKS}, lab AS (SELECT c.*, (l.cand IS NOT NULL)::INTEGER AS label FROM cands c LEFT JOIN links l USING (s1, cand))"
+
+
+@query("label_pairs", f"WITH {_LAB} SELECT s1, cand, label FROM lab")
+def _(spark, d):
+    return _labelled(spark, d).select("s1", "cand", "label")
+
+
+@query("prefilter_negatives", f"WITH {_LAB} SELECT s1, cand, label FROM lab QUALIFY label = 1 OR row_number() OVER (PARTITION BY s1, label ORDER BY len(string_split(rules, ',')) DESC, cand) <= 20")
+def _(spark, d):
+    return labels.prefilter(_labelled(spark, d)).select("s1", "cand", "label")
+
+
+@query("downsample_negatives")
+def _(spark, d):
+    return labels.downsample(_labelled(spark, d).withColumn("hard", F.size("rules") > 1), 2).select("s1", "cand", "label")
+
+
+@query("split_entities")
+def _(spark, d):
+    return labels.split_entities(truth(spark, d))
+
+
+@query("sample_exact")
+def _(spark, d):
+    return labels.sample_exact(tables.entities(spark, d), 100).select("entity_id")
+
+
+@query("linear_score", f"WITH {sql.SCORED} SELECT s1, cand, probability FROM linear")
+def _(spark, d):
+    return scored(spark, d).select("s1", "cand", "probability")
+
+
+def _accepted(spark, d):
+    return outputs.accept(scored(spark, d), THRESHOLD)
+
+
+def _predicted(spark, d):
+    return outputs.grouped(sides(spark, d)[0], _accepted(spark, d))
+
+
+@query("entity_scores", f"WITH {sql.SCORED}, {sql.entity(str(THRESHOLD))} SELECT s1, n_true, n_pred, tp, round(precision, 9) AS precision, round(recall, 9) AS recall, round(f05, 9) AS f05 FROM es")
+def _(spark, d):
+    out = metrics.entity_scores(truth(spark, d), _predicted(spark, d)).drop("fp", "fn")
+    return _rounded(out.withColumns({c: F.col(c).cast("long") for c in ("n_true", "n_pred", "tp")}))
+
+
+_MACRO9 = "SELECT {t}n, round(macro_f05, 9) AS macro_f05, round(macro_precision, 9) AS macro_precision, round(macro_recall, 9) AS macro_recall, round(singleton_accuracy, 9) AS singleton_accuracy, round(pair_precision, 9) AS pair_precision, round(pair_recall, 9) AS pair_recall, predicted_links, predicted_singletons FROM m"
+
+
+@query("macro_scores", f"WITH {sql.SCORED}, {sql.entity(str(THRESHOLD))}, m AS (SELECT {sql.MACRO} FROM es) {_MACRO9.format(t='')}")
+def _(spark, d):
+    return _rounded(metrics.macro_scores(truth(spark, d), _predicted(spark, d)))
+
+
+_SWEEP = f"""{sql.SCORED}, ts AS (SELECT unnest([{', '.join(map(str, metrics.THRESHOLDS))}])::DOUBLE AS t), tn AS (SELECT e.entity_id AS s1, count(l.cand) AS n_true FROM ent e LEFT JOIN links l ON l.s1 = e.entity_id WHERE src = 'S1' GROUP BY 1),
+acc AS (SELECT t, s1, count(*) AS n_pred, count(l.cand) AS tp FROM linear JOIN ts ON probability >= t LEFT JOIN links l USING (s1, cand) GROUP BY ALL),
+ev AS (SELECT t, s1, n_true, coalesce(n_pred, 0) AS n_pred, coalesce(tp, 0) AS tp FROM tn CROSS JOIN ts LEFT JOIN acc USING (t, s1)),
+es AS (SELECT *, {sql.scores('n_true', 'n_pred', 'tp')} FROM ev), m AS (SELECT t, {sql.MACRO} FROM es GROUP BY t)"""
+
+
+@query("threshold_sweep", f"WITH {_SWEEP} {_MACRO9.format(t='t, ')}")
+def _(spark, d):
+    return _rounded(metrics.sweep(scored(spark, d), truth(spark, d)))
+
+
+@query("best_threshold", f"WITH {_SWEEP} SELECT t, round(macro_f05, 9) AS macro_f05 FROM m ORDER BY m.macro_f05 DESC, t LIMIT 1")
+def _(spark, d):
+    return _rounded(metrics.best_threshold(metrics.sweep(scored(spark, d), truth(spark, d))))
+
+
+@query("postprocess_guards", f"WITH {sql.SCORED} SELECT s1, cand, probability FROM linear WHERE probability >= {THRESHOLD} AND country_exact = 1")
+def _(spark, d):
+    return outputs.accept(scored(spark, d), THRESHOLD, require_country=True).select("s1", "cand", "probability")
+
+
+def _listed(which: str, column: str) -> str:
+    return f"WITH {sql.SCORED} SELECT e.entity_id AS source1_entity_id, coalesce(string_agg(cand, ',' ORDER BY cand), '') AS {column} FROM ent e LEFT JOIN ({which}) x ON x.s1 = e.entity_id WHERE src = 'S1' GROUP BY 1"
+
+
+@query("matching_output", _listed(f"SELECT s1, cand FROM linear WHERE probability >= {THRESHOLD}", "matched_entity_ids"))
+def _(spark, d):
+    return outputs.matching_table(sides(spark, d)[0], _accepted(spark, d), found(spark, d))
+
+
+@query("candidate_output", _listed("SELECT s1, cand FROM cands", "candidate_entity_ids"))
+def _(spark, d):
+    return outputs.candidate_table(sides(spark, d)[0], found(spark, d))
+
+
+@query("validate_outputs", f"""WITH {sql.SCORED} SELECT 'matching: unknown id' AS "check", s1, cand AS detail FROM linear WHERE probability >= {THRESHOLD} AND cand LIKE 'S2%'
+UNION ALL SELECT 'candidate: unknown id', s1, cand FROM cands WHERE cand LIKE 'S2%'""")
+def _(spark, d):
+    """The real outputs against a pool that lacks source 2: its ids alone are unknown."""
+    s1, pool = sides(spark, d)
+    c = found(spark, d)
+    return outputs.violations(outputs.matching_table(s1, _accepted(spark, d), c), outputs.candidate_table(s1, c), s1, pool.filter("src = 'S3'"))
+
+
+@query("missing_profile", f"""WITH {sql.ENT}, l AS (UNPIVOT (SELECT src, entity_id, business_name, business_address, country FROM ent) ON entity_id, business_name, business_address, country INTO NAME "column" VALUE v)
+SELECT src, "column", count(*) FILTER (v = '') AS empty, count(*) FILTER (v <> '' AND trim(v) = '') AS blank, count(*) FILTER (lower(v) IN ('nan', 'null', 'none')) AS null_words, count(*) AS total FROM l GROUP BY ALL""")
+def _(spark, d):
+    return profile.missing_values(tables.entities(spark, d))
+
+
+@query("country_profile", f"WITH {sql.ENT}, c AS (SELECT src, lower(trim(country)) AS country, count(*) AS n FROM ent GROUP BY ALL) SELECT src, country, n, round(100.0::DOUBLE * n / sum(n) OVER (PARTITION BY src), 3) AS percent FROM c")
+def _(spark, d):
+    counts = profile.countries(tables.entities(spark, d)).drop("percent")
+    from pyspark.sql import Window
+
+    return counts.withColumn("percent", F.round(100.0 * F.col("n") / F.sum("n").over(Window.partitionBy("src")), 3))
+
+
+@query("name_profile", f"WITH {sql.ENT} SELECT src, count(DISTINCT business_name) AS unique_raw, count(DISTINCT lower(business_name)) AS unique_lower, min(length(business_name))::DOUBLE AS chars_min, quantile_cont(length(business_name), 0.5)::DOUBLE AS chars_median, max(length(business_name))::DOUBLE AS chars_max FROM ent GROUP BY 1")
+def _(spark, d):
+    return profile.names(tables.entities(spark, d)).select("src", "unique_raw", "unique_lower", "chars_min", "chars_median", "chars_max")
+
+
+@query("address_profile", f"WITH {sql.ENT} SELECT src, count(*) FILTER (business_address = '') AS empty, min(length(business_address)) FILTER (business_address <> '')::DOUBLE AS chars_min, quantile_cont(length(business_address), 0.5) FILTER (business_address <> '')::DOUBLE AS chars_median, max(length(business_address))::DOUBLE AS chars_max FROM ent GROUP BY 1")
+def _(spark, d):
+    return profile.addresses(tables.entities(spark, d)).select("src", "empty", "chars_min", "chars_median", "chars_max")
+
+
+@query("true_pair_profile", f"WITH {sql.NORM}, {sql.LINKS} SELECT count(*) AS pairs, sum((a.name = b.name AND a.name <> '')::INTEGER)::BIGINT AS same_name, sum((a.country_norm = b.country_norm)::INTEGER)::BIGINT AS same_country FROM links JOIN norm a ON a.entity_id = s1 JOIN norm b ON b.entity_id = cand")
+def _(spark, d):
+    both = profile.true_pairs(links(spark, d), *sides(spark, d))
+    return both.agg(F.count(F.lit(1)).alias("pairs"), F.sum(S.both_equal(F.col("a_name"), F.col("b_name"))).alias("same_name"), F.sum((F.col("a_country_norm") == F.col("b_country_norm")).cast("int")).alias("same_country"))
+
+
+@query("error_fp", f"WITH {sql.SCORED} SELECT s1, cand, probability FROM linear ANTI JOIN links USING (s1, cand) WHERE probability >= {THRESHOLD}")
+def _(spark, d):
+    return metrics.false_positives(scored(spark, d), links(spark, d), THRESHOLD).select("s1", "cand", "probability")
+
+
+@query("error_fn", f"WITH {sql.SCORED} SELECT s1, cand, probability FROM linear SEMI JOIN links USING (s1, cand) WHERE probability < {THRESHOLD}")
+def _(spark, d):
+    return metrics.false_negatives(scored(spark, d), links(spark, d), THRESHOLD).select("s1", "cand", "probability")
+
+
+@query("blocking_misses", f"WITH {sql.ranked()}, {sql.LINKS} SELECT s1, cand FROM links ANTI JOIN cands USING (s1, cand)")
+def _(spark, d):
+    return metrics.blocking_misses(links(spark, d), found(spark, d))
+
+
+@query("probability_histogram", f"WITH {sql.SCORED}, z AS (SELECT least(floor(probability / 0.05::DOUBLE), 19)::INTEGER AS bin, (l.cand IS NOT NULL)::INTEGER AS label FROM linear LEFT JOIN links l USING (s1, cand)) SELECT bin, label, count(*) AS n FROM z GROUP BY ALL")
+def _(spark, d):
+    return metrics.histogram(labels.label(scored(spark, d), links(spark, d)), "probability", 0.0, 1.0, 20, "label")
+
+
+@query("semi_subset", f"WITH {sql.ENT}, {sql.LINKS} SELECT entity_id FROM ent WHERE src <> 'S1' AND entity_id IN (SELECT cand FROM links)")
+def _(spark, d):
+    return sides(spark, d)[1].join(links(spark, d).select(F.col("cand").alias("entity_id")), "entity_id", "left_semi").select("entity_id")
+
+
+@query("anti_complement", f"WITH {sql.ENT}, {sql.LINKS} SELECT entity_id FROM ent WHERE src <> 'S1' AND entity_id NOT IN (SELECT cand FROM links)")
+def _(spark, d):
+    return sides(spark, d)[1].join(links(spark, d).select(F.col("cand").alias("entity_id")), "entity_id", "left_anti").select("entity_id")
+
+
+@query("pool_union", f"WITH {sql.ENT} SELECT entity_id, src FROM ent WHERE src IN ('S2', 'S3')")
+def _(spark, d):
+    every = tables.entities(spark, d).select("entity_id", "src")
+    return every.filter("src = 'S2'").unionByName(every.filter("src = 'S3'"))
+
+
+@query("duplicate_ids", f"WITH {sql.ENT} SELECT truth_key, count(*) AS n FROM ent GROUP BY 1 HAVING count(*) > 1")
+def _(spark, d):
+    return tables.entities(spark, d).groupBy("truth_key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+
+
+@query("model_scores")
+def _(spark, d):
+    """A logistic model on native features, fitted to the training part and scored on the rest."""
+    parts = labels.split_entities(truth(spark, d))
+    rows = labels.label(scored(spark, d).drop("probability"), links(spark, d)).join(parts, "s1")
+    fitted = model.train(rows.filter("part = 'train'"), "logistic", _NATIVE, 20)
+    return model.predict(rows.filter("part = 'validation'"), fitted).select("s1", "cand", "label", "probability")
+
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict:
-    return {}
+    return dict(SQL)
