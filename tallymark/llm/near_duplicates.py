@@ -11,8 +11,9 @@ share a band of MinHash values are compared:
    classes of different components are compared if the triangle inequality of the Jaccard
    distance, through the bucket's least class, allows a link: by bins of the distance to it.
 
-With 32 bands of 4 values, a pair at a similarity of 0.85 shares no band with a probability
-of 5e-11. Links are exact. Null doc_ids take part; null and empty texts link with nothing.
+Bands have 8 values; there are as many that a pair at the threshold shares none with a chance
+of 1e-7 (51 for 0.85, 88 for 0.8). Sketches leave out linked pairs with less than that. Links
+are exact. Null doc_ids take part; null and empty texts link with nothing.
 Repeated rows of a doc_id are alike. Components are found by large-star and small-star
 steps over written tables, until nothing changes.
 """
@@ -28,11 +29,8 @@ from pyspark.sql import functions as F
 
 from . import shared
 
-BANDS, ROWS, SKETCH_BITS = 32, 4, 512
-HASHES = BANDS * ROWS
-_rng = np.random.default_rng(977)
-MULTIPLIERS = _rng.integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-ADDENDS = _rng.integers(1, 2**63, HASHES, dtype=np.uint64)
+#: MinHash values of a band, bits of a sketch, and the chance that linked sets share no band.
+ROWS, SKETCH_BITS, MISS = 8, 1024, 1e-7
 _P, _Q = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -74,24 +72,38 @@ def shingle_sets(column: pa.Array, width: int) -> list[np.ndarray]:
     return out
 
 
-def signature(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def band_count(percent: int) -> int:
+    """Bands with which sets at the threshold share none with a chance of MISS."""
+    return int(np.ceil(np.log(MISS) / np.log(1 - (percent / 100) ** ROWS)))
+
+
+def permutations(bands: int) -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(977)
+    odd = rng.integers(0, 2**31, bands * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+    return odd[:, None], rng.integers(0, 2**32, bands * ROWS, dtype=np.uint32)[:, None]
+
+
+def signature(codes: np.ndarray, odd: np.ndarray, add: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Band keys, and the odd sketch as 64-bit words, of a set that isn't empty."""
-    low = np.full(HASHES, np.uint64(2**64 - 1))
-    for at in range(0, len(codes), 4096):
-        part = codes[None, at : at + 4096] * MULTIPLIERS[:, None] + ADDENDS[:, None]
-        low = np.minimum(low, part.min(axis=1))
-    keys = np.zeros(BANDS, np.uint64)
+    low = np.full(len(odd), np.uint32(2**32 - 1))
+    short = (codes >> np.uint64(32)).astype(np.uint32)
+    for at in range(0, len(short), 512):
+        part = short[None, at : at + 512] * odd
+        part += add
+        np.minimum(low, part.min(axis=1), out=low)
+    wide = low.astype(np.uint64)
+    keys = np.zeros(len(odd) // ROWS, np.uint64)
     for k in range(ROWS):
-        keys = shared.mix(keys * _P + low[k::ROWS] + _Q)
-    places = shared.mix(low + np.arange(HASHES, dtype=np.uint64) * _Q) % np.uint64(SKETCH_BITS)
+        keys = shared.mix(keys * _P + wide[k::ROWS] + _Q)
+    places = shared.mix(wide + np.arange(len(odd), dtype=np.uint64) * _Q) % np.uint64(SKETCH_BITS)
     bits = (np.bincount(places.astype(np.int64), minlength=SKETCH_BITS) & 1).astype(np.uint8)
     return keys.view(np.int64), np.packbits(bits).view(np.int64)
 
 
-def most_ones(similarity: float, sigmas: float = 6.0) -> int:
+def most_ones(similarity: float, hashes: int, sigmas: float = 6.0) -> int:
     """XOR ones that sketches of sets at a similarity exceed with negligible probability."""
-    differ = HASHES * (1 - similarity) + sigmas * np.sqrt(HASHES * similarity * (1 - similarity))
-    odd = (1 - (1 - 2 / SKETCH_BITS) ** (2 * min(differ, HASHES))) / 2
+    differ = hashes * (1 - similarity) + sigmas * np.sqrt(hashes * similarity * (1 - similarity))
+    odd = (1 - (1 - 2 / SKETCH_BITS) ** (2 * min(differ, hashes))) / 2
     return int(np.ceil(SKETCH_BITS * odd + 4 * np.sqrt(SKETCH_BITS * odd * (1 - odd))))
 
 
@@ -99,15 +111,17 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return shared.with_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
 
 
-def signatures(docs: DataFrame, width: int) -> DataFrame:
+def signatures(docs: DataFrame, width: int, bands: int) -> DataFrame:
     """doc_id, text_key, n_shingles, node (the set's digest; null if empty), bands, sketch."""
 
+    odd, add = permutations(bands)
+
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 sets = shingle_sets(part.column(2), width)
-                signed = [signature(s) if len(s) else (None, None) for s in sets]
+                signed = [signature(s, odd, add) if len(s) else (None, None) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0), part.column(1), pa.array([len(s) for s in sets], pa.int64()),
@@ -189,8 +203,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     Documents are linked if 100 * intersection >= percent * union. percent should be 80 or
     more: the bands are set for that. component_id is the smallest doc_id that is reachable.
     """
-    far = 1 - percent / 100
-    signed = shared.materialise(signatures(docs, width), "signatures")
+    far, bands = 1 - percent / 100, band_count(percent)
+    hashes = bands * ROWS
+    signed = shared.materialise(signatures(docs, width, bands), "signatures")
     classes = signed.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "text_key")).alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     classes = shared.materialise(classes, "classes")
     banded = classes.select("node", F.posexplode("bands").alias("band", "key"))
@@ -200,14 +215,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     sets = shared.materialise(full_sets(docs, wanted, width), "sets")
     sketches = classes.select("node", "sketch")
 
-    def sketched(pairs, similarity):
-        pairs = pairs.join(sketches.select(F.col("node").alias("a"), F.col("sketch").alias("sa")), "a").join(sketches.select(F.col("node").alias("b"), F.col("sketch").alias("sb")), "b")
-        return pairs.filter(_ones(F.col("sa"), F.col("sb")) <= most_ones(similarity)).select("a", "b")
+    def alike(a, b, similarity):
+        return _ones(a, b) <= most_ones(similarity, hashes)
 
     linked = F.col("shared") * 100 >= F.col("total") * percent
     # pairs that a sketch puts beyond twice the distance of a link are far from the leader without a closer look
     stars = members.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    measured = shared.materialise(verify(sketched(stars, 1 - 2 * far), sets), "measured")
+    close = stars.join(sketches.select(F.col("node").alias("a"), F.col("sketch").alias("sa")), "a").join(sketches.select(F.col("node").alias("b"), F.col("sketch").alias("sb")), "b").filter(alike(F.col("sa"), F.col("sb"), 1 - 2 * far))
+    measured = shared.materialise(verify(close.select("a", "b"), sets), "measured")
     links = measured.filter(linked).select("a", "b")
     comps = components(links)
 
@@ -218,10 +233,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     # bins as wide as a link's distance: linked classes lie in the same or in neighbouring ones; beyond the second all are one
     bin_ = F.when(F.col("node") == F.col("leader"), 0).otherwise(F.least(F.lit(2), F.floor(F.coalesce("d", F.lit(1.0)) / F.lit(far + 1e-9)))).cast("int")
     placed = open_.join(mixed, ["band", "key"], "left_semi").join(distance, ["leader", "node"], "left").filter("node <> leader").select("band", "key", "node", "comp", bin_.alias("bin"))
+    placed = placed.join(sketches, "node")
     probes = placed.withColumn("bin", F.explode(F.array(F.col("bin"), F.col("bin") + 1)))
-    other = placed.select("band", "key", "bin", F.col("node").alias("b"), F.col("comp").alias("comp_b"))
-    cross = probes.join(other, ["band", "key", "bin"]).filter((F.col("comp") != F.col("comp_b"))).select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
-    more = shared.materialise(verify(sketched(cross, percent / 100), sets).filter(linked).select("a", "b"), "more")
+    other = placed.select("band", "key", "bin", F.col("node").alias("b"), F.col("comp").alias("comp_b"), F.col("sketch").alias("sketch_b"))
+    # the sketches are compared within the join, which so gives only pairs that may be linked
+    met = (F.col("comp") != F.col("comp_b")) & alike(F.col("sketch"), F.col("sketch_b"), percent / 100)
+    cross = probes.join(other, ["band", "key", "bin"]).filter(met).select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
+    more = shared.materialise(verify(cross, sets).filter(linked).select("a", "b"), "more")
     if not more.isEmpty():
         comps = components(links.unionByName(more))
 
