@@ -15,9 +15,12 @@ manifest lists those of attempts that ended well. Null and empty texts give the
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
+from array import array
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -132,6 +135,23 @@ class Shard:
             start = end
 
 
+#: A full stop or comma alone after a letter: the vocabulary's splits fall there anyway.
+STOP = re.compile(rb"(?<=[a-z])([.,])(?=[ \t\r\n]|$)")
+
+
+def chunks_of(text: str) -> list[bytes]:
+    """White-space separated chunks, lower-cased and without a last stop, as the vocabulary has it.
+
+    Texts that may hold special tokens, which are matched before that, are cut only.
+    """
+    raw = text.encode()
+    return raw.split() if b"<|" in raw else STOP.sub(rb" \1", raw.lower()).split()
+
+
+def packed(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()
+
+
 class ChunkMemo(dict):
     """Ids, as bytes, of white-space separated chunks. The vocabulary's splits never cross white space."""
 
@@ -141,22 +161,26 @@ class ChunkMemo(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
 
-    def learn(self, chunks: list[bytes]) -> None:
-        if len(self) + len(chunks) > MEMO_CHUNKS:
+    def _new(self, chunks: list[bytes]) -> dict[bytes, bytes]:
+        """Encodings of chunks; those that aren't long are kept, and a full memo starts anew."""
+        out = dict(zip(chunks, (packed(e.ids) for e in self.tokenizer.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False))))
+        if len(self) + len(out) > MEMO_CHUNKS:
             self.clear()
-        for at in range(0, len(chunks), 4096):
-            part = chunks[at : at + 4096]
-            for c, e in zip(part, self.tokenizer.encode_batch_fast([c.decode() for c in part], add_special_tokens=False)):
-                self[c] = np.array(e.ids, "<u4").tobytes()
+        self.update((c, ids) for c, ids in out.items() if len(c) <= MEMO_BYTES)
+        return out
 
     def encode(self, texts: list[str], end: bytes) -> list[bytes]:
-        split = [t.encode().split() for t in texts]
-        every = set().union(*split)
-        self.learn([c for c in every.difference(self) if len(c) <= MEMO_BYTES])
-        rest = list(every.difference(self))  # long chunks, and those that a full memo has just lost
-        aside = dict(zip(rest, (np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast([c.decode() for c in rest], add_special_tokens=False)))) if rest else {}
-        get = self.__getitem__ if not aside else lambda c: aside[c] if c in aside else self[c]
-        return [b"".join([*map(get, s), end]) for s in split]
+        split = [chunks_of(t) for t in texts]
+        flat = list(chain.from_iterable(split))
+        ids = list(map(self.get, flat))
+        if None in ids:
+            new = self._new(list({c for c, x in zip(flat, ids) if x is None}))
+            ids = [new[c] if x is None else x for c, x in zip(flat, ids)]
+        out, at = [], 0
+        for s in split:
+            out.append(b"".join([*ids[at : at + len(s)], end]))
+            at += len(s)
+        return out
 
 
 _memos: dict[str, ChunkMemo] = {}
