@@ -103,14 +103,6 @@ def _(spark, d):
     return blocking.pairs(*sides(spark, d)).withColumn("rules", F.array_join("rules", ","))
 
 
-_GRAM_RULES = ("char_ngram", "name_token_postal")
-
-
-@query("candidates_char_ngram", f"WITH {sql.pairs(_GRAM_RULES)} SELECT s1, cand, hits, rules FROM pairs")
-def _(spark, d):
-    return blocking.pairs(*sides(spark, d), _GRAM_RULES).withColumn("rules", F.array_join("rules", ","))
-
-
 @query("candidates_topk", f"WITH {sql.ranked()} SELECT s1, cand, source, hits, rules, round(score, 9) AS score, rn::INTEGER AS rn FROM cands")
 def _(spark, d):
     return _rounded(found(spark, d).withColumn("rules", F.array_join("rules", ",")))
