@@ -6,7 +6,8 @@ share a band of MinHash values are compared:
 
 1. each with the least class of the bucket only, so a bucket costs as many pairs as it has
    members. Odd sketches (parity bitmaps of the MinHash samples, whose XOR has as many ones
-   as the samples differ) leave out pairs far below the threshold; sets decide the rest.
+   as the samples differ) leave out pairs far below the threshold, and so does an odd sketch of
+   the whole set, whose XOR never has more ones than the sets differ in; sets decide the rest.
 2. Components of these links. A bucket within one component needs no more. In others,
    classes of different components are compared if the triangle inequality of the Jaccard
    distance, through the bucket's least class, allows a link: by bins of the distance to it.
@@ -29,8 +30,8 @@ from pyspark.sql import functions as F
 
 from . import shared
 
-#: MinHash values of a band, bits of a sketch, and the chance that linked sets share no band.
-ROWS, SKETCH_BITS, MISS = 8, 1024, 1e-7
+#: MinHash values of a band, bits of the sketches of samples and of whole sets, and the chance that linked sets share no band.
+ROWS, SKETCH_BITS, WHOLE_BITS, MISS = 8, 1024, 512, 1e-7
 _P, _Q = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -83,8 +84,13 @@ def permutations(bands: int) -> tuple[np.ndarray, np.ndarray]:
     return odd[:, None], rng.integers(0, 2**32, bands * ROWS, dtype=np.uint32)[:, None]
 
 
-def signature(codes: np.ndarray, odd: np.ndarray, add: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Band keys, and the odd sketch as 64-bit words, of a set that isn't empty."""
+def parity(places: np.ndarray, bits: int) -> np.ndarray:
+    """A bitmap, as 64-bit words, of the places that occur an odd number of times."""
+    return np.packbits((np.bincount(places.astype(np.int64), minlength=bits) & 1).astype(np.uint8)).view(np.int64)
+
+
+def signature(codes: np.ndarray, odd: np.ndarray, add: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Band keys, and the odd sketches of the MinHash samples and of all codes, of a set that isn't empty."""
     low = np.full(len(odd), np.uint32(2**32 - 1))
     short = (codes >> np.uint64(32)).astype(np.uint32)
     for at in range(0, len(short), 512):
@@ -96,8 +102,7 @@ def signature(codes: np.ndarray, odd: np.ndarray, add: np.ndarray) -> tuple[np.n
     for k in range(ROWS):
         keys = shared.mix(keys * _P + wide[k::ROWS] + _Q)
     places = shared.mix(wide + np.arange(len(odd), dtype=np.uint64) * _Q) % np.uint64(SKETCH_BITS)
-    bits = (np.bincount(places.astype(np.int64), minlength=SKETCH_BITS) & 1).astype(np.uint8)
-    return keys.view(np.int64), np.packbits(bits).view(np.int64)
+    return keys.view(np.int64), parity(places, SKETCH_BITS), parity(shared.mix(codes) % np.uint64(WHOLE_BITS), WHOLE_BITS)
 
 
 def most_ones(similarity: float, hashes: int, sigmas: float = 6.0) -> int:
@@ -112,7 +117,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def signatures(docs: DataFrame, width: int, bands: int) -> DataFrame:
-    """doc_id, text_key, n_shingles, node (the set's digest; null if empty), bands, sketch."""
+    """doc_id, text_key, n_shingles, node (the set's digest; null if empty), bands, sketch, whole."""
 
     odd, add = permutations(bands)
 
@@ -121,17 +126,17 @@ def signatures(docs: DataFrame, width: int, bands: int) -> DataFrame:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 sets = shingle_sets(part.column(2), width)
-                signed = [signature(s, odd, add) if len(s) else (None, None) for s in sets]
+                signed = [signature(s, odd, add) if len(s) else (None, None, None) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0), part.column(1), pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
-                        pa.array([k for k, _ in signed], pa.list_(pa.int64())), pa.array([o for _, o in signed], pa.list_(pa.int64())),
+                        *(pa.array([x[k] for x in signed], pa.list_(pa.int64())) for k in range(3)),
                     ],
-                    names=["doc_id", "text_key", "n_shingles", "node", "bands", "sketch"],
+                    names=["doc_id", "text_key", "n_shingles", "node", "bands", "sketch", "whole"],
                 )
 
-    return _keyed(docs).mapInArrow(run, "doc_id long, text_key long, n_shingles long, node binary, bands array<long>, sketch array<long>")
+    return _keyed(docs).mapInArrow(run, "doc_id long, text_key long, n_shingles long, node binary, bands array<long>, sketch array<long>, whole array<long>")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -148,8 +153,8 @@ def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return rows.mapInArrow(run, "node binary, codes binary").dropDuplicates(["node"])
 
 
-def _ones(a, b):
-    return sum((F.bit_count(F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))) for k in range(SKETCH_BITS // 64)), F.lit(0))
+def _ones(a, b, bits: int):
+    return sum((F.bit_count(F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))) for k in range(bits // 64)), F.lit(0))
 
 
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -206,7 +211,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     far, bands = 1 - percent / 100, band_count(percent)
     hashes = bands * ROWS
     signed = shared.materialise(signatures(docs, width, bands), "signatures")
-    classes = signed.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "text_key")).alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    classes = signed.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "text_key")).alias("rep"), F.first("bands").alias("bands"), F.first(F.struct("n_shingles", "sketch", "whole")).alias("sketch"))
     classes = shared.materialise(classes, "classes")
     banded = classes.select("node", F.posexplode("bands").alias("band", "key"))
     leaders = banded.groupBy("band", "key").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
@@ -215,13 +220,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     sets = shared.materialise(full_sets(docs, wanted, width), "sets")
     sketches = classes.select("node", "sketch")
 
-    def alike(a, b, similarity):
-        return _ones(a, b) <= most_ones(similarity, hashes)
+    def alike(a, b, least):
+        """False only of pairs below a similarity in percent: a bit of the whole sets' sketches differs only where an element does."""
+        differ = _ones(a["whole"], b["whole"], WHOLE_BITS) * (100 + least) <= (a["n_shingles"] + b["n_shingles"]) * (100 - least)
+        return differ & (_ones(a["sketch"], b["sketch"], SKETCH_BITS) <= most_ones(least / 100, hashes))
 
     linked = F.col("shared") * 100 >= F.col("total") * percent
     # pairs that a sketch puts beyond twice the distance of a link are far from the leader without a closer look
     stars = members.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    close = stars.join(sketches.select(F.col("node").alias("a"), F.col("sketch").alias("sa")), "a").join(sketches.select(F.col("node").alias("b"), F.col("sketch").alias("sb")), "b").filter(alike(F.col("sa"), F.col("sb"), 1 - 2 * far))
+    close = stars.join(sketches.select(F.col("node").alias("a"), F.col("sketch").alias("sa")), "a").join(sketches.select(F.col("node").alias("b"), F.col("sketch").alias("sb")), "b").filter(alike(F.col("sa"), F.col("sb"), 2 * percent - 100))
     measured = shared.materialise(verify(close.select("a", "b"), sets), "measured")
     links = measured.filter(linked).select("a", "b")
     comps = components(links)
@@ -237,7 +244,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     probes = placed.withColumn("bin", F.explode(F.array(F.col("bin"), F.col("bin") + 1)))
     other = placed.select("band", "key", "bin", F.col("node").alias("b"), F.col("comp").alias("comp_b"), F.col("sketch").alias("sketch_b"))
     # the sketches are compared within the join, which so gives only pairs that may be linked
-    met = (F.col("comp") != F.col("comp_b")) & alike(F.col("sketch"), F.col("sketch_b"), percent / 100)
+    met = (F.col("comp") != F.col("comp_b")) & alike(F.col("sketch"), F.col("sketch_b"), percent)
     cross = probes.join(other, ["band", "key", "bin"]).filter(met).select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
     more = shared.materialise(verify(cross, sets).filter(linked).select("a", "b"), "more")
     if not more.isEmpty():
