@@ -9,11 +9,14 @@ and j + d both lie in a difference cover modulo v (sizes by Colbourn and Ling).
 2. The remaining suffixes, unsampled ones too, get names of their first `length` bytes, are
    merged into ranges of names in the same way, and adjacent equal prefixes are repeats.
 
-Suffixes are compared to `length` bytes and no further, as nothing beyond matters, so the
-recursion on names ends at its second level and ranks of whole suffixes are never made: a
-full suffix array would shuffle each suffix's triple several times over. Names are 64-bit
-codes of the bytes (see shared.window_codes): n windows that enter step 2 have about
-n * n / 2**65 false matches.
+3. Names are 64-bit codes (see shared.window_codes), so equal names only propose repeats.
+   The first block that has a name keeps it; the others send it the bytes, runs of adjacent
+   windows as one string, and it compares them. Strings that differ from the keeper's are
+   compared with each other. Only bytes that were found equal are removed.
+
+Suffixes are compared to `length` bytes and no further, as nothing beyond matters. There are
+no sorted triples, no recursion on names and no merge of suffixes: ranks of whole suffixes
+are never made.
 
 Texts lie in compressed blocks in the shared folder, written once; a task reads the block
 it needs, so only names and bitmaps are shuffled. A block sends a name once however often
@@ -26,20 +29,24 @@ Null and empty texts have no bytes and lose none. Repeated rows remove each othe
 from __future__ import annotations
 
 import hashlib
+import itertools
 import struct
-import uuid
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import shared
 
 NAMES = "uid string, bucket int, n int, names binary, twice binary"
-ANSWERS = "uid string, level int, bucket int, n int, repeated binary"
+ANSWERS = "uid string, level int, bucket int, n int, repeated binary, keeper binary"
+#: Messages to a block: its own places that are sure, those it keeps, or another block's places and bytes.
+SURE, KEPT, ASKED = range(3)
+MESSAGES = "uid string, kind int, source string, runs binary, data binary"
 
 
 def difference_cover(r: int) -> tuple[int, np.ndarray]:
@@ -140,6 +147,53 @@ def is_in(values: np.ndarray, sorted_set: np.ndarray) -> np.ndarray:
     return sorted_set[at] == values
 
 
+def runs_of(places: np.ndarray, *keys: tuple[np.ndarray, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Index and size of each run of adjacent places, in order, along which each key grows by its step."""
+    if not len(places):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    new = np.diff(places) != 1
+    for k, step in keys:
+        new |= np.diff(k) != step
+    at = np.concatenate([[0], np.flatnonzero(new) + 1])
+    return at, np.diff(np.append(at, len(places)))
+
+
+def pack_runs(places: np.ndarray) -> bytes:
+    at, sizes = runs_of(places)
+    return np.concatenate([places[at], sizes]).astype("<i8").tobytes()
+
+
+def unpack_runs(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(np.frombuffer(raw, "<i8").reshape(2, -1))
+
+
+def spread(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All places of runs."""
+    return np.repeat(first - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+
+
+def equal_windows(x: np.ndarray, a: np.ndarray, y: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
+    """Whether x has the same bytes from each place of a as y from that of b."""
+    out = np.ones(len(a), bool)
+    for k, n in zip(*(r.tolist() for r in runs_of(a, (b, 1)))):
+        left, right = x[a[k] : a[k] + n + length - 1], y[b[k] : b[k] + n + length - 1]
+        if left.tobytes() != right.tobytes():
+            wrong = np.concatenate([[0], np.cumsum(left != right)])
+            out[k : k + n] = wrong[length:] == wrong[:n]
+    return out
+
+
+def first_equal(data: np.ndarray, places: np.ndarray, names: np.ndarray, length: int) -> np.ndarray:
+    """For each place, the index of the first one with the same bytes; names only save comparisons."""
+    _, first, which = np.unique(names, return_index=True, return_inverse=True)
+    out = first[which]
+    later = np.flatnonzero(out != np.arange(len(places)))
+    seen = {}
+    for k in later[~equal_windows(data, places[later], data, places[out[later]], length)].tolist():
+        out[k] = seen.setdefault(data[places[k] : places[k] + length].tobytes(), k)
+    return out
+
+
 def _send(uid: str, names: np.ndarray, buckets: int):
     """Rows of NAMES: a block's distinct names, and which it has twice, by bucket."""
     every, counts = np.unique(names, return_counts=True)
@@ -151,23 +205,49 @@ def _send(uid: str, names: np.ndarray, buckets: int):
 
 
 def _answers(sent: DataFrame, level: int) -> DataFrame:
-    """For each block and bucket, a bit for each name: whether any other place has it."""
+    """For each block and bucket, a bit for each name: whether any other place has it; and who keeps those that are."""
 
     def merge(group: pa.Table) -> pa.Table:
         each = [unpack(x.as_py()) for x in group.column("names")]
         twice = [np.unpackbits(np.frombuffer(t.as_py(), np.uint8), count=len(x)).astype(bool) for t, x in zip(group.column("twice"), each)]
         every = np.sort(np.concatenate(each))
         repeated = np.unique(np.concatenate([every[1:][every[1:] == every[:-1]], *[x[t] for x, t in zip(each, twice)]]))
-        bits = [np.packbits(is_in(x, repeated)).tobytes() for x in each]
+        hits = [is_in(x, repeated) for x in each]
+        bits = [np.packbits(h).tobytes() for h in hits]
         n = len(each)
-        return pa.table([group.column("uid"), pa.array([level] * n, pa.int32()), group.column("bucket"), group.column("n"), pa.array(bits, pa.binary())], names=["uid", "level", "bucket", "n", "repeated"])
+        keepers = [None] * n
+        if level == 2:
+            numbers = [int(u, 16) for u in group.column("uid").to_pylist()]
+            at = [np.searchsorted(repeated, x[h]) for x, h in zip(each, hits)]
+            keeper = np.zeros(len(repeated), np.int64)
+            for k in sorted(range(n), key=numbers.__getitem__, reverse=True):
+                keeper[at[k]] = numbers[k]
+            keepers = [pack_keepers(keeper[k]) for k in at]
+        cols = [group.column("uid"), pa.array([level] * n, pa.int32()), group.column("bucket"), group.column("n"), pa.array(bits, pa.binary()), pa.array(keepers, pa.binary())]
+        return pa.table(cols, names=["uid", "level", "bucket", "n", "repeated", "keeper"])
 
     return sent.groupBy("bucket").applyInArrow(merge, ANSWERS)
 
 
+def pack_keepers(keepers: np.ndarray) -> bytes:
+    who, which = np.unique(keepers, return_inverse=True)
+    width = 1 if len(who) <= 1 << 8 else 2 if len(who) <= 1 << 16 else 4
+    return struct.pack("<QQ", len(who), width) + who.astype("<i8").tobytes() + which.astype(f"<u{width}").tobytes()
+
+
+def unpack_keepers(raw: bytes) -> np.ndarray:
+    n, width = struct.unpack_from("<QQ", raw)
+    return np.frombuffer(raw, "<i8", n, 16)[np.frombuffer(raw, f"<u{width}", offset=16 + 8 * n)] if n else np.empty(0, np.int64)
+
+
+def _messages(rows: list[tuple]) -> pa.Table:
+    kinds = (pa.string(), pa.int32(), pa.string(), pa.binary(), pa.binary())
+    return pa.table([pa.array(c, k) for c, k in zip(list(zip(*rows)) or [[]] * 5, kinds)], names=["uid", "kind", "source", "runs", "data"])
+
+
 def _repeated(names: np.ndarray, answers: list) -> np.ndarray:
-    """Which of a block's names are repeated, by the answers (bucket, n, bits) to its distinct names."""
-    bits = [np.unpackbits(np.frombuffer(r, np.uint8), count=n) for _, n, r in sorted(answers)]
+    """Which of a block's names are repeated, by the answers (bucket, n, bits, keepers) to its distinct names."""
+    bits = [np.unpackbits(np.frombuffer(r, np.uint8), count=n) for _, n, r, _ in sorted(answers)]
     every = np.unique(names)
     return is_in(names, every[np.concatenate(bits).astype(bool)]) if bits else np.zeros(len(names), bool)
 
@@ -186,9 +266,10 @@ def remove_repeats(docs: DataFrame, length: int = 400, block_bytes: int = 4 << 2
         fs, base = pafs.FileSystem.from_uri(path)
         fs.create_dir(base, recursive=True)
         parts, size = [], 0
+        numbers = itertools.count(TaskContext.get().taskAttemptId() << 24)
 
         def put():
-            uid = uuid.uuid4().hex
+            uid = f"{next(numbers):016x}"
             Block.write(fs, f"{base}/{uid}", parts)
             return pa.RecordBatch.from_arrays([pa.array([uid]), pa.array([size], pa.int64())], names=["uid", "size"])
 
@@ -226,8 +307,8 @@ def remove_repeats(docs: DataFrame, length: int = 400, block_bytes: int = 4 << 2
         return block.near(places[_repeated(block.names(places, width), answers)], length, v)
 
     def by_level(group, level):
-        rows = zip(*(group.column(k).to_pylist() for k in ("level", "bucket", "n", "repeated")))
-        return [(b, n, r) for k, b, n, r in rows if k == level]
+        rows = zip(*(group.column(k).to_pylist() for k in ("level", "bucket", "n", "repeated", "keeper")))
+        return [(b, n, r, x) for k, b, n, r, x in rows if k == level]
 
     def second_level(key, group):
         fs, base = pafs.FileSystem.from_uri(path)
@@ -239,14 +320,75 @@ def remove_repeats(docs: DataFrame, length: int = 400, block_bytes: int = 4 << 2
     # a number of partitions of its own, as little shuffled data stands for much work
     second = shared.materialise(_answers(first.repartition(tasks, "uid").groupBy("uid").applyInArrow(second_level, NAMES), 2), "answers")
 
+    def ask(key, group):
+        """What a block knows of its own, and the bytes that it sends to the keepers of its names."""
+        fs, base = pafs.FileSystem.from_uri(path)
+        uid = key[0].as_py()
+        block, answers = Block.read(fs, f"{base}/{uid}"), by_level(group, 2)
+        places = starts(block, by_level(group, 1))
+        names = block.names(places, length)
+        left = _repeated(names, answers)
+        places, names = places[left], names[left]
+        if not len(places):
+            return _messages([])
+        keeper = np.concatenate([unpack_keepers(x) for *_, x in sorted(answers)])[np.unique(names, return_inverse=True)[1]]
+        first = first_equal(block.data, places, names, length)
+        alone = first == np.arange(len(places))
+        sure = np.bincount(first, minlength=len(places))[first] > 1
+        rows = [(uid, SURE, uid, pack_runs(places[sure]), b""), (uid, KEPT, uid, pack_runs(places[alone & (keeper == int(uid, 16))]), b"")]
+        alone &= keeper != int(uid, 16)
+        places, keeper = places[alone], keeper[alone]
+        at, sizes = runs_of(places, (keeper, 0))
+        for who in np.unique(keeper[at]).tolist():
+            of = keeper[at] == who
+            data = b"".join(block.data[a : a + n + length - 1].tobytes() for a, n in zip(places[at[of]].tolist(), sizes[of].tolist()))
+            rows.append((f"{who:016x}", ASKED, uid, np.concatenate([places[at[of]], sizes[of]]).astype("<i8").tobytes(), data))
+        return _messages(rows)
+
+    def compare(key, group):
+        """Places that are repeats, by block, from the bytes that were sent to the keeper of their names."""
+        fs, base = pafs.FileSystem.from_uri(path)
+        uid = key[0].as_py()
+        rows = list(zip(*(group.column(k).to_pylist() for k in ("kind", "source", "runs", "data"))))
+        out = [(uid, SURE, uid, runs, b"") for kind, _, runs, _ in rows if kind == SURE]
+        asked = [(source, unpack_runs(runs), np.frombuffer(data, np.uint8)) for kind, source, runs, data in rows if kind == ASKED]
+        if not asked:
+            return _messages(out)
+        block = Block.read(fs, f"{base}/{uid}")
+        kept = np.concatenate([spread(*unpack_runs(runs)) for kind, _, runs, _ in rows if kind == KEPT])
+        kept_names = block.names(kept, length)
+        every, first = np.unique(kept_names, return_index=True)
+        found, others, other_names = np.zeros(len(kept), bool), {}, set()
+        for source, (begin, sizes), data in asked:
+            places, at = spread(begin, sizes), spread(np.cumsum(sizes + length - 1) - sizes - length + 1, sizes)
+            names = shared.window_codes(shared.prefix_sums(data), at, at + length)
+            own = first[np.searchsorted(every, names)]
+            same = equal_windows(data, at, block.data, kept[own], length)
+            found[own[same]] = True
+            out.append((source, SURE, uid, pack_runs(places[same]), b""))
+            for k in np.flatnonzero(~same).tolist():
+                others.setdefault(data[at[k] : at[k] + length].tobytes(), []).append((source, int(places[k])))
+                other_names.add(int(names[k]))
+        if others:
+            for k in np.flatnonzero(np.isin(kept_names, np.array(sorted(other_names), np.uint64))).tolist():
+                others.setdefault(block.data[kept[k] : kept[k] + length].tobytes(), []).append((uid, int(kept[k])))
+            out += [(who, SURE, uid, pack_runs(np.array([p])), b"") for same in others.values() if len(same) > 1 for who, p in same]
+        out.append((uid, SURE, uid, pack_runs(kept[found]), b""))
+        return _messages(out)
+
+    both = first.unionByName(second).repartition(tasks, "uid").groupBy("uid").applyInArrow(ask, MESSAGES)
+    sure = shared.materialise(both.repartition(tasks, "uid").groupBy("uid").applyInArrow(compare, MESSAGES).select("uid", "runs"), "sure")
+
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * text
     kinds = [pa.int64()] * 4 + [pa.string()] + [pa.binary()] * text
 
     def finish(key, group):
         fs, base = pafs.FileSystem.from_uri(path)
         block = Block.read(fs, f"{base}/{key[0].as_py()}")
-        left = starts(block, by_level(group, 1))
-        gone = block.covered(left[_repeated(block.names(left, length), by_level(group, 2))], length)
+        repeated = np.zeros(len(block.data), bool)
+        for runs in group.column("runs").drop_null().to_pylist():
+            repeated[spread(*unpack_runs(runs))] = True
+        gone = block.covered(np.flatnonzero(repeated), length)
         out = []
         for doc_id, a, z in zip(block.doc_ids, block.offsets[:-1], block.offsets[1:]):
             g = gone[a:z]
@@ -255,8 +397,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, block_bytes: int = 4 << 2
             out.append((doc_id, int(z - a), int(np.count_nonzero(g)), spans, hashlib.sha256(kept).hexdigest()) + ((kept,) if text else ()))
         return pa.table([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
 
-    marks = blocks.select("uid", F.lit(0).alias("level"), F.lit(0).alias("bucket"), F.lit(0).alias("n"), F.lit(None).cast("binary").alias("repeated"))
-    every = marks.unionByName(first).unionByName(second)
+    every = blocks.select("uid", F.lit(None).cast("binary").alias("runs")).unionByName(sure)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * text
     return every.repartition(tasks, "uid").groupBy("uid").applyInArrow(finish, schema)
 

@@ -96,6 +96,26 @@ def test_repeats(docs, empty):
         assert len({int(x - y) % v for x in cover for y in cover}) == v
 
 
+def test_repeats_with_equal_names(spark):
+    """Two strings of 400 bytes whose names are equal, but that differ, are no repeats of each other."""
+    signs = [bin(k).count("1") % 2 for k in range(128)]
+    tail = b"0123456789abcdef"
+    one, two = (b"".join((b"u7s", b"Cj4")[x ^ flip] for x in signs) + tail for flip in (0, 1))
+    data = np.frombuffer(one + two, np.uint8)
+    codes = shared.window_codes(shared.prefix_sums(data), np.array([0, 400]), np.array([400, 800]))
+    assert one != two and codes[0] == codes[1]
+    rng = np.random.default_rng(3)
+    noise = lambda n: bytes(rng.integers(97, 123, n, dtype=np.uint8))
+    near = [one[:300] + noise(200), two[:300] + noise(200)]  # so that samples of both are repeated
+    for texts, gone in (([one, two], set()), ([one, two, two], {two}), ([one, one, two, two, two], {one, two}), ([noise(50) + one, two + noise(50)], set())):
+        rows = [(k, t.decode()) for k, t in enumerate(texts + near)]
+        for parts in (1, 9):
+            for order in (rows, rows[::-1]):
+                df = spark.createDataFrame(order, "doc_id long, text string").coalesce(1) if parts == 1 else spark.createDataFrame(order, "doc_id long, text string").repartition(parts, "doc_id")
+                got = {r.doc_id: r.n_removed for r in repeats.remove_repeats(df, 400).collect()}
+                assert got == {k: 400 if t.encode() in gone else 0 for k, t in rows}
+
+
 def test_near_duplicates(docs, empty):
     sets = {}
     for i, t in TEXTS:
