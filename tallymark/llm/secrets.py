@@ -88,16 +88,16 @@ def ownership(scanned: DataFrame) -> DataFrame:
     return owners.groupBy("hash").agg(F.count(F.lit(1)).alias("n_owners"), F.sum("repos").alias("n_repos"))
 
 
-def classify(docs: DataFrame, owner: str = "source", repository: str = "doc_id", most_owners: int = 1, most_repos: int = 20) -> DataFrame:
+def classify(docs: DataFrame, owner: str = "source", repository: str = "doc_id", most_owners: int = 1) -> DataFrame:
     """One row per document: doc_id, owner, repo, spans (array of start, kind, end, live), in order.
 
-    live: the value has at most most_owners owners and most_repos repositories, and so is no
-    copied example. Tokens that aren't live are left out; base spans always stay.
+    live: the value has at most most_owners owners, however many of their repositories hold
+    it, and so is no copied example. Tokens that aren't live are left out; base spans always stay.
     """
     scanned = shared.materialise(scan(docs, owner, repository).withColumn("row", F.monotonically_increasing_id()), "secrets")
     owned = ownership(scanned)
     each = scanned.select("row", F.explode("found").alias("f")).select("row", "f.*")
-    live = (F.col("n_owners") <= most_owners) & (F.col("n_repos") <= most_repos)
+    live = F.col("n_owners") <= most_owners
     spans = each.join(owned, "hash").select("row", "start", "kind", "end", live.alias("live")).filter("live or kind < 3")
     grouped = spans.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end", "live"))).alias("spans"))
     empty = F.array().cast("array<struct<start:int,kind:int,end:int,live:boolean>>")

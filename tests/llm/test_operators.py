@@ -144,6 +144,18 @@ def test_secrets(docs, empty):
     assert secrets.redact(empty).columns == docs.columns and secrets.classify(empty).count() == 0
 
 
+def test_secrets_of_one_owner(spark):
+    """A value in many documents of one owner is live; one that two owners have is not."""
+    own, shared_token = "q7Zk2Lw9Xv4Rb8Nt1Mc6Yd3H", "h5Jp0Sg8Wf2Ke7Ua4Qx9Bn1T"
+    rows = [(k, f'password = "owned77value" {own}', "s1") for k in range(60)] + [(100 + k, f'password = "copied88value" {shared_token}', f"s{k % 2}") for k in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in secrets.digest(secrets.classify(docs)).collect()}
+    assert all((got[k].n_assign, got[k].n_live) == (1, 2) and "token:" in got[k].spans for k in range(60))
+    assert all((got[k].n_assign, got[k].n_live) == (1, 0) and "token:" not in got[k].spans for k in range(100, 104))
+    out = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    assert all("owned77value" not in out[k] and own not in out[k] for k in range(60)) and all(out[i] == t for i, t, _ in rows[60:])
+
+
 def test_decontamination(spark, docs, empty):
     bench = spark.createDataFrame([(1, "QUICK brown fox jumps over a lazy dog near the river"), (2, "1 2 3"), (3, None), (4, "quick red fox"), (2, "1 2 3")], "item_id long, text string")
     got = {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in decontamination.decontaminate(docs, bench).collect()}
