@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import similarity as S
 from ..functions import text as T
 
 SUFFIXES = ("ltd", "limited", "pvt", "private", "inc", "llc", "corp", "corporation", "co", "company", "plc")
@@ -77,3 +78,13 @@ def true_pairs(links: DataFrame, s1: DataFrame, pool: DataFrame) -> DataFrame:
     """Links with both records; those with an unknown id go."""
     side = lambda d, k, p: d.select(F.col("entity_id").alias(k), *[F.col(c).alias(f"{p}_{c}") for c in ("name", "address", "country_norm")])
     return links.join(side(s1, "s1", "a"), "s1").join(side(pool, "cand", "b"), "cand")
+
+
+def true_pair_similarity(links: DataFrame, s1: DataFrame, pool: DataFrame) -> DataFrame:
+    """One row over all true pairs: shares of equal names, addresses and countries, and quantiles of their similarities."""
+    pair = lambda c: (F.col(f"a_{c}"), F.col(f"b_{c}"))
+    equal = {f"{c}_exact": S.both_equal(*pair(k)) for c, k in (("name", "name"), ("address", "address"), ("country", "country_norm"))}
+    ratios = {"name_fuzzy": S.fuzzy_ratio(*pair("name")), "name_token_sort": S.token_sort(*pair("name")), "address_fuzzy": S.fuzzy_ratio(*pair("address")), "address_jaccard": S.jaccard(*S.token_sets(*pair("address")))}
+    rows = true_pairs(links, s1, pool).select(*[c.alias(n) for n, c in (equal | ratios).items()])
+    share = lambda c: half_even(F.coalesce(100.0 * F.avg(c), F.lit(0.0)), 2).alias(f"{c}_percent")
+    return rows.agg(F.count(F.lit(1)).alias("pairs"), *[share(c) for c in equal], *[q for c in ratios for q in quantiles(c, f"{c}_")])

@@ -326,6 +326,21 @@ def _(spark, d):
     return both.agg(F.count(F.lit(1)).alias("pairs"), F.sum(S.both_equal(F.col("a_name"), F.col("b_name"))).alias("same_name"), F.sum((F.col("a_country_norm") == F.col("b_country_norm")).cast("int")).alias("same_country"))
 
 
+@query("name_profile_all")
+def _(spark, d):
+    return profile.names(tables.entities(spark, d))
+
+
+@query("address_profile_all")
+def _(spark, d):
+    return profile.addresses(tables.entities(spark, d))
+
+
+@query("true_pair_similarity")
+def _(spark, d):
+    return profile.true_pair_similarity(links(spark, d), *sides(spark, d))
+
+
 @query("error_fp", f"WITH {sql.SCORED} SELECT s1, cand, probability FROM linear ANTI JOIN links USING (s1, cand) WHERE probability >= {THRESHOLD}")
 def _(spark, d):
     return metrics.false_positives(scored(spark, d), links(spark, d), THRESHOLD).select("s1", "cand", "probability")

@@ -128,10 +128,10 @@ def run_verify(spark: SparkSession, cfg: Config) -> bool:
 def run_eda(spark: SparkSession, cfg: Config) -> None:
     s1, pool, truth = _load(spark, cfg, "train")
     every = s1.unionByName(pool, allowMissingColumns=True)
-    for name, df in (("missing", profile.missing_values(every)), ("countries", profile.countries(every)), ("names", profile.names(every)), ("addresses", profile.addresses(every)), ("truth", profile.truth_profile(truth))):
+    for name, df in (("missing", profile.missing_values(every)), ("countries", profile.countries(every)), ("names", profile.names(every)), ("addresses", profile.addresses(every)), ("truth", profile.truth_profile(truth)), ("true_pairs", profile.true_pair_similarity(labels.links_of(truth), s1, pool))):
         df.coalesce(1).write.mode("overwrite").json(f"{cfg.out}/eda/{name}")
     lines = ["# Data profile", ""]
-    for name in ("missing", "countries", "names", "addresses", "truth"):
+    for name in ("missing", "countries", "names", "addresses", "truth", "true_pairs"):
         rows = spark.read.json(f"{cfg.out}/eda/{name}").limit(50).collect()
         lines += [f"## {name}", "", *(f"- {r.asDict()}" for r in rows), ""]
     spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.mode("overwrite").text(f"{cfg.out}/eda/report.md")

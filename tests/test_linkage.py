@@ -94,6 +94,43 @@ def test_tsv_round_trip(spark, tmp_path):
         tables.read_tsv(spark, str(tmp_path / "none"))
 
 
+def test_true_pair_similarity(spark, tmp_path):
+    from tallymark.operators import profile
+    from tallymark.plans import config, workflow
+
+    master = [("S1-1", "Acme Tools", "12 Main Street", "US"), ("S1-2", "Blue Fox", "7 Hill Road", "FR"), ("S1-3", "Lone", "", "DE")]
+    second = [("S2-1", "Acme Tools", "12 Main Street", "US"), ("S2-2", "Tools Acme", "12 Main Road", "US")]
+    third = [("S3-1", "Blue Box", "", "DE")]
+    truth = [("S1-1", "S2-1,S2-2"), ("S1-2", "S3-1,S3-404"), ("S1-3", "")]  # one id is unknown
+    for name, part in (("source1", master), ("source2", second), ("source3", third)):
+        tables.write_tsv(spark.createDataFrame(part, "entity_id string, business_name string, business_address string, country string"), f"{tmp_path}/{name}")
+    tables.write_tsv(spark.createDataFrame(truth, "source1_entity_id string, matched_entity_ids string"), f"{tmp_path}/ground_truth")
+    cfg = config.Config(out=f"{tmp_path}/out", train={n: f"{tmp_path}/{n}" for n in ("source1", "source2", "source3", "ground_truth")})
+    workflow.run_eda(spark, cfg)
+    got = spark.read.json(f"{tmp_path}/out/eda/true_pairs").first().asDict()
+    pairs = [("acme tools", "acme tools", "12 main street", "12 main street"), ("acme tools", "tools acme", "12 main street", "12 main road"), ("blue fox", "blue box", "7 hill road", "")]
+    jaccard = lambda a, b: len(set(a.split()) & set(b.split())) / len(set(a.split()) | set(b.split()))
+    want = {
+        "name_fuzzy": [S.indel_ratio(a, b) for a, b, _, _ in pairs], "name_token_sort": [S.token_sort_ratio(a, b) for a, b, _, _ in pairs],
+        "address_fuzzy": [S.indel_ratio(a, b) for _, _, a, b in pairs], "address_jaccard": [jaccard(a, b) for _, _, a, b in pairs],
+    }
+    assert (got["pairs"], got["name_exact_percent"], got["address_exact_percent"], got["country_exact_percent"]) == (3, 33.33, 33.33, 66.67)
+    for name, values in want.items():
+        low, middle, high = sorted(values)
+        stats = {"mean": sum(values) / 3, "min": low, "p25": (low + middle) / 2, "median": middle, "p75": (middle + high) / 2, "p90": middle + 0.8 * (high - middle), "max": high}
+        assert all(abs(got[f"{name}_{k}"] - v) <= 0.0051 for k, v in stats.items()), (name, got)
+        assert abs(got[f"{name}_std"] - math.sqrt(sum((v - stats["mean"]) ** 2 for v in values) / 2)) <= 0.0051
+    assert "true_pairs" in spark.read.text(f"{tmp_path}/out/eda/report.md").agg(F.concat_ws(" ", F.collect_list("value"))).first()[0]
+    none = catalog.links(spark, SF).limit(0)
+    assert profile.true_pair_similarity(none, *catalog.sides(spark, SF)).first().pairs == 0
+
+
+def test_whole_profiles(spark):
+    for name, columns in (("name_profile", ("tokens_p90", "chars_p25", "punctuation_percent", "suffix_ltd_percent")), ("address_profile", ("tokens_p75", "numbers_mean", "postal_percent", "abbr_st_percent"))):
+        few, every = (catalog.queries()[n](spark, SF).toPandas() for n in (name, f"{name}_all"))
+        assert set(columns) <= set(every.columns) and rows(few) == rows(every[few.columns])
+
+
 def rows(df):
     cell = lambda v: round(float(v), 6) if isinstance(v, float) or getattr(getattr(v, "dtype", None), "kind", "") == "f" else v
     df = df[sorted(df.columns)]
