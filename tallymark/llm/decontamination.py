@@ -7,7 +7,8 @@ postings' neighbours are intersected with the item's at the same offsets; the ru
 words around the posting shows which windows hold it. Nothing but native operations.
 
 Null texts and texts without words have none, and are hit by nothing. Rows that share doc_id
-and text get the same result. Items that share an item_id count as one. Extra columns go.
+and text get the same result. Items that share an item_id count as one, and so do those without one: they hit like any
+other and are counted, but the list of ids has no entry for them. Extra columns go.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ def _small(df: DataFrame) -> DataFrame:
 
 
 def _items(benchmark: DataFrame) -> DataFrame:
-    rows = shared.with_columns(benchmark, "item_id", "text").filter("item_id IS NOT NULL").select("item_id", words(F.col("text")).alias("item"))
+    rows = shared.with_columns(benchmark, "item_id", "text").select("item_id", words(F.col("text")).alias("item"))
     return rows.filter(F.size("item") > 0).distinct()
 
 
@@ -91,18 +92,18 @@ def _covered(intervals):
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id, text_key, n_words, n_hit, items (sorted strings) of every document row."""
+    """doc_id, text_key, n_words, n_hit, items (sorted strings), n_items of every document row."""
     wanted = shared.materialise(anchors(docs, benchmark, window), "anchors")
     postings = shared.materialise(index(docs, wanted.select("term").distinct(), window - 1), "postings")
     pairs = postings.filter("term IS NOT NULL").join(_small(wanted), "term")
     pairs = pairs.withColumns({"left": _equal_run("before", "item_before"), "right": _equal_run("after", "item_after")}).filter("left + right + 1 >= least")
     hits = pairs.groupBy("doc_id", "text_key").agg(
-        F.collect_set(F.struct((F.col("pos") - F.col("left")).alias("first"), (F.col("pos") + F.col("right")).alias("last"))).alias("spans"), F.collect_set(F.col("item_id").cast("string")).alias("items")
+        F.collect_set(F.struct((F.col("pos") - F.col("left")).alias("first"), (F.col("pos") + F.col("right")).alias("last"))).alias("spans"), F.collect_set(F.col("item_id").cast("string")).alias("items"), F.max(F.col("item_id").isNull().cast("long")).alias("unnamed")
     )
-    hits = hits.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), _covered("spans").cast("long").alias("n_hit"), F.array_sort("items").alias("items"))
+    hits = hits.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), _covered("spans").cast("long").alias("n_hit"), F.array_sort("items").alias("items"), (F.size("items") + F.col("unnamed")).alias("n_items"))
     every = postings.filter("pos IS NULL OR pos = 0").select("doc_id", "text_key", "n_words")
     joined = every.join(hits, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")), "left")
-    return joined.select("doc_id", "text_key", F.greatest("n_words", F.lit(0)).alias("n_words"), F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    return joined.select("doc_id", "text_key", F.greatest("n_words", F.lit(0)).alias("n_words"), F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"))
 
 
 def near(docs: DataFrame, first: str, second: str, within: int) -> DataFrame:
@@ -121,7 +122,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate(shared.table(spark, sf_dir, "documents"), shared.table(spark, sf_dir, "benchmark"))
     return found.select(
-        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated")
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated")
     )
 
 

@@ -164,6 +164,20 @@ def test_decontamination(spark, docs, empty):
     assert {r.doc_id for r in decontamination.near(docs, "owls", "seven", 2).collect()} >= {4, 5}
 
 
+def test_decontamination_without_ids(spark, tmp_path):
+    """Items without an id hit as in the SQL."""
+    texts = ["one two three four five six seven eight nine ten eleven", "x red green blue y", "red green blue alpha beta", "nothing of that", None]
+    tables = {"documents": (enumerate(texts), "doc_id long, text string"), "benchmark": ([(None, texts[0]), (None, "red green blue"), (7, "alpha beta"), (None, None)], "item_id long, text string")}
+    c = duckdb.connect()
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(list(rows), schema).write.parquet(f"{tmp_path}/{name}.parquet")
+        c.execute(f"create view {name} as select * from '{tmp_path}/{name}.parquet/*.parquet'")
+    got = decontamination.op8_decontamination(spark, str(tmp_path))
+    assert sorted(map(tuple, got.collect())) == sorted(c.execute(decontamination.OP8_SQL).fetchall())
+    assert {r.doc_id for r in got.filter("contaminated").collect()} == {0, 1, 2}
+    assert [r.doc_id for r in decontamination.drop_contaminated(shared.table(spark, str(tmp_path), "documents"), shared.table(spark, str(tmp_path), "benchmark")).orderBy("doc_id").collect()] == [3, 4]
+
+
 def test_language(docs, empty):
     got = {r.doc_id: r for r in language_id.identify(docs, language_id.train(docs), "doc_id").collect()}
     assert got[1].lang_pred == "und" and got[12].lang_pred == "und" and got[4].lang_pred == "en" and 0 <= got[4].score <= 1
