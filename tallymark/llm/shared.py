@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 
@@ -13,12 +14,14 @@ from pyspark.sql import functions as F
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path below spark.checkpoint.dir; a temporary folder only where that is unset.
+    """A fresh path below spark.checkpoint.dir, which goes when the session's file system closes.
 
-    The path goes when the session's file system closes.
+    Without that setting a local session, as in tests, gets a temporary folder; a cluster must have it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tallymark-")
         spark.conf.set("spark.checkpoint.dir", root)
     path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -48,6 +51,27 @@ def with_columns(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 
+def fresh(columns: list[str], *names: str) -> list[str]:
+    """The names, each with as many underscores before it as no column has, in any case."""
+    taken, out = {c.lower() for c in columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n = f"_{n}"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
+def by_row(docs: DataFrame, found: DataFrame, how: str) -> tuple[DataFrame, dict[str, str]]:
+    """docs joined with found (doc_id, text_key and others) by doc_id, nulls alike, and text.
+
+    Also the names that found's columns have got, as docs may have any.
+    """
+    names = dict(zip(found.columns, fresh(docs.columns, *found.columns)))
+    right = found.select(*[F.col(c).alias(n) for c, n in names.items()])
+    return docs.join(right, F.col("doc_id").eqNullSafe(F.col(names["doc_id"])) & (F.xxhash64("text") == F.col(names["text_key"])), how), names
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -88,10 +112,36 @@ def prefix_sums(data: np.ndarray) -> np.ndarray:
 
 
 def window_codes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit codes of substrings [start, end) that depend on their bytes only."""
+    """64-bit codes of substrings [start, end) that depend on their bytes only. Some different ones have equal codes."""
     return mix((sums[ends] - sums[starts]) * _table("down", len(sums))[starts])
 
 
+#: By the number of bytes that count, the mask of a little-endian 64-bit integer; bytes of a word that are taken block by block.
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(8)] + [2**64 - 1], np.uint64)
+_BLOCKS = 64
+
+
+def word_codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit codes of short substrings, mixed anew after each 8 bytes; those of long ones are cut from BLAKE2b.
+
+    No sums of powers: those collide for some strings whatever the base.
+    """
+    sizes = (ends - starts).astype(np.int64)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    out = mix(sizes.astype(np.uint64) + np.uint64(_BASE))
+    here = np.flatnonzero(sizes <= _BLOCKS)
+    at = 0
+    while len(here):
+        part = eight[starts[here] + at] & _MASKS[np.minimum(sizes[here] - at, 8)]
+        out[here] = mix(out[here] ^ mix(part + np.uint64(at + 1)))
+        at += 8
+        here = here[sizes[here] > at]
+    for k in np.flatnonzero(sizes > _BLOCKS).tolist():
+        out[k] = int.from_bytes(hashlib.blake2b(data[starts[k] : ends[k]].tobytes(), digest_size=8).digest(), "little")
+    return out
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective finaliser on 64 bits."""
     x = x ^ (x >> np.uint64(30))
