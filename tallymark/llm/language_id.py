@@ -12,9 +12,12 @@ both calibrated on labelled texts that weren't counted (where there are too few,
 ones). Shorter texts get more room, as their averages spread more.
 
 The models are fitted to a sample: of each language whole texts of about fit_chars
-characters, chosen by a hash of doc_id. Every text is scored whole. Null texts and texts
-without a letter are ``und``, with score 0, and rejected. With no labelled row at all every
-text is ``und``. Languages are the distinct non-null values of the language column.
+characters, chosen by a hash of doc_id, and at least one document. Repeated rows of the
+sample count once. Every text is scored whole. Null texts and texts without a letter are
+``und``, with score 0, and rejected. With no labelled row, so too of an empty table, every
+text is ``und``. Languages are the distinct non-null values of the language column; ties
+of cross-entropy go to the first of them in order. Extra columns, whatever their names, stay
+in keep_identified and go elsewhere.
 """
 
 from __future__ import annotations
@@ -31,8 +34,8 @@ from pyspark.sql import functions as F
 from . import shared
 
 ORDER = 4
-#: Characters a language, of counted and of calibrating texts.
-FIT_CHARS, CALIBRATE_CHARS = 1_500_000, 400_000
+#: Characters a language, of counted and of calibrating texts, and documents of the latter.
+FIT_CHARS, CALIBRATE_CHARS, CALIBRATE_DOCS = 1_500_000, 400_000, 20_000
 _M = np.uint64(0xD6E8FEB86659FD93)
 _letters: list[np.ndarray] = []
 
@@ -72,7 +75,7 @@ def gram_hashes(points: np.ndarray, order: int = ORDER) -> list[np.ndarray]:
     out, h, power = [], np.zeros(len(points), np.uint64), np.ones(1, np.uint64)
     values = points.astype(np.uint64) + np.uint64(1)
     for k in range(order):
-        shifted = np.concatenate([np.zeros(k, np.uint64), values[: len(values) - k]]) if k else values
+        shifted = np.concatenate([np.zeros(k, np.uint64), values])[: len(values)]
         h = h + shifted * power
         power = power * _M
         out.append(shared.mix(h + np.uint64(k)))
@@ -191,13 +194,16 @@ def is_held_out(doc_id):
 def train(docs: DataFrame, fit_chars: int = FIT_CHARS, calibrate_chars: int = CALIBRATE_CHARS, order: int = ORDER) -> Model:
     """Fit to the labelled rows that aren't held out. Sums by language, and grams of the sample, come to the driver."""
     rows = shared.with_columns(docs, "doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & ~is_held_out(F.col("doc_id")))
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.sum(F.length("text").cast("long")).alias("n")).collect()}
+    u = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(11)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    rows = rows.withColumn("u", u)
+    sizes = rows.groupBy("lang").agg(F.sum(F.length("text").cast("long")).alias("n"), F.count(F.lit(1)).alias("docs"), F.min("u").alias("least")).collect()
     if not sizes:
         return Model([], [], [], np.zeros(0))
-    share = F.create_map(*[x for lang, n in sizes.items() for x in (F.lit(lang), F.lit(min(1.0, fit_chars / max(n, 1))))])
-    also = F.create_map(*[x for lang, n in sizes.items() for x in (F.lit(lang), F.lit(min(1.0, (fit_chars + calibrate_chars) / max(n, 1))))])
-    u = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(11)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    rows = rows.withColumn("u", u).filter(F.col("u") < F.try_element_at(also, F.col("lang")))
+    # the share of a language's documents; a language of few long ones has the one of the least hash at any rate
+    shares = {r["lang"]: max(min(1.0, fit_chars / max(r["n"], 1)), r["least"] + 2.0**-31) for r in sizes}
+    more = {r["lang"]: shares[r["lang"]] + min(calibrate_chars / max(r["n"], 1), CALIBRATE_DOCS / r["docs"]) for r in sizes}
+    share, also = (F.create_map(*[F.lit(x) for pair in m.items() for x in pair]) for m in (shares, more))
+    rows = rows.filter(F.col("u") < F.try_element_at(also, F.col("lang"))).dropDuplicates(["doc_id", "lang", "text"])
     counted = rows.filter(F.col("u") < F.try_element_at(share, F.col("lang"))).select("lang", "text")
 
     def count(batches):
@@ -256,12 +262,16 @@ def calibrate(model: Model, seen: list[tuple[int, list[float], int]], quantile:
     model.limit = high + 0.25 * max(0.0, -float(model.unseen.min()) - high)
 
 
+FOUND = ("lang_pred", "score", "cross_entropy", "rejected")
+
+
 def identify(docs: DataFrame, model: Model, *columns: str) -> DataFrame:
-    """The named columns of every row, with lang_pred, score, cross_entropy and rejected."""
-    kept = docs.select(*[F.col(f"`{c}`") for c in columns], F.col("text").alias("_text"))
+    """The named columns of every row, with lang_pred, score, cross_entropy and rejected, renamed if a column has the name."""
+    found = shared.fresh(list(columns), *FOUND)
+    kept = docs.select(*[F.col(f"`{c}`") for c in columns], F.col("text").alias(shared.fresh(list(columns), "text")[0]))
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1]] + ["lang_pred string, score double, cross_entropy double, rejected boolean"])
-    names = [*columns, "lang_pred", "score", "cross_entropy", "rejected"]
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1]] + [f"{n} {kind}" for n, kind in zip(found, ("string", "double", "double", "boolean"))])
+    names = [*columns, *found]
 
     def run(batches):
         model = sent.value
@@ -277,7 +287,7 @@ def identify(docs: DataFrame, model: Model, *columns: str) -> DataFrame:
 def keep_identified(docs: DataFrame) -> DataFrame:
     """The documents that the models, fitted to these documents, don't reject."""
     found = identify(docs, train(docs), *docs.columns)
-    return found.filter("NOT rejected").select(*docs.columns)
+    return found.filter(~F.col(found.columns[-1])).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
