@@ -7,7 +7,10 @@ shuffled by hash alone). A value that one owner has looks live; one that many ow
 is a copied example. Tokens that look live and random are added as spans of kind token.
 
 A repository is a document and an owner its source, unless other columns are named; a null
-owner counts as one owner. Null texts are empty. Spans are in code points, end exclusive.
+owner counts as one owner. Null texts are empty, and empty tables give empty ones. Repeated
+rows get the same spans, and are one repository. Ties of start are in the kinds' order. Long
+texts are scanned whole. Spans are in code points, end exclusive. Extra columns, whatever
+their names, stay in redact and go elsewhere.
 """
 
 from __future__ import annotations
@@ -52,10 +55,12 @@ def find(text: str, assign: bool = True, access: bool = True, other: bool = True
         out += [(m.start(), 1, m.end(), m[0]) for m in ACCESS.finditer(text) if len(m[0]) >= LEAST["access"]]
     if other:
         out += [(m.start(), 2, m.end(), m[0]) for m in HEX.finditer(text)]
-        base = [(s, e) for s, _, e, _ in out]
+        base, k, reach = sorted((s, e) for s, _, e, _ in out), 0, 0  # reach: the end of the base spans that begin before a token's end
         for m in TOKEN.finditer(text):
             v, s, e = m[0], m.start(), m.end()
-            if any(c.isdigit() for c in v) and any(c.isalpha() for c in v) and entropy(v) >= LEAST_ENTROPY and not any(a < e and s < b for a, b in base):
+            while k < len(base) and base[k][0] < e:
+                reach, k = max(reach, base[k][1]), k + 1
+            if reach <= s and any(c.isdigit() for c in v) and any(c.isalpha() for c in v) and entropy(v) >= LEAST_ENTROPY:
                 out.append((s, 3, e, v))
     return sorted(out)
 
@@ -95,10 +100,10 @@ def classify(docs: DataFrame, owner: str = "source", repository: str = "doc_id",
     it, and so is no copied example. Tokens that aren't live are left out; base spans always stay.
     """
     scanned = shared.materialise(scan(docs, owner, repository).withColumn("row", F.monotonically_increasing_id()), "secrets")
-    owned = ownership(scanned)
+    # written first, so that Spark can split the spans of a value that most documents hold
+    owned = shared.materialise(ownership(scanned).filter(F.col("n_owners") <= most_owners).select("hash", F.lit(True).alias("live")), "live")
     each = scanned.select("row", F.explode("found").alias("f")).select("row", "f.*")
-    live = F.col("n_owners") <= most_owners
-    spans = each.join(owned, "hash").select("row", "start", "kind", "end", live.alias("live")).filter("live or kind < 3")
+    spans = each.join(owned, "hash", "left").select("row", "start", "kind", "end", F.coalesce("live", F.lit(False)).alias("live")).filter("live or kind < 3")
     grouped = spans.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end", "live"))).alias("spans"))
     empty = F.array().cast("array<struct<start:int,kind:int,end:int,live:boolean>>")
     return scanned.select("row", "doc_id", "owner", "repo", "text_key").join(grouped, "row", "left").select("doc_id", "owner", "repo", "text_key", F.coalesce("spans", empty).alias("spans"))
@@ -129,16 +134,17 @@ def redact(docs: DataFrame, mask: str = "[secret]", **options) -> DataFrame:
     Spans that overlap are masked as one. n_chars, if there is one, is counted anew where
     the text changed. Copied examples stay, and documents without secrets are unchanged.
     """
-    found = classify(docs, **options).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.filter("spans", lambda s: s["live"]).alias("live_spans")).filter(F.size("live_spans") > 0)
-    found = found.groupBy("_id", "_key").agg(F.first("live_spans").alias("live_spans"))  # repeated rows have the same spans
-    joined = docs.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key")), "left")
+    found = classify(docs, **options).select("doc_id", "text_key", F.filter("spans", lambda s: s["live"]).alias("live_spans")).filter(F.size("live_spans") > 0)
+    found = found.groupBy("doc_id", "text_key").agg(F.first("live_spans").alias("live_spans"))  # repeated rows have the same spans
+    joined, names = shared.by_row(docs, found, "left")
+    spans = F.col(names["live_spans"])
 
     def merge(acc, s):
         last = F.element_at(acc, -1)
         grown = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))
         return F.when((F.size(acc) > 0) & (F.get(acc, F.size(acc) - 1)["end"] >= s["start"]), F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(grown))).otherwise(F.concat(acc, F.array(s)))
 
-    plain = F.transform(F.array_sort("live_spans"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+    plain = F.transform(F.array_sort(spans), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
     runs = F.aggregate(plain, F.array().cast("array<struct<start:int,end:int>>"), merge)
     built = F.aggregate(
         runs,
@@ -146,8 +152,8 @@ def redact(docs: DataFrame, mask: str = "[secret]", **options) -> DataFrame:
         lambda acc, s: F.struct(F.concat(acc["out"], F.substr("text", acc["at"] + 1, s["start"] - acc["at"]), F.lit(mask)).alias("out"), s["end"].alias("at")),
         lambda acc: F.concat(acc["out"], F.substr("text", acc["at"] + 1, F.length("text"))),
     )
-    text = F.when(F.col("live_spans").isNotNull(), built).otherwise(F.col("text"))
-    columns = [text.alias(c) if c == "text" else F.when(F.col("live_spans").isNotNull(), F.length(text)).otherwise(F.col(c)).cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
+    text = F.when(spans.isNotNull(), built).otherwise(F.col("text"))
+    columns = [text.alias(c) if c == "text" else F.when(spans.isNotNull(), F.length(text)).otherwise(F.col(c)).cast("long").alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns]
     return joined.select(*columns)
 
 
