@@ -2,18 +2,27 @@
 
 ``df.write.format("warc")`` writes one record per row: per-record gzip members, and beside
 each archive an index with every member's offset. Files that a failed attempt left behind
-are never read, because the commit writes the list of valid files. ``spark.read.format
-("warc")`` plans partitions as runs of files of bounded size, takes filters on record_type
-and on header columns, inflates a member's headers first, and inflates the payload only of
-records that pass, and only with option payload=true.
-
-Null html is an empty payload. Rows that share a page_id and a payload get the same
-record type. An empty table gives no records. Extra columns are ignored.
+are never read, because each commit writes a list of its valid files; in mode append the
+earlier lists hold on, in mode overwrite the new list names those that it replaces.
+``spark.read.format("warc")`` plans partitions as runs of files of bounded size, takes filters
+on record_type and on header columns, inflates a member's headers first, and inflates the
+payload only of records that pass, and only with option payload=true.
+
+Responses hold an HTTP message whose body is the payload. Record ids follow from the page_id
+and the digest, so that a revisit can name the record that it refers to. Header values with
+control characters are written percent-encoded, and whole in a field of their own.
+
+Null html is an empty payload; long ones are whole. Rows that share a page_id and a payload
+get the same record type. Rows without a page_id are never referred to: they are revisits of
+a page with the same payload if there is one. An empty table gives no records. Extra columns
+are ignored.
 """
 
 from __future__ import annotations
 
+import base64
 import json
+import re
 import uuid
 import zlib
 
@@ -52,13 +61,34 @@ def file_system(uri: str):
     return pafs.FileSystem.from_uri(uri)
 
 
-def _clean(value) -> str:
-    return str(value).replace("\r", "%0D").replace("\n", "%0A")
+_CONTROL = re.compile(r"[\x00-\x1F\x7F\x85\u2028\u2029]")
+HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {}\r\n\r\n"
+
+
+def _fields(column: str, header: str, value) -> list[str]:
+    text = str(value)
+    clean = _CONTROL.sub(lambda m: "".join(f"%{b:02X}" for b in m[0].encode()), text)
+    return [f"{header}: {clean}"] + ([f"X-Whole-{column}: {base64.b64encode(text.encode()).decode()}"] if clean != text or text != text.strip() else [])
+
+
+def _record_id(page_id, digest) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id}:{digest}')}>"
+
+
+def _lists(fs, base: str) -> dict[str, dict]:
+    """The commits' lists of files that hold, by their paths."""
+    found = {i.path.rsplit("/", 1)[-1]: i.path for i in fs.get_file_info(pafs.FileSelector(base, allow_not_found=True)) if i.path.endswith(".list.json")}
+    out = {}
+    for name, path in found.items():
+        with fs.open_input_stream(path, compression=None) as f:
+            out[name] = json.loads(f.read())
+    gone = {x for v in out.values() for x in v["replaces"]}
+    return {k: v for k, v in sorted(out.items()) if k not in gone}
 
 
 class WarcWriter(DataSourceArrowWriter):
-    def __init__(self, path: str, file_bytes: int):
-        self.path, self.file_bytes = path, file_bytes
+    def __init__(self, path: str, file_bytes: int, overwrite: bool):
+        self.path, self.file_bytes, self.overwrite = path, file_bytes, overwrite
 
     def write(self, batches):
         fs, base = file_system(self.path)
@@ -91,11 +121,14 @@ class WarcWriter(DataSourceArrowWriter):
 
     @staticmethod
     def _member(row: dict, body: bytes) -> bytes:
-        lines = ["WARC/1.1", f"WARC-Record-ID: <urn:uuid:{uuid.uuid4()}>", "WARC-Date: 1970-01-01T00:00:00Z"]
-        lines += [f"{header}: {_clean(row[c])}" for c, header in HEADERS.items() if row.get(c) is not None]
+        own = f"{row['page_id']}:revisit" if row["record_type"] == "revisit" else row["page_id"]
+        lines = ["WARC/1.1", f"WARC-Record-ID: {_record_id(own, row['payload_digest'])}", "WARC-Date: 1970-01-01T00:00:00Z"]
+        lines += [line for c, header in HEADERS.items() if row.get(c) is not None for line in _fields(c, header, row[c])]
         if row["record_type"] == "revisit":
-            lines.append(f"WARC-Profile: {REVISIT_PROFILE}")
-        lines += ["Content-Type: text/html; charset=utf-8", f"Content-Length: {len(body)}", "", ""]
+            lines += [f"WARC-Profile: {REVISIT_PROFILE}", f"WARC-Refers-To: {_record_id(row['refers_to'], row['payload_digest'])}"]
+        else:
+            body = HTTP.format(len(body)).encode() + body
+        lines += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(body)}", "", ""]
         press = zlib.compressobj(1, wbits=31)
         # the headers end on a sync point, so that a reader can inflate them alone
         return press.compress("\r\n".join(lines).encode()) + press.flush(zlib.Z_SYNC_FLUSH) + press.compress(body) + press.compress(b"\r\n\r\n") + press.flush()
@@ -103,8 +136,12 @@ class WarcWriter(DataSourceArrowWriter):
     def commit(self, messages):
         fs, base = file_system(self.path)
         fs.create_dir(base, recursive=True)
-        with fs.open_output_stream(f"{base}/_files.json", compression=None) as out:
-            out.write(json.dumps(sorted(n for m in messages if m for n in m.names)).encode())
+        old = _lists(fs, base) if self.overwrite else {}
+        with fs.open_output_stream(f"{base}/{uuid.uuid4().hex}.list.json", compression=None) as out:
+            out.write(json.dumps({"names": sorted(n for m in messages if m for n in m.names), "replaces": sorted(old)}).encode())
+        for n in (n for v in old.values() for n in v["names"]):
+            for path in (f"{base}/{n}", f"{base}/{n}.idx"):
+                fs.delete_file(path)
 
     def abort(self, messages):
         fs, base = file_system(self.path)
@@ -147,8 +184,10 @@ class WarcReader(DataSourceReader):
 
     def partitions(self):
         fs, base = file_system(self.path)
-        with fs.open_input_stream(f"{base}/_files.json", compression=None) as f:
-            names = json.loads(f.read())
+        lists = _lists(fs, base)
+        if not lists:
+            raise FileNotFoundError(f"no WARC archives in {self.path}")
+        names = sorted(n for v in lists.values() for n in v["names"])
         sizes = [i.size for i in fs.get_file_info([f"{base}/{n}" for n in names])] if names else []
         runs, run, total = [], [], 0
         for name, size in zip(names, sizes):
@@ -168,12 +207,13 @@ class WarcReader(DataSourceReader):
                 for at, size in index:
                     f.seek(at)
                     head, rest = self._headers(f, size)
-                    values = {c: head.get(HEADERS[c]) for c in columns}
+                    values = {c: base64.b64decode(head[f"X-Whole-{c}"]).decode() if f"X-Whole-{c}" in head else head.get(HEADERS[c]) for c in columns}
                     if any(values[c] not in v for c, v in self.wanted.items()) or any(values[c] is None for c in self.present):
                         continue
                     body = None
                     if self.payload:
                         body = rest(f)[: int(head["Content-Length"])]
+                        body = body.partition(b"\r\n\r\n")[2] if head["Content-Type"].startswith("application/http") else body
                     rows.append(values | {"payload": body})
                     if len(rows) >= 512:
                         yield self._batch(rows)
@@ -214,7 +254,7 @@ class WarcDataSource(DataSource):
         return WarcReader(self.options["path"], self.options.get("payload", "true") == "true", int(self.options.get("splitbytes", 64 << 20)))
 
     def writer(self, schema, overwrite):
-        return WarcWriter(self.options["path"], int(self.options.get("filebytes", 64 << 20)))
+        return WarcWriter(self.options["path"], int(self.options.get("filebytes", 64 << 20)), overwrite)
 
 
 def register(spark: SparkSession) -> None:
@@ -229,7 +269,7 @@ def to_records(pages: DataFrame, min_bytes: int = 100) -> DataFrame:
     firsts = (
         rows.filter(F.col("payload_bytes") >= min_bytes)
         .groupBy("digest")
-        .agg(F.min("page_id").alias("first"), F.min(F.struct("page_id", "target_uri"))["target_uri"].alias("first_uri"), F.count(F.lit(1)).alias("n"))
+        .agg(F.min("page_id").alias("first"), F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "target_uri")))["target_uri"].alias("first_uri"), F.count(F.lit(1)).alias("n"))
         .filter("n > 1")
         .select("digest", "first", "first_uri")
     )
@@ -246,9 +286,9 @@ def to_records(pages: DataFrame, min_bytes: int = 100) -> DataFrame:
     )
 
 
-def write_warc(records: DataFrame, path: str) -> None:
+def write_warc(records: DataFrame, path: str, mode: str = "append") -> None:
     register(records.sparkSession)
-    records.write.format("warc").mode("append").save(path)
+    records.write.format("warc").mode(mode).save(path)
 
 
 def read_warc(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
