@@ -1,86 +1,105 @@
-"""Benchmark decontamination: exact windows and proximity by a positional inverted index.
+"""Benchmark decontamination: exact windows and proximity by a distributed positional inverted index.
 
-Every window of a test item (10 words, or the whole item if it has fewer) is searched from
-its rarest term, by counts over the whole corpus. The index stores the postings of such
-terms: document, position, and the words up to 9 places on either side. Joined by term, the
-postings' neighbours are intersected with the item's at the same offsets; the run of equal
-words around the posting shows which windows hold it. Nothing but native operations.
+The index holds postings (term, document, position) of the terms that searches start from. A
+window of a test item (10 words, or the whole item if it has fewer) takes its LISTS rarest
+terms, by counts over the whole corpus, and intersects their postings from the rarest on:
+each term's positions, less its offset in the window, are the places where the window may
+start. Places that all lists share are compared with the document's words, so that hits are
+exact. Proximity joins two terms' postings by document and stretch of positions. Nothing but
+native operations.
+
+Terms of many postings are dealt out: a term's postings get a salt for each SALT of them. All
+joins are on thin rows, and Spark itself sends a side to all executors only if its measured
+size is below spark.sql.autoBroadcastJoinThreshold.
 
 Null texts and texts without words have none, and are hit by nothing. Rows that share doc_id
-and text get the same result. Items that share an item_id count as one, and so do those without one: they hit like any
-other and are counted, but the list of ids has no entry for them. Extra columns go.
+and text get the same result; null doc_ids are a value like any other. Items that share an
+item_id count as one, and so do those without one: they hit like any other and are counted,
+but the list of ids has no entry for them. A window that several items have is searched once.
+Empty tables give no rows, or no hits. Extra columns, whatever their names, stay in
+drop_contaminated and go elsewhere.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import shared
 
-WINDOW = 10
+#: Words of a window, lists that are intersected before words are compared, and postings of a term to a salt.
+WINDOW, LISTS, SALT = 10, 3, 1_000_000
 DELIMITERS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Rows up to which a table of terms is sent to all executors; it's counted first. Beyond it, joins shuffle.
-BROADCAST_ROWS = 200_000
 
 
 def words(text):
     return F.filter(F.split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), DELIMITERS), lambda w: w != "")
 
 
-def _small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+def windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """item_id, phrase (words), wid (their digest) of every window of every item."""
+    rows = shared.with_columns(benchmark, "item_id", "text").select("item_id", words(F.col("text")).alias("item")).filter(F.size("item") > 0)
+    starts = F.sequence(F.lit(1), F.greatest(F.size("item") - window + 1, F.lit(1)))
+    each = rows.select("item_id", F.explode(F.transform(starts, lambda s: F.slice("item", s, window))).alias("phrase"))
+    return each.withColumn("wid", F.unhex(F.md5(F.array_join("phrase", " ")))).distinct()
+
+
+def frequencies(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """term, n of those of the terms that occur."""
+    seen = shared.with_columns(docs, "text").select(F.explode(words(F.col("text"))).alias("term"))
+    return seen.join(terms.select("term"), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _items(benchmark: DataFrame) -> DataFrame:
-    rows = shared.with_columns(benchmark, "item_id", "text").select("item_id", words(F.col("text")).alias("item"))
-    return rows.filter(F.size("item") > 0).distinct()
+def salts(n):
+    return F.ceil(n / SALT).cast("int")
 
 
-def index(docs: DataFrame, terms: DataFrame, reach: int = WINDOW - 1) -> DataFrame:
-    """Postings of the given terms (column term), and one row without a term per document.
+def index(docs: DataFrame, counted: DataFrame) -> DataFrame:
+    """Postings of the given terms (term, n).
 
-    Columns doc_id, text_key, n_words, pos, term, before and after: up to reach words next
-    to the posting on each side, nearest first.
+    Columns doc_id, text_key, n_words, pos (from 0), term, salt.
     """
     rows = shared.with_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), words(F.col("text")).alias("w"))
-    each = rows.select("doc_id", "text_key", "w", F.posexplode_outer("w").alias("pos", "word"))
-    found = each.join(_small(terms.select(F.col("term").alias("word"), F.col("term"))), "word", "left").filter("term IS NOT NULL OR pos IS NULL OR pos = 0")
-    near = F.least(F.lit(reach), F.col("pos"))
-    before = F.when(F.col("term").isNotNull(), F.reverse(F.slice("w", F.col("pos") - near + 1, near)))
-    after = F.when(F.col("term").isNotNull(), F.slice("w", F.col("pos") + 2, F.lit(reach)))
-    return found.select("doc_id", "text_key", F.size("w").cast("long").alias("n_words"), "pos", "term", before.alias("before"), after.alias("after"))
-
-
-def anchors(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The rarest term of each window of each item: term, item_id, q (its place), before, after, least."""
-    items = shared.materialise(_items(benchmark), "items")
-    places = items.select("item_id", "item", F.posexplode("item").alias("q", "term"))
-    terms = places.select("term").distinct()
-    seen = shared.with_columns(docs, "text").select(F.explode(words(F.col("text"))).alias("term"))
-    counts = seen.join(_small(terms), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    ranked = places.join(counts, "term", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    span = Window.partitionBy("item_id", "item").orderBy("q").rowsBetween(0, window - 1)
-    best = ranked.withColumn("rarest", F.min(F.struct("n", "term", "q")).over(span))
-    best = best.filter((F.col("q") <= F.size("item") - window) | (F.col("q") == 0)).filter("rarest.n > 0")
-    q, size = F.col("rarest.q"), F.size("item")
-    near = F.least(F.lit(window - 1), q)
-    return best.select(
-        F.col("rarest.term").alias("term"),
-        "item_id",
-        q.alias("q"),
-        F.reverse(F.slice("item", q - near + 1, near)).alias("item_before"),
-        F.slice("item", q + 2, F.lit(window - 1)).alias("item_after"),
-        F.least(F.lit(window), size).alias("least"),
-    ).distinct()
-
-
-def _equal_run(a, b):
-    """How many leading words two arrays share."""
-    n = F.least(F.size(a), F.size(b))
-    differ = F.array_position(F.zip_with(F.slice(a, F.lit(1), n), F.slice(b, F.lit(1), n), lambda x, y: x == y), F.lit(False))
-    return F.when(differ == 0, n).otherwise(differ - 1).cast("int")
+    # the array itself must not go along, or a long document would be shuffled once a word
+    each = rows.select("doc_id", "text_key", F.size("w").alias("n_words"), F.posexplode("w").alias("pos", "term"))
+    known = counted.select("term", salts(F.col("n")).alias("salts"))
+    found = each.join(known, "term").withColumn("salt", F.pmod(F.xxhash64("doc_id", "text_key"), F.col("salts")).cast("int"))
+    return found.select("doc_id", "text_key", "n_words", "pos", "term", "salt")
+
+
+def searches(phrases: DataFrame, counted: DataFrame) -> DataFrame:
+    """wid, size, n and lists (term, offset) of each phrase's rarest terms in order; none of phrases with a term that never occurs."""
+    each = phrases.select("wid", F.size("phrase").alias("size"), F.posexplode("phrase").alias("offset", "term"))
+    ranked = each.join(counted, "term").groupBy("wid", "size").agg(F.array_sort(F.collect_list(F.struct("n", "term", "offset"))).alias("all")).filter(F.size("all") == F.col("size"))
+    lists = F.transform(F.slice("all", 1, LISTS), lambda t: F.struct(t["term"].alias("term"), t["offset"].alias("offset")))
+    return ranked.select("wid", "size", F.col("all")[0]["n"].alias("n"), lists.alias("lists"))
+
+
+def intersect(postings: DataFrame, asked: DataFrame) -> DataFrame:
+    """doc_id, text_key, wid, start: where all of a search's lists agree."""
+    first = asked.select("wid", "size", "lists", F.col("lists")[0]["term"].alias("term"), F.col("lists")[0]["offset"].alias("offset"), F.explode(F.sequence(F.lit(0), salts(F.col("n")) - 1)).alias("salt"))
+    found = postings.join(first, ["term", "salt"]).withColumn("start", F.col("pos") - F.col("offset")).filter("start >= 0 AND start + size <= n_words")
+    found = found.select("doc_id", "text_key", "wid", "start", "lists")
+    at = postings.select(F.col("doc_id").alias("d"), F.col("text_key").alias("k"), F.col("pos").alias("p"), F.col("term").alias("t"))
+    for i in range(1, LISTS):
+        here = F.get("lists", F.lit(i))  # shorter phrases ask for their first term again
+        term, offset = F.coalesce(here["term"], F.col("lists")[0]["term"]), F.coalesce(here["offset"], F.col("lists")[0]["offset"])
+        found = found.withColumns({"ti": term, "pi": F.col("start") + offset})
+        found = found.join(at, (F.col("ti") == F.col("t")) & (F.col("text_key") == F.col("k")) & (F.col("pi") == F.col("p")) & F.col("doc_id").eqNullSafe(F.col("d")), "left_semi")
+    return found.select("doc_id", "text_key", "wid", "start")
+
+
+def matches(docs: DataFrame, postings: DataFrame, phrases: DataFrame, asked: DataFrame) -> DataFrame:
+    """doc_id, text_key, n_words, hits (array of start, wid, phrase) of the documents with exact matches, and of others without."""
+    found = intersect(postings, asked).join(phrases.select("wid", "phrase"), "wid")
+    found = found.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "wid", "phrase")).alias("hits"))
+    rows = shared.with_columns(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
+    joined, names = shared.by_row(rows, found, "left")
+    w = words(F.col("text"))
+    joined = joined.select("doc_id", F.xxhash64("text").alias("text_key"), w.alias("w"), F.col(names["hits"]).alias("hits"))
+    exact = F.filter("hits", lambda h: F.slice("w", h["start"] + 1, F.size(h["phrase"])) == h["phrase"])
+    return joined.select("doc_id", "text_key", F.size("w").cast("long").alias("n_words"), F.coalesce(F.when(F.col("hits").isNotNull(), exact), F.array().cast(found.schema["hits"].dataType)).alias("hits"))
 
 
 def _covered(intervals):
@@ -93,30 +112,37 @@ def _covered(intervals):
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, text_key, n_words, n_hit, items (sorted strings), n_items of every document row."""
-    wanted = shared.materialise(anchors(docs, benchmark, window), "anchors")
-    postings = shared.materialise(index(docs, wanted.select("term").distinct(), window - 1), "postings")
-    pairs = postings.filter("term IS NOT NULL").join(_small(wanted), "term")
-    pairs = pairs.withColumns({"left": _equal_run("before", "item_before"), "right": _equal_run("after", "item_after")}).filter("left + right + 1 >= least")
-    hits = pairs.groupBy("doc_id", "text_key").agg(
-        F.collect_set(F.struct((F.col("pos") - F.col("left")).alias("first"), (F.col("pos") + F.col("right")).alias("last"))).alias("spans"), F.collect_set(F.col("item_id").cast("string")).alias("items"), F.max(F.col("item_id").isNull().cast("long")).alias("unnamed")
-    )
-    hits = hits.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), _covered("spans").cast("long").alias("n_hit"), F.array_sort("items").alias("items"), (F.size("items") + F.col("unnamed")).alias("n_items"))
-    every = postings.filter("pos IS NULL OR pos = 0").select("doc_id", "text_key", "n_words")
-    joined = every.join(hits, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")), "left")
-    return joined.select("doc_id", "text_key", F.greatest("n_words", F.lit(0)).alias("n_words"), F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"))
+    items = shared.materialise(windows(benchmark, window), "items")
+    phrases = items.select("wid", "phrase").distinct()
+    terms = phrases.select(F.explode("phrase").alias("term")).distinct()
+    counted = shared.materialise(frequencies(docs, terms), "frequencies")
+    asked = shared.materialise(searches(phrases, counted), "searches")
+    wanted = asked.select(F.explode("lists.term").alias("term")).distinct()
+    postings = shared.materialise(index(docs, counted.join(wanted, "term", "left_semi")), "postings")
+    found = shared.materialise(matches(docs, postings, phrases, asked), "matches")
+    spans = F.transform("hits", lambda h: F.struct(h["start"].alias("first"), (h["start"] + F.size(h["phrase"]) - 1).alias("last")))
+    each = found.select("doc_id", "text_key", F.explode(F.array_distinct("hits.wid")).alias("wid")).distinct()
+    named = each.join(items.select("wid", "item_id"), "wid").groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"), F.max(F.col("item_id").isNull().cast("long")).alias("unnamed"))
+    named = named.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "items", (F.size("items") + F.col("unnamed")).alias("n_items"))
+    joined = found.join(named, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")), "left")
+    return joined.select("doc_id", "text_key", "n_words", _covered(spans).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"))
 
 
 def near(docs: DataFrame, first: str, second: str, within: int) -> DataFrame:
     """Proximity: doc_id, pos of term first with term second at most within words away, on either side."""
-    terms = docs.sparkSession.createDataFrame([(first,)], "term string")
-    found = index(docs, terms, within).filter("term IS NOT NULL")
-    return found.filter(F.array_contains("before", second) | F.array_contains("after", second)).select("doc_id", "pos")
+    terms = docs.sparkSession.createDataFrame([(t,) for t in {first, second}], "term string")
+    postings = shared.materialise(index(docs, frequencies(docs, terms)), "postings")
+    stretch = F.floor(F.col("pos") / within).cast("long")
+    left = postings.filter(F.col("term") == first).select("doc_id", "text_key", "pos", F.explode(F.array(stretch - 1, stretch, stretch + 1)).alias("stretch"))
+    right = postings.filter(F.col("term") == second).select(F.col("doc_id").alias("d"), F.col("text_key").alias("k"), F.col("pos").alias("p"), stretch.alias("s"))
+    met = left.doc_id.eqNullSafe(right.d) & (left.text_key == right.k) & (left.stretch == right.s) & (F.abs(left.pos - right.p).between(1, within))
+    return left.join(right, met, "left_semi").select("doc_id", "text_key", "pos").distinct().select("doc_id", "pos")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that no window of the benchmark hits, with their columns."""
-    bad = decontaminate(docs, benchmark).filter("n_hit > 0").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key")), "left_anti")
+    bad = decontaminate(docs, benchmark).filter("n_hit > 0").select("doc_id", "text_key")
+    return shared.by_row(docs, bad, "left_anti")[0]
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
