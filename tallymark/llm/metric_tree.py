@@ -2,21 +2,27 @@
 
 With an added coordinate sqrt(R^2 - |x|^2), R the largest norm, and 0 for queries, the
 inner product is |q|^2 + R^2 minus the squared distance, over 2: the nearest vectors have
-the highest products. Vectors go to shards by the nearest of some pivots; large cells are
-salted, so a shard has a bounded share however many vectors are alike. Each shard holds an
-M-tree: pages of routing objects with covering radii, of leaves' entries, and the distances
-of both to their parents. A search opens pages by their least possible distance, and skips
-what the triangle inequality rules out from stored distances, before computing any.
+the highest products. Vectors go to cells by the nearest of some pivots, and a cell's vectors
+to as many shards as bound a shard's share, however many vectors are alike. Each shard holds
+an M-tree: pages of routing objects with covering radii, of leaves' entries, and the
+distances of both to their parents. A block of queries opens pages by their least possible
+distance, each query its own best page first, and a page only for those queries that the
+triangle inequality doesn't rule out from stored distances, before it computes any.
+
+Blocks of the stated queries go to the shards of their own cell first. Then each query goes
+only to cells whose covering radius leaves room for a vector that beats its k-th score so
+far, and brings that score along. A tree is sent once for SERVED blocks. Where vectors in
+many dimensions lie far apart, no bound rules much out, and every block meets every shard.
 
-Stated queries run in blocks against every shard, and the shards' results are merged.
 Scores are exact integers. Vectors that are null, empty, or hold null or non-finite values,
 and null ids, take no part. Vectors of different lengths are never compared. Repeated ids
-are one query; all rows of the query's id count as its own.
+are one query, by the least of their vectors; all rows of the query's id count as its own,
+and each row of another id as a candidate. Ties go to smaller ids. Empty tables give no rows;
+extra columns go.
 """
 
 from __future__ import annotations
 
-import heapq
 import pickle
 
 import numpy as np
@@ -26,9 +32,11 @@ from pyspark.sql import functions as F
 
 from . import shared
 
-#: Pivots (a bounded sample), vectors of a shard, entries of a page, queries of a block.
-PIVOTS, SHARD, PAGE, BLOCK = 32, 8192, 512, 512
+#: Pivots of vectors of one length (a bounded sample), vectors of a shard, entries of a page, queries of a block, and blocks that a copy of a tree serves.
+PIVOTS, SHARD, PAGE, BLOCK, SERVED = 32, 8192, 512, 512, 32
 EXACT = 2**52
+#: A score below all others.
+NONE = -(2**62)
 
 
 def integer_vectors(rows: DataFrame, scale: int = 64) -> DataFrame:
@@ -53,6 +61,11 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a @ b.T
 
 
+def small(v: np.ndarray) -> np.ndarray:
+    """In the least type that holds its values."""
+    return v.astype(np.result_type(np.min_scalar_type(int(v.min(initial=0))), np.min_scalar_type(int(v.max(initial=0))))) if v.size else v
+
+
 class Tree:
     """An M-tree of two levels of routing objects over leaf pages."""
 
@@ -74,6 +87,14 @@ class Tree:
             d = self.distance(heads[m], lead)
             self.inner.append((lead, m, d, radii[m], float((d + radii[m]).max())))
 
+    def __getstate__(self) -> dict:
+        return {k: small(x) if k == "v" else x for k, x in self.__dict__.items() if k != "flat"}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self.v = self.v.astype(np.int64)
+        self.flat = self.v.astype(np.float64)
+
     def _leader(self, members: np.ndarray) -> int:
         """The member nearest to the mean."""
         mean = self.flat[members].mean(axis=0)
@@ -101,126 +122,189 @@ class Tree:
         order = np.argsort(d, kind="stable")
         return lead, members[order], d[order]
 
-    def search(self, own: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the k best, ties to smaller ids."""
+    def search(self, own: np.ndarray, q: np.ndarray, floor: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and scores (a row for each query, NONE where there is none) of the k best that score at least floor."""
         qf = q.astype(np.float64)
-        q2 = float(qf @ qf)
-        base = q2 + self.norm2
-        slack = 1e-7 * (1 + base)
-        reach = lambda rows: np.sqrt(np.maximum(base - 2 * (self.flat[rows] @ qf), 0))
-        best_ids, best = np.empty(0, np.int64), np.empty(0, np.int64)
-        bound = np.inf  # on the distance, with room for rounding
-        d_inner = reach(np.array([x[0] for x in self.inner])) if self.inner else []
-        heap = [(max(0.0, d - x[4]), 0, i, d) for i, (x, d) in enumerate(zip(self.inner, d_inner))]
-        heapq.heapify(heap)
-        exact = self.exact and int(np.abs(q).max(initial=0)) * int(np.abs(self.v).max(initial=0)) * max(1, len(q)) < EXACT
-        while heap:
-            least, leaf, i, d = heapq.heappop(heap)
-            if least > bound:
-                break
-            if not leaf:
-                _, children, parent, radii, _ = self.inner[i]
-                ok = np.abs(d - parent) - radii <= bound
-                children, radii = children[ok], radii[ok]
-                if len(children):
-                    far = reach(np.array([self.leaves[c][0] for c in children]))
-                    for c, f, r in zip(children.tolist(), far.tolist(), radii.tolist()):
-                        if f - r <= bound:
-                            heapq.heappush(heap, (max(0.0, f - r), 1, c, f))
-                continue
-            _, members, parent = self.leaves[i]
-            if bound < np.inf:  # the entries lie in order of their distance to the routing object
-                a, z = np.searchsorted(parent, [d - bound, d + bound + 1e-9])
-                members = members[max(0, a - 1) : z + 1]
-            members = members[self.ids[members] != own]
-            if not len(members):
-                continue
-            score = (self.flat[members] @ qf).astype(np.int64) if exact else self.v[members] @ q
-            if len(best) >= k:
-                ok = score >= best[-1]
-                members, score = members[ok], score[ok]
-                if not len(members):
-                    continue
-            ids = np.concatenate([best_ids, self.ids[members]])
-            best = np.concatenate([best, score])
-            order = np.lexsort((ids, -best))[:k]
-            best_ids, best = ids[order], best[order]
-            if len(best) >= k:
-                bound = np.sqrt(max(base - 2 * float(best[-1]) + slack, 0))
+        base = (qf * qf).sum(axis=1) + self.norm2
+        room = 1e-6 * (1 + np.sqrt(base))
+        exact = self.exact and int(np.abs(q).max(initial=0)) * int(np.abs(self.v).max(initial=0)) * max(1, q.shape[1]) < EXACT
+        best, best_ids = np.full((len(q), k), NONE), np.full((len(q), k), np.iinfo(np.int64).max)
+        bound = np.empty(len(q))  # on the distance, with room for rounding
+
+        def reach(who, rows):
+            return np.sqrt(np.maximum(base[who, None] - 2 * qf[who] @ self.flat[rows].T, 0))
+
+        def tighten(who):
+            least = np.maximum(best[who, -1], floor[who])
+            bound[who] = np.where(least > NONE, np.sqrt(np.maximum(base[who] - 2 * least + 1e-7 * (1 + base[who]), 0)) + room[who], np.inf)
+
+        def visit(leaf, who):
+            head, members, parent = self.leaves[leaf]
+            far = reach(who, [head])[:, 0]
+            near = far - parent[-1] <= bound[who]
+            who, far = who[near], far[near]
+            if not len(who):
+                return
+            # the entries lie in order of their distance to the routing object
+            a, z = np.searchsorted(parent, [(far - bound[who]).min(), (far + bound[who]).max()])
+            members = members[max(0, a - 1) : z + 1]
+            score = (qf[who] @ self.flat[members].T).astype(np.int64) if exact else q[who] @ self.v[members].T
+            score[self.ids[members][None] == own[who, None]] = NONE
+            row, col = np.nonzero((score >= np.maximum(best[who, -1], floor[who])[:, None]) & (score > NONE))
+            if not len(row):
+                return
+            some, row_of = np.unique(row, return_inverse=True)
+            at = who[some]
+            rows = np.concatenate([np.repeat(np.arange(len(some)), k), row_of])
+            scores, ids = np.concatenate([best[at].ravel(), score[row, col]]), np.concatenate([best_ids[at].ravel(), self.ids[members[col]]])
+            order = np.lexsort((ids, -scores, rows))
+            first = np.searchsorted(rows[order], np.arange(len(some)))
+            order = order[(first[:, None] + np.arange(k)).ravel()]
+            best[at], best_ids[at] = scores[order].reshape(-1, k), ids[order].reshape(-1, k)
+            tighten(at)
+
+        every = np.arange(len(q))
+        tighten(every)
+        d_inner = reach(every, [x[0] for x in self.inner])
+        low = np.zeros((len(q), len(self.leaves)))  # least distances by what is stored of a leaf
+        for d, (_, children, parent, radii, cover) in zip(d_inner.T, self.inner):
+            low[:, children] = np.maximum(np.maximum(np.abs(d[:, None] - parent) - radii, (d - cover)[:, None]), 0)
+        own_leaf = low.argmin(axis=1)
+        for leaf in np.unique(own_leaf).tolist():
+            visit(leaf, np.flatnonzero(own_leaf == leaf))
+        low[every, own_leaf] = np.inf
+        for leaf in np.argsort(low.min(axis=0), kind="stable").tolist():
+            who = np.flatnonzero(low[:, leaf] <= bound)
+            who = who[low[who, leaf] < np.inf]
+            if len(who):
+                visit(leaf, who)
         return best_ids, best
 
 
+def assign(vectors: DataFrame, pivots: dict[int, np.ndarray], largest: dict[int, float], asked: bool) -> DataFrame:
+    """vec_id, v, dim, cell (the nearest pivot) and d (how far it is), of queries or of candidates."""
+
+    def run(batches):
+        for batch in batches:
+            sizes = np.array([len(x) for x in batch.column(1)])
+            for dim in np.unique(sizes).tolist():
+                part = batch.filter(pa.array(sizes == dim))
+                v, p = matrix(part.column(1)).astype(np.float64), pivots[dim].astype(np.float64)
+                n2 = (v * v).sum(axis=1)
+                lift = np.zeros(len(v)) if asked else np.sqrt(np.maximum(largest[dim] - n2, 0))
+                p2 = (p * p).sum(axis=1)
+                d2 = n2[:, None] + p2 - 2 * v @ p.T + (lift[:, None] - np.sqrt(np.maximum(largest[dim] - p2, 0))) ** 2
+                cell = d2.argmin(axis=1)
+                d = np.sqrt(np.maximum(d2[np.arange(len(v)), cell], 0))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array([dim] * part.num_rows, pa.int32()), pa.array(cell, pa.int32()), pa.array(d)], names=["vec_id", "v", "dim", "cell", "d"])
+
+    return vectors.select("vec_id", "v").mapInArrow(run, "vec_id long, v array<long>, dim int, cell int, d double")
+
+
+SHARD_KEY = ["dim", "cell", "part"]
+
+
+def serve(requests: DataFrame, trees: DataFrame, k: int) -> DataFrame:
+    """query_id, vec_id, score: the k best of each shard for each query of the requests (dim, cell, part, block, data)."""
+    copies = shared.materialise(requests.groupBy(*SHARD_KEY).agg(F.ceil(F.count(F.lit(1)) / SERVED).cast("int").alias("copies")), "copies")
+    total = copies.agg(F.sum("copies")).first()[0] or 1
+    dealt = requests.join(copies, SHARD_KEY).select(*SHARD_KEY, F.pmod(F.xxhash64("block"), F.col("copies")).cast("int").alias("copy"), F.lit(1).alias("kind"), "data")
+    sent = trees.join(copies, SHARD_KEY).select(*SHARD_KEY, F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"), F.lit(0).alias("kind"), F.col("tree").alias("data"))
+    key = [*SHARD_KEY, "copy"]
+
+    def run(batches):
+        tree = None
+        for batch in batches:
+            for kind, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if kind == 0:
+                    tree = pickle.loads(data.as_py())
+                    continue
+                ids, v, floor = pickle.loads(data.as_py())
+                found, score = tree.search(ids, v.astype(np.int64), floor, k)
+                row, col = np.nonzero(score > NONE)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[row]), pa.array(found[row, col]), pa.array(score[row, col])], names=["query_id", "vec_id", "score"])
+
+    both = sent.unionByName(dealt).repartition(int(total), *key).sortWithinPartitions(*key, "kind")
+    return both.select("kind", "data").mapInArrow(run, "query_id long, vec_id long, score long")
+
+
+def best_of(found: DataFrame, k: int) -> DataFrame:
+    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
 def top_k(queries: DataFrame, candidates: DataFrame, k: int = 20) -> DataFrame:
     """query_id, rank, vec_id, score of the k highest inner products of each query.
 
-    Both have vec_id and v (integers). The pivots, the largest norm and the counts of the
-    cells come to the driver.
+    Both have vec_id and v (integers). The driver gets, for each length of vectors, the
+    largest norm and PIVOTS pivots, and the sizes and radii of their cells.
     """
     spark = candidates.sparkSession
     norm = F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a + x * x)
-    stats = {r["dim"]: (r["n"], float(r["m"])) for r in candidates.groupBy(F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("m")).collect()}
+    largest = {r["dim"]: float(r["m"]) for r in candidates.groupBy(F.size("v").alias("dim")).agg(F.max(norm).alias("m")).collect()}
     schema = "query_id long, rank int, vec_id long, score long"
-    if not stats:
+    if not largest:
         return spark.createDataFrame([], schema)
     pivots: dict[int, np.ndarray] = {}
-    for dim in stats:  # as many as there are lengths of vectors
-        chosen = candidates.filter(F.size("v") == dim).orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOTS).collect()
+    for dim in largest:  # as many as there are lengths of vectors
+        chosen = candidates.filter(F.size("v") == dim).orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(PIVOTS).collect()
         pivots[dim] = np.array([r["v"] for r in chosen], np.int64).reshape(-1, dim)
-
-    def assign(batches):
-        for batch in batches:
-            sizes = np.array([len(x) for x in batch.column(1)])
-            for dim in np.unique(sizes).tolist():
-                part = batch.filter(pa.array(sizes == dim))
-                v, p = matrix(part.column(1)).astype(np.float64), pivots[dim].astype(np.float64)
-                norm2 = stats[dim][1]
-                lift_v, lift_p = (np.sqrt(np.maximum(norm2 - (x * x).sum(axis=1), 0)) for x in (v, p))
-                d2 = (v * v).sum(axis=1)[:, None] + (p * p).sum(axis=1)[None] - 2 * v @ p.T + (lift_v[:, None] - lift_p[None]) ** 2
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array([dim] * part.num_rows, pa.int32()), pa.array(d2.argmin(axis=1), pa.int32())], names=["vec_id", "v", "dim", "cell"])
-
-    celled = shared.materialise(candidates.select("vec_id", "v").mapInArrow(assign, "vec_id long, v array<long>, dim int, cell int"), "cells")
-    counts = [(r["dim"], r["cell"], -(-r["n"] // SHARD)) for r in celled.groupBy("dim", "cell").agg(F.count(F.lit(1)).alias("n")).collect()]
-    first, shards = {}, []
-    for dim, cell, parts in sorted(counts):
-        first[dim, cell] = (len(shards), parts)
-        shards += [dim] * parts
-    start = F.create_map(*[x for (d, c), (a, _) in first.items() for x in (F.lit(f"{d}:{c}"), F.lit(a))])
-    parts = F.create_map(*[x for (d, c), (_, n) in first.items() for x in (F.lit(f"{d}:{c}"), F.lit(n))])
-    key = F.concat_ws(":", F.col("dim").cast("string"), F.col("cell").cast("string"))
-    shard = (F.element_at(start, key) + F.pmod(F.xxhash64("vec_id"), F.element_at(parts, key))).cast("int")
+    celled = shared.materialise(assign(candidates, pivots, largest, False), "cells")
+    cells = celled.groupBy("dim", "cell").agg(F.ceil(F.count(F.lit(1)) / SHARD).cast("int").alias("parts"), F.max("d").alias("radius")).collect()
+    parts = {(r["dim"], r["cell"]): r["parts"] for r in cells}
+    radii = {dim: np.array([next((r["radius"] for r in cells if (r["dim"], r["cell"]) == (dim, c)), -np.inf) for c in range(len(p))]) for dim, p in pivots.items()}
+    sizes = F.broadcast(spark.createDataFrame([(d, c, n) for (d, c), n in parts.items()], "dim int, cell int, parts int"))  # PIVOTS rows a length
 
     def build(group: pa.Table) -> pa.Table:
         v = matrix(group.column("v"))
-        tree = Tree(np.asarray(group.column("vec_id")), v, stats[v.shape[1]][1])
-        return pa.table([group.column("shard").slice(0, 1), pa.array([pickle.dumps(tree, 5)], pa.binary())], names=["shard", "tree"])
+        tree = Tree(np.asarray(group.column("vec_id")), v, largest[v.shape[1]])
+        return pa.table([*(group.column(c).slice(0, 1) for c in SHARD_KEY), pa.array([pickle.dumps(tree, 5)], pa.binary())], names=[*SHARD_KEY, "tree"])
 
-    trees = shared.materialise(celled.select(shard.alias("shard"), "vec_id", "v").groupBy("shard").applyInArrow(build, "shard int, tree binary"), "trees")
+    # dealt by rows, not by ids, as one id may have most of them
+    part = F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.col("parts")).cast("int")
+    sharded = celled.select("dim", "cell", "vec_id", "v").join(sizes, ["dim", "cell"]).select("dim", "cell", part.alias("part"), "vec_id", "v")
+    trees = shared.materialise(sharded.groupBy(*SHARD_KEY).applyInArrow(build, "dim int, cell int, part int, tree binary"), "trees")
 
-    asked = queries.select("vec_id", "v").dropDuplicates(["vec_id"]).withColumn("dim", F.size("v"))
-    blocks = max(1, -(-asked.count() // BLOCK))
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
+    asked = queries.filter(F.size("v").isin(*largest)).groupBy("vec_id").agg(F.min("v").alias("v"))
+    asked = shared.materialise(assign(asked, pivots, largest, True).drop("d"), "asked")
+    counts = asked.groupBy("dim", "cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    asked = shared.materialise(asked.join(counts, ["dim", "cell"]).select("dim", "cell", "vec_id", "v", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).alias("block")), "asked")
 
     def pack(group: pa.Table) -> pa.Table:
-        data = pickle.dumps((np.asarray(group.column("vec_id")), matrix(group.column("v"))), 5)
-        return pa.table([group.column("dim").slice(0, 1), group.column("block").slice(0, 1), pa.array([data], pa.binary())], names=["dim", "block", "queries"])
+        data = pickle.dumps((np.asarray(group.column("vec_id")), small(matrix(group.column("v"))), np.asarray(group.column("floor"))), 5)
+        return pa.table([*(group.column(c).slice(0, 1) for c in ("dim", "cell", "block")), pa.array([data], pa.binary())], names=["dim", "cell", "block", "data"])
+
+    def blocks(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("dim", "cell", "block").applyInArrow(pack, "dim int, cell int, block long, data binary")
 
-    packed = shared.materialise(asked.groupBy("dim", "block").applyInArrow(pack, "dim int, block int, queries binary"), "blocks")
-    where = F.create_map(*[x for d in stats for x in (F.lit(d), F.array(*[F.lit(i) for i, s in enumerate(shards) if s == d]))])
-    pairs = packed.select("queries", F.explode(F.try_element_at(where, F.col("dim"))).alias("shard"))
+    home = blocks(asked.withColumn("floor", F.lit(NONE))).join(sizes, ["dim", "cell"])
+    home = shared.materialise(home.select("dim", "cell", "block", "data", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")), "requests")
+    first = shared.materialise(best_of(serve(home, trees, k), k), "first")
+    floors = first.groupBy(F.col("query_id").alias("vec_id")).agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).otherwise(F.lit(NONE)).alias("floor"))
 
-    def search(batches):
+    def route(batches):
+        """A row for each shard of each cell, the block's own left out, that may still better some of the block's queries."""
         for batch in batches:
-            for raw, data in zip(batch.column(0), batch.column(1)):
-                tree = pickle.loads(data.as_py())
-                ids, vs = pickle.loads(raw.as_py())
-                found = [tree.search(int(i), v, k) for i, v in zip(ids, vs)]
-                sizes = [len(f[0]) for f in found]
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, sizes), pa.int64()), pa.array(np.concatenate([f[0] for f in found]), pa.int64()), pa.array(np.concatenate([f[1] for f in found]), pa.int64())], names=["query_id", "vec_id", "score"])
-
-    met = pairs.join(trees, "shard").select("queries", "tree").repartition(max(1, blocks * len(shards)))
-    found = met.mapInArrow(search, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+            for dim, cell, block, data in zip(*(batch.column(k).to_pylist() for k in range(4))):
+                ids, v, floor = pickle.loads(data)
+                q, p = v.astype(np.float64), pivots[dim].astype(np.float64)
+                base = (q * q).sum(axis=1) + largest[dim]
+                far = np.sqrt(np.maximum(base[:, None] - 2 * q @ p.T, 0))
+                bound = np.where(floor > NONE, np.sqrt(np.maximum(base - 2 * floor + 1e-7 * (1 + base), 0)) + 1e-6 * (1 + np.sqrt(base)), np.inf)
+                wanted = far - radii[dim] <= bound[:, None]
+                out = []
+                for c in np.flatnonzero(wanted.any(axis=0)).tolist():
+                    if c != cell and (dim, c) in parts:
+                        who = wanted[:, c]
+                        some = pickle.dumps((ids[who], v[who], floor[who]), 5)
+                        out += [(dim, c, part, block * PIVOTS + cell, some) for part in range(parts[dim, c])]
+                for at in range(0, len(out), 64):
+                    cols = zip(*out[at : at + 64])
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary()))], names=[*SHARD_KEY, "block", "data"])
+
+    again = blocks(asked.join(floors, "vec_id", "left").withColumn("floor", F.coalesce("floor", F.lit(NONE))))
+    rest = shared.materialise(again.select("dim", "cell", "block", "data").mapInArrow(route, "dim int, cell int, part int, block long, data binary"), "requests")
+    return best_of(first.drop("rank").unionByName(serve(rest, trees, k)), k)
 
 
 def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
