@@ -23,7 +23,13 @@ it needs, so only names and bitmaps are shuffled. A block sends a name once howe
 it has it, so a passage that all documents share costs one name per block. Answers are
 bitmaps in the order of a block's sorted names.
 
-Null and empty texts have no bytes and lose none. Repeated rows remove each other.
+Passages of over 50 words are often shorter than 400 bytes. Documents that share one are
+found along with that, by the same two steps over words in place of bytes and a perfect
+difference set, and get the number of words covered; equal codes count as equal passages
+there, and nothing is removed for them.
+
+Null and empty texts have no bytes and lose none; long ones are whole. Repeated rows remove
+each other. An empty table gives no rows; extra columns go.
 """
 
 from __future__ import annotations
@@ -31,6 +37,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import struct
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -44,8 +51,10 @@ from . import shared
 
 NAMES = "uid string, bucket int, n int, names binary, twice binary"
 ANSWERS = "uid string, level int, bucket int, n int, repeated binary, keeper binary"
-#: Messages to a block: its own places that are sure, those it keeps, or another block's places and bytes.
-SURE, KEPT, ASKED = range(3)
+#: Messages to a block: its own places that are sure, those it keeps, another block's places and bytes, or its own words that begin repeated passages.
+SURE, KEPT, ASKED, PASSAGE = range(4)
+#: Words of a passage that is reported, and a perfect difference set for it: a modulus, and residues of which any difference is one of two.
+PASSAGE_WORDS, WORD_COVER = 51, (31, np.array([1, 5, 11, 24, 25, 27]))
 MESSAGES = "uid string, kind int, source string, runs binary, data binary"
 
 
@@ -65,15 +74,66 @@ def cover_for(length: int) -> tuple[int, np.ndarray]:
     return best
 
 
+class Units:
+    """Bytes or words of a block's texts in order: by unit, the first of its text and the one after its last; sums of codes."""
+
+    def __init__(self, codes: np.ndarray, first: np.ndarray):
+        self.sums = shared.prefix_sums(codes)
+        sizes, kind = np.diff(first), np.int32 if len(codes) < 2**31 - 2**20 else np.int64
+        self.end = np.repeat(first[1:].astype(kind), sizes)
+        self.start = np.repeat(first[:-1].astype(kind), sizes)
+
+    def sampled(self, length: int, v: int, cover: np.ndarray) -> np.ndarray:
+        """Places in the cover whose window, and a whole string around it, may fit."""
+        in_cover = np.zeros(v, bool)
+        in_cover[cover] = True
+        width = length - v + 1
+        place = np.arange(len(self.start), dtype=self.start.dtype)
+        return place[in_cover[(place - self.start) % v] & (place + width <= self.end) & (self.end - self.start >= length)]
+
+    def names(self, places: np.ndarray, width: int) -> np.ndarray:
+        return shared.window_codes(self.sums, places, places + width)
+
+    def near(self, places: np.ndarray, length: int, v: int) -> np.ndarray:
+        """Starts of strings that have one of the places among their first v units."""
+        steps = np.zeros(len(self.start) + 1, np.int32)
+        first = np.maximum(places - v + 1, self.start[places])
+        last = np.minimum(places, self.end[places] - length)
+        ok = first <= last
+        np.add.at(steps, first[ok], 1)
+        np.add.at(steps, last[ok] + 1, -1)
+        return np.flatnonzero(np.cumsum(steps[:-1]) > 0)
+
+    def covered(self, starts: np.ndarray, length: int) -> np.ndarray:
+        steps = np.zeros(len(self.start) + 1, np.int32)
+        steps[starts] += 1
+        np.add.at(steps, starts + length, -1)
+        return np.cumsum(steps[:-1]) > 0
+
+
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+
+
 class Block:
     """Texts of some rows: bytes, offsets, and doc_ids."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, doc_ids: list):
         self.data, self.offsets, self.doc_ids = data, offsets, doc_ids
-        self.sums = shared.prefix_sums(data)
-        sizes, kind = np.diff(offsets), np.int32 if len(data) < 2**31 - 2**20 else np.int64
-        self.end = np.repeat(offsets[1:].astype(kind), sizes)  # by byte, of its text
-        self.start = np.repeat(offsets[:-1].astype(kind), sizes)
+
+    @cached_property
+    def bytes(self) -> Units:
+        return Units(shared.BYTE_CODES[self.data], self.offsets)
+
+    @cached_property
+    def words(self) -> Units:
+        """Runs of other bytes than ASCII white space; first_words has the first of each text, and their number."""
+        word, edge = ~_SPACE[self.data], np.zeros(len(self.data) + 1, bool)
+        edge[self.offsets] = True
+        starts = np.flatnonzero(word & (~np.concatenate([[False], word])[:-1] | edge[:-1]))
+        ends = np.flatnonzero(word & (~np.concatenate([word, [False]])[1:] | edge[1:])) + 1
+        self.first_words = np.searchsorted(starts, self.offsets)
+        return Units(shared.word_codes(self.data, starts, ends), self.first_words)
 
     @staticmethod
     def write(fs, path: str, parts: list[tuple[np.ndarray, np.ndarray, list]]) -> None:
@@ -95,33 +155,6 @@ class Block:
         ids = [int(i) if ok else None for i, ok in zip(np.frombuffer(raw, "<i8", n, 8 + 9 * n), valid)]
         return cls(np.frombuffer(raw, np.uint8, offset=8 + 17 * n), np.concatenate([[0], np.cumsum(sizes)]), ids)
 
-    def sampled(self, length: int, v: int, cover: np.ndarray) -> np.ndarray:
-        """Places in the cover whose window, and a whole string around it, may fit."""
-        in_cover = np.zeros(v, bool)
-        in_cover[cover] = True
-        width = length - v + 1
-        place = np.arange(len(self.data), dtype=self.start.dtype)
-        return place[in_cover[(place - self.start) % v] & (place + width <= self.end) & (self.end - self.start >= length)]
-
-    def names(self, places: np.ndarray, width: int) -> np.ndarray:
-        return shared.window_codes(self.sums, places, places + width)
-
-    def near(self, places: np.ndarray, length: int, v: int) -> np.ndarray:
-        """Starts of strings that have one of the places among their first v bytes."""
-        steps = np.zeros(len(self.data) + 1, np.int32)
-        first = np.maximum(places - v + 1, self.start[places])
-        last = np.minimum(places, self.end[places] - length)
-        ok = first <= last
-        np.add.at(steps, first[ok], 1)
-        np.add.at(steps, last[ok] + 1, -1)
-        return np.flatnonzero(np.cumsum(steps[:-1]) > 0)
-
-    def covered(self, starts: np.ndarray, length: int) -> np.ndarray:
-        steps = np.zeros(len(self.data) + 1, np.int32)
-        steps[starts] += 1
-        np.add.at(steps, starts + length, -1)
-        return np.cumsum(steps[:-1]) > 0
-
 
 def pack(names: np.ndarray) -> bytes:
     """Sorted names as differences, byte planes apart, so that the shuffle's codec shortens the high ones."""
@@ -194,11 +227,22 @@ def first_equal(data: np.ndarray, places: np.ndarray, names: np.ndarray, length:
     return out
 
 
-def _send(uid: str, names: np.ndarray, buckets: int):
-    """Rows of NAMES: a block's distinct names, and which it has twice, by bucket."""
-    every, counts = np.unique(names, return_counts=True)
+def _send(uid: str, names: np.ndarray, buckets: int, texts: np.ndarray | None = None):
+    """Rows of NAMES: a block's distinct names, and which it has twice, by bucket.
+
+    With texts, the text that each name is of, twice is in two of them; buckets are numbered on, as these are other names.
+    """
+    if texts is None:
+        every, counts = np.unique(names, return_counts=True)
+        twice = counts > 1
+    else:
+        order = np.argsort(names, kind="stable")
+        at = np.flatnonzero(np.diff(names[order], prepend=~names[order[:1]]) != 0)
+        every, of = names[order[at]], texts[order]
+        twice = np.minimum.reduceat(of, at) != np.maximum.reduceat(of, at) if len(at) else np.zeros(0, bool)
     cuts = np.searchsorted(bucket_of(every, buckets), np.arange(buckets + 1))
-    rows = [(uid, b, int(z - a), pack(every[a:z]), np.packbits(counts[a:z] > 1).tobytes()) for b, (a, z) in enumerate(zip(cuts[:-1], cuts[1:])) if z > a]
+    start = 0 if texts is None else buckets
+    rows = [(uid, start + b, int(z - a), pack(every[a:z]), np.packbits(twice[a:z]).tobytes()) for b, (a, z) in enumerate(zip(cuts[:-1], cuts[1:])) if z > a]
     for at in range(0, len(rows), 64):
         cols = list(zip(*rows[at : at + 64]))
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.int32(), pa.int32(), pa.binary(), pa.binary()))], names=["uid", "bucket", "n", "names", "twice"])
@@ -252,14 +296,17 @@ def _repeated(names: np.ndarray, answers: list) -> np.ndarray:
     return is_in(names, every[np.concatenate(bits).astype(bool)]) if bits else np.zeros(len(names), bool)
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, block_bytes: int = 4 << 20, text: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row; with text, kept (binary) too.
+def remove_repeats(docs: DataFrame, length: int = 400, block_bytes: int = 4 << 20, text: bool = False, words: int = PASSAGE_WORDS) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_passage_words of every row; with text, kept (binary) too.
 
-    A byte is removed if a string of length bytes that also starts elsewhere covers it.
+    A byte is removed if a string of length bytes that also starts elsewhere covers it. A word
+    counts for n_passage_words if a passage of that many words that another document also has
+    covers it, of however many bytes; nothing is removed for that.
     """
     spark = docs.sparkSession
     v, cover = cover_for(length)
     width = length - v + 1
+    wv, word_cover = WORD_COVER if words > WORD_COVER[0] else (1, np.array([0]))
     path = shared.scratch(spark, "blocks")
 
     def write(batches):
@@ -297,23 +344,32 @@ def remove_repeats(docs: DataFrame, length: int = 400, block_bytes: int = 4 << 2
         for batch in batches:
             for uid in batch.column("uid").to_pylist():
                 block = Block.read(fs, f"{base}/{uid}")
-                yield from _send(uid, block.names(block.sampled(length, v, cover), width), buckets)
+                yield from _send(uid, block.bytes.names(block.bytes.sampled(length, v, cover), width), buckets)
+                places = block.words.sampled(words, wv, word_cover)
+                yield from _send(uid, block.words.names(places, words - wv + 1), buckets, block.words.start[places])
 
     first = shared.materialise(_answers(numbered.mapInArrow(first_level, NAMES), 1), "answers")
 
     def starts(block, answers):
         """The remaining suffixes of a block."""
-        places = block.sampled(length, v, cover)
-        return block.near(places[_repeated(block.names(places, width), answers)], length, v)
+        places = block.bytes.sampled(length, v, cover)
+        return block.bytes.near(places[_repeated(block.bytes.names(places, width), answers)], length, v)
+
+    def passages(block, answers):
+        """The words of a block that may begin repeated passages."""
+        places = block.words.sampled(words, wv, word_cover)
+        return block.words.near(places[_repeated(block.words.names(places, words - wv + 1), answers)], words, wv)
 
-    def by_level(group, level):
+    def by_level(group, level, of_words=False):
         rows = zip(*(group.column(k).to_pylist() for k in ("level", "bucket", "n", "repeated", "keeper")))
-        return [(b, n, r, x) for k, b, n, r, x in rows if k == level]
+        return [(b, n, r, x) for k, b, n, r, x in rows if k == level and (b >= buckets) == of_words]
 
     def second_level(key, group):
         fs, base = pafs.FileSystem.from_uri(path)
         block = Block.read(fs, f"{base}/{key[0].as_py()}")
-        sent = list(_send(key[0].as_py(), block.names(starts(block, by_level(group, 1)), length), buckets))
+        places = passages(block, by_level(group, 1, True))
+        sent = list(_send(key[0].as_py(), block.words.names(places, words), buckets, block.words.start[places]))
+        sent += _send(key[0].as_py(), block.bytes.names(starts(block, by_level(group, 1)), length), buckets)
         empty = pa.schema([("uid", pa.string()), ("bucket", pa.int32()), ("n", pa.int32()), ("names", pa.binary()), ("twice", pa.binary())])
         return pa.Table.from_batches(sent, empty)
 
@@ -325,17 +381,20 @@ def remove_repeats(docs: DataFrame, length: int = 400, block_bytes: int = 4 << 2
         fs, base = pafs.FileSystem.from_uri(path)
         uid = key[0].as_py()
         block, answers = Block.read(fs, f"{base}/{uid}"), by_level(group, 2)
+        places = passages(block, by_level(group, 1, True))
+        places = places[_repeated(block.words.names(places, words), by_level(group, 2, True))]
+        rows = [(uid, PASSAGE, uid, pack_runs(places), b"")] if len(places) else []
         places = starts(block, by_level(group, 1))
-        names = block.names(places, length)
+        names = block.bytes.names(places, length)
         left = _repeated(names, answers)
         places, names = places[left], names[left]
         if not len(places):
-            return _messages([])
+            return _messages(rows)
         keeper = np.concatenate([unpack_keepers(x) for *_, x in sorted(answers)])[np.unique(names, return_inverse=True)[1]]
         first = first_equal(block.data, places, names, length)
         alone = first == np.arange(len(places))
         sure = np.bincount(first, minlength=len(places))[first] > 1
-        rows = [(uid, SURE, uid, pack_runs(places[sure]), b""), (uid, KEPT, uid, pack_runs(places[alone & (keeper == int(uid, 16))]), b"")]
+        rows += [(uid, SURE, uid, pack_runs(places[sure]), b""), (uid, KEPT, uid, pack_runs(places[alone & (keeper == int(uid, 16))]), b"")]
         alone &= keeper != int(uid, 16)
         places, keeper = places[alone], keeper[alone]
         at, sizes = runs_of(places, (keeper, 0))
@@ -350,18 +409,18 @@ def remove_repeats(docs: DataFrame, length: int = 400, block_bytes: int = 4 << 2
         fs, base = pafs.FileSystem.from_uri(path)
         uid = key[0].as_py()
         rows = list(zip(*(group.column(k).to_pylist() for k in ("kind", "source", "runs", "data"))))
-        out = [(uid, SURE, uid, runs, b"") for kind, _, runs, _ in rows if kind == SURE]
+        out = [(uid, kind, uid, runs, b"") for kind, _, runs, _ in rows if kind in (SURE, PASSAGE)]
         asked = [(source, unpack_runs(runs), np.frombuffer(data, np.uint8)) for kind, source, runs, data in rows if kind == ASKED]
         if not asked:
             return _messages(out)
         block = Block.read(fs, f"{base}/{uid}")
         kept = np.concatenate([spread(*unpack_runs(runs)) for kind, _, runs, _ in rows if kind == KEPT])
-        kept_names = block.names(kept, length)
+        kept_names = block.bytes.names(kept, length)
         every, first = np.unique(kept_names, return_index=True)
         found, others, other_names = np.zeros(len(kept), bool), {}, set()
         for source, (begin, sizes), data in asked:
             places, at = spread(begin, sizes), spread(np.cumsum(sizes + length - 1) - sizes - length + 1, sizes)
-            names = shared.window_codes(shared.prefix_sums(data), at, at + length)
+            names = shared.window_codes(shared.byte_sums(data), at, at + length)
             own = first[np.searchsorted(every, names)]
             same = equal_windows(data, at, block.data, kept[own], length)
             found[own[same]] = True
@@ -377,28 +436,30 @@ def remove_repeats(docs: DataFrame, length: int = 400, block_bytes: int = 4 << 2
         return _messages(out)
 
     both = first.unionByName(second).repartition(tasks, "uid").groupBy("uid").applyInArrow(ask, MESSAGES)
-    sure = shared.materialise(both.repartition(tasks, "uid").groupBy("uid").applyInArrow(compare, MESSAGES).select("uid", "runs"), "sure")
+    sure = shared.materialise(both.repartition(tasks, "uid").groupBy("uid").applyInArrow(compare, MESSAGES).select("uid", "kind", "runs"), "sure")
 
-    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * text
-    kinds = [pa.int64()] * 4 + [pa.string()] + [pa.binary()] * text
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passage_words"] + ["kept"] * text
+    kinds = [pa.int64()] * 4 + [pa.string(), pa.int64()] + [pa.binary()] * text
 
     def finish(key, group):
         fs, base = pafs.FileSystem.from_uri(path)
         block = Block.read(fs, f"{base}/{key[0].as_py()}")
-        repeated = np.zeros(len(block.data), bool)
-        for runs in group.column("runs").drop_null().to_pylist():
-            repeated[spread(*unpack_runs(runs))] = True
-        gone = block.covered(np.flatnonzero(repeated), length)
+        starts = {kind: [spread(*unpack_runs(runs)) for k, runs in zip(group.column("kind").to_pylist(), group.column("runs").to_pylist()) if k == kind] for kind in (SURE, PASSAGE)}
+        gone = block.bytes.covered(np.unique(np.concatenate([np.empty(0, np.int64), *starts[SURE]])), length)
+        found = np.zeros(len(block.doc_ids), np.int64)
+        if starts[PASSAGE]:
+            sums = np.concatenate([[0], np.cumsum(block.words.covered(np.concatenate(starts[PASSAGE]), words))])
+            found = np.diff(sums[block.first_words])
         out = []
-        for doc_id, a, z in zip(block.doc_ids, block.offsets[:-1], block.offsets[1:]):
+        for doc_id, a, z, n in zip(block.doc_ids, block.offsets[:-1], block.offsets[1:], found.tolist()):
             g = gone[a:z]
             kept = block.data[a:z][~g].tobytes()
             spans = int(np.count_nonzero(np.diff(g.astype(np.int8), prepend=0) == 1)) if len(g) else 0
-            out.append((doc_id, int(z - a), int(np.count_nonzero(g)), spans, hashlib.sha256(kept).hexdigest()) + ((kept,) if text else ()))
+            out.append((doc_id, int(z - a), int(np.count_nonzero(g)), spans, hashlib.sha256(kept).hexdigest(), n) + ((kept,) if text else ()))
         return pa.table([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
 
-    every = blocks.select("uid", F.lit(None).cast("binary").alias("runs")).unionByName(sure)
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * text
+    every = blocks.select("uid", F.lit(None).cast("int").alias("kind"), F.lit(None).cast("binary").alias("runs")).unionByName(sure)
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_passage_words long" + ", kept binary" * text
     return every.repartition(tasks, "uid").groupBy("uid").applyInArrow(finish, schema)
 
 

@@ -104,13 +104,17 @@ def _table(which: str, n: int) -> np.ndarray:
     return _powers[which]
 
 
-def prefix_sums(data: np.ndarray) -> np.ndarray:
-    """Polynomial sums modulo 2**64 of all prefixes of a byte array."""
-    out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(BYTE_CODES[data] * _table("up", len(data))[: len(data)], out=out[1:])
+def prefix_sums(values: np.ndarray) -> np.ndarray:
+    """Polynomial sums modulo 2**64 of all prefixes of an array of 64-bit codes."""
+    out = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * _table("up", len(values))[: len(values)], out=out[1:])
     return out
 
 
+def byte_sums(data: np.ndarray) -> np.ndarray:
+    return prefix_sums(BYTE_CODES[data])
+
+
 def window_codes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit codes of substrings [start, end) that depend on their bytes only. Some different ones have equal codes."""
     return mix((sums[ends] - sums[starts]) * _table("down", len(sums))[starts])
