@@ -1,7 +1,7 @@
 """Benchmark decontamination: exact windows and proximity by a distributed positional inverted index.
 
 The index holds postings (term, document, position) of the terms that searches start from. A
-window of a test item (10 words, or the whole item if it has fewer) takes its LISTS rarest
+window of a test item (10 words, or the whole item if it has fewer) takes its two rarest
 terms, by counts over the whole corpus, and intersects their postings from the rarest on:
 each term's positions, less its offset in the window, are the places where the window may
 start. Places that all lists share are compared with the document's words, so that hits are
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from . import shared
 
 #: Words of a window, lists that are intersected before words are compared, and postings of a term to a salt.
-WINDOW, LISTS, SALT = 10, 3, 1_000_000
+WINDOW, LISTS, SALT = 10, 2, 1_000_000
 DELIMITERS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -56,16 +56,18 @@ def salts(n):
 
 
 def index(docs: DataFrame, counted: DataFrame) -> DataFrame:
-    """Postings of the given terms (term, n).
+    """Postings of the given terms (term, n), and at least one row for each document.
 
-    Columns doc_id, text_key, n_words, pos (from 0), term, salt.
+    Columns doc_id, text_key, n_words, pos (from 0; null of a document without words), term and
+    salt (null of another term, where pos is 0).
     """
     rows = shared.with_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), words(F.col("text")).alias("w"))
     # the array itself must not go along, or a long document would be shuffled once a word
-    each = rows.select("doc_id", "text_key", F.size("w").alias("n_words"), F.posexplode("w").alias("pos", "term"))
+    each = rows.select("doc_id", "text_key", F.size("w").alias("n_words"), F.posexplode_outer("w").alias("pos", "term"))
     known = counted.select("term", salts(F.col("n")).alias("salts"))
-    found = each.join(known, "term").withColumn("salt", F.pmod(F.xxhash64("doc_id", "text_key"), F.col("salts")).cast("int"))
-    return found.select("doc_id", "text_key", "n_words", "pos", "term", "salt")
+    found = each.join(known, "term", "left").filter("salts IS NOT NULL OR pos IS NULL OR pos = 0")
+    salt = F.pmod(F.xxhash64("doc_id", "text_key"), F.col("salts")).cast("int")
+    return found.select("doc_id", "text_key", "n_words", "pos", F.when(F.col("salts").isNotNull(), F.col("term")).alias("term"), salt.alias("salt"))
 
 
 def searches(phrases: DataFrame, counted: DataFrame) -> DataFrame:
@@ -81,7 +83,7 @@ def intersect(postings: DataFrame, asked: DataFrame) -> DataFrame:
     first = asked.select("wid", "size", "lists", F.col("lists")[0]["term"].alias("term"), F.col("lists")[0]["offset"].alias("offset"), F.explode(F.sequence(F.lit(0), salts(F.col("n")) - 1)).alias("salt"))
     found = postings.join(first, ["term", "salt"]).withColumn("start", F.col("pos") - F.col("offset")).filter("start >= 0 AND start + size <= n_words")
     found = found.select("doc_id", "text_key", "wid", "start", "lists")
-    at = postings.select(F.col("doc_id").alias("d"), F.col("text_key").alias("k"), F.col("pos").alias("p"), F.col("term").alias("t"))
+    at = postings.filter("term IS NOT NULL").select(F.col("doc_id").alias("d"), F.col("text_key").alias("k"), F.col("pos").alias("p"), F.col("term").alias("t"))
     for i in range(1, LISTS):
         here = F.get("lists", F.lit(i))  # shorter phrases ask for their first term again
         term, offset = F.coalesce(here["term"], F.col("lists")[0]["term"]), F.coalesce(here["offset"], F.col("lists")[0]["offset"])
@@ -91,15 +93,14 @@ def intersect(postings: DataFrame, asked: DataFrame) -> DataFrame:
 
 
 def matches(docs: DataFrame, postings: DataFrame, phrases: DataFrame, asked: DataFrame) -> DataFrame:
-    """doc_id, text_key, n_words, hits (array of start, wid, phrase) of the documents with exact matches, and of others without."""
+    """doc_id, text_key, hits (array of start, wid, phrase) of the documents that have any, exactly."""
     found = intersect(postings, asked).join(phrases.select("wid", "phrase"), "wid")
-    found = found.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "wid", "phrase")).alias("hits"))
+    found = shared.materialise(found.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "wid", "phrase")).alias("hits")), "found")
     rows = shared.with_columns(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    joined, names = shared.by_row(rows, found, "left")
-    w = words(F.col("text"))
-    joined = joined.select("doc_id", F.xxhash64("text").alias("text_key"), w.alias("w"), F.col(names["hits"]).alias("hits"))
+    joined, names = shared.by_row(rows, found, "inner")
+    joined = joined.select("doc_id", F.xxhash64("text").alias("text_key"), words(F.col("text")).alias("w"), F.col(names["hits"]).alias("hits"))
     exact = F.filter("hits", lambda h: F.slice("w", h["start"] + 1, F.size(h["phrase"])) == h["phrase"])
-    return joined.select("doc_id", "text_key", F.size("w").cast("long").alias("n_words"), F.coalesce(F.when(F.col("hits").isNotNull(), exact), F.array().cast(found.schema["hits"].dataType)).alias("hits"))
+    return joined.select("doc_id", "text_key", exact.alias("hits")).filter(F.size("hits") > 0).dropDuplicates(["doc_id", "text_key"])
 
 
 def _covered(intervals):
@@ -113,19 +114,20 @@ def _covered(intervals):
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, text_key, n_words, n_hit, items (sorted strings), n_items of every document row."""
     items = shared.materialise(windows(benchmark, window), "items")
-    phrases = items.select("wid", "phrase").distinct()
-    terms = phrases.select(F.explode("phrase").alias("term")).distinct()
+    phrases = shared.materialise(items.select("wid", "phrase").distinct(), "phrases")
+    terms = shared.materialise(phrases.select(F.explode("phrase").alias("term")).distinct(), "terms")
     counted = shared.materialise(frequencies(docs, terms), "frequencies")
     asked = shared.materialise(searches(phrases, counted), "searches")
-    wanted = asked.select(F.explode("lists.term").alias("term")).distinct()
-    postings = shared.materialise(index(docs, counted.join(wanted, "term", "left_semi")), "postings")
+    wanted = shared.materialise(counted.join(asked.select(F.explode("lists.term").alias("term")).distinct(), "term", "left_semi"), "wanted")
+    postings = shared.materialise(index(docs, wanted), "postings")
     found = shared.materialise(matches(docs, postings, phrases, asked), "matches")
-    spans = F.transform("hits", lambda h: F.struct(h["start"].alias("first"), (h["start"] + F.size(h["phrase"]) - 1).alias("last")))
-    each = found.select("doc_id", "text_key", F.explode(F.array_distinct("hits.wid")).alias("wid")).distinct()
-    named = each.join(items.select("wid", "item_id"), "wid").groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"), F.max(F.col("item_id").isNull().cast("long")).alias("unnamed"))
-    named = named.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "items", (F.size("items") + F.col("unnamed")).alias("n_items"))
-    joined = found.join(named, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")), "left")
-    return joined.select("doc_id", "text_key", "n_words", _covered(spans).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"))
+    spans = F.transform("hits", lambda h: F.named_struct(F.lit("first"), h["start"], F.lit("last"), h["start"] + F.size(h["phrase"]) - 1))
+    each = found.select("doc_id", "text_key", _covered(spans).cast("long").alias("n_hit"), F.explode(F.array_distinct("hits.wid")).alias("wid"))
+    named = each.join(items.select("wid", "item_id"), "wid").groupBy("doc_id", "text_key").agg(F.max("n_hit").alias("n_hit"), F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"), F.max(F.col("item_id").isNull().cast("long")).alias("unnamed"))
+    named = shared.materialise(named.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "n_hit", "items", (F.size("items") + F.col("unnamed")).alias("n_items")), "named")
+    every = postings.filter("pos IS NULL OR pos = 0").select("doc_id", "text_key", F.greatest("n_words", F.lit(0)).cast("long").alias("n_words"))
+    joined = every.join(named, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")), "left")
+    return joined.select("doc_id", "text_key", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"))
 
 
 def near(docs: DataFrame, first: str, second: str, within: int) -> DataFrame:
