@@ -1,16 +1,21 @@
 """Token ids of all documents as files: a concatenated id array with Elias-Fano boundaries.
 
-A shard file holds, little-endian: the magic, the id width in bytes, the numbers of
-documents and of ids, the low-bit width, then the low bits packed, the high bits in unary,
-samples of every 64th one among the high bits for select, the doc_ids, and the ids. The
-boundary of document i is select(i): n documents over u ids take about n * (2 + log2(u / n))
-bits, without a table of 64-bit offsets.
-
-Documents go to shards by ranges of doc_id, bounded by quantiles of doc_id alone; within a
-shard they lie in ascending doc_id order (null first; repeated ids in order of their bytes,
-which are the same or else ordered by value). A shard holds whole documents of about
-shard_bytes, unless a single doc_id has more. Files take a fresh name per attempt and the
-manifest lists those of attempts that ended well. Null and empty texts give the end id only.
+A shard file holds, little-endian: the magic, the id width in bytes, the numbers of documents,
+of those without an id, and of token ids, the least doc_id, the doc_ids, the boundaries, and
+the token ids. Doc_ids and boundaries are Elias-Fano sequences: the low-bit width, the low
+bits packed, the high bits in unary, and samples of every 64th one among the high bits for
+select. The boundary of document i is select(i): n documents over u ids take about
+n * (2 + log2(u / n)) bits, without a table of 64-bit offsets.
+
+Documents are dealt out by ranges of doc_id (null first), a digest of the text and the row, so
+that neither repeated ids nor repeated rows pile up in one task, and lie in that order. A
+shard holds documents of about shard_bytes. Files take a fresh name per attempt and the
+manifest lists those of attempts that ended well. Null and empty texts give the end id only;
+long ones are whole. An empty table gives no files; extra columns go.
+
+Texts are cut as the vocabulary cuts them, each piece is looked up among those that a worker
+has met, and new pieces of letters are encoded together. That is for vocabularies of the
+known kind only (see KNOWN); with any other, whole texts go to the library.
 """
 
 from __future__ import annotations
@@ -26,16 +31,25 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import shared
 
-MAGIC = b"TLYTOK01"
-HEADER = struct.Struct("<8sBQQB")
+MAGIC = b"TLYTOK02"
+HEADER = struct.Struct("<8sBQQQq")
 SAMPLE = 64
-#: White-space separated chunks, by their bytes, that a Python worker keeps encoded; and the longest of them.
-MEMO_CHUNKS, MEMO_BYTES = 800_000, 48
+#: Pieces that a Python worker keeps encoded; and the longest of them.
+MEMO_PIECES, MEMO_BYTES = 800_000, 48
+#: The normaliser and the cuts of the vocabulary whose pieces can be encoded alone.
+KNOWN = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ]},
+}
 
 
 class EliasFano:
@@ -86,17 +100,30 @@ class EliasFano:
         return ((ones - np.arange(self.n)) << self.width) | low
 
 
+    def write(self, out) -> None:
+        out.write(struct.pack("<B", self.width))
+        for part in (self.low, self.high, self.samples):
+            raw = part.tobytes()
+            out.write(struct.pack("<Q", len(raw)))
+            out.write(raw)
+
+    @classmethod
+    def read(cls, file, n: int) -> EliasFano:
+        width = file.read(1)[0]
+        low, high, samples = (file.read(struct.unpack("<Q", file.read(8))[0]) for _ in range(3))
+        return cls(np.frombuffer(low, np.uint8), np.frombuffer(high, np.uint8), np.frombuffer(samples, "<u4"), width, n)
+
+
 def write_shard(out, doc_ids: list, ids: list[bytes], id_bytes: int) -> int:
-    """Write documents' ids, each given as unsigned 32-bit integers; the count of all ids."""
+    """Write documents' ids, each given as unsigned 32-bit integers, with doc_ids in order, null first; the count of all ids."""
     lengths = np.array([len(x) // 4 for x in ids], np.int64)
     total = int(lengths.sum())
-    ef = EliasFano.build(np.cumsum(lengths), total + 1)
-    valid = np.packbits(np.array([d is not None for d in doc_ids], np.uint8), bitorder="little")
-    out.write(HEADER.pack(MAGIC, id_bytes, len(ids), total, ef.width))
-    for part in (ef.low, ef.high, ef.samples, valid, np.array([d or 0 for d in doc_ids], "<i8")):
-        raw = part.tobytes()
-        out.write(struct.pack("<Q", len(raw)))
-        out.write(raw)
+    known = [d for d in doc_ids if d is not None]
+    least = known[0] if known else 0
+    out.write(HEADER.pack(MAGIC, id_bytes, len(ids), len(ids) - len(known), total, least))
+    above = np.array([d - least for d in known], np.uint64)
+    EliasFano.build(above, int(above[-1]) + 1 if known else 0).write(out)
+    EliasFano.build(np.cumsum(lengths), total + 1).write(out)
     for x in ids:
         values = np.frombuffer(x, "<u4")
         if len(values) and int(values.max()) >> (8 * id_bytes):
@@ -110,15 +137,20 @@ class Shard:
 
     def __init__(self, file):
         self.file = file
-        magic, self.id_bytes, self.n, self.total, width = HEADER.unpack(file.read(HEADER.size))
+        magic, self.id_bytes, self.n, self.nulls, self.total, self.least = HEADER.unpack(file.read(HEADER.size))
         if magic != MAGIC:
             raise ValueError("not a token file")
-        low, high, samples, valid, ids = (file.read(struct.unpack("<Q", file.read(8))[0]) for _ in range(5))
-        self.ends = EliasFano(np.frombuffer(low, np.uint8), np.frombuffer(high, np.uint8), np.frombuffer(samples, "<u4"), width, self.n)
-        valid = np.unpackbits(np.frombuffer(valid, np.uint8), bitorder="little")
-        self.doc_ids = [int(d) if ok else None for d, ok in zip(np.frombuffer(ids, "<i8"), valid)]
+        self.known = EliasFano.read(file, self.n - self.nulls)
+        self.ends = EliasFano.read(file, self.n)
         self.data = file.tell()
 
+    @property
+    def doc_ids(self) -> list:
+        return [None] * self.nulls + [self.least + d for d in self.known.all().astype(np.uint64).tolist()]
+
+    def doc_id(self, i: int) -> int | None:
+        return None if i < self.nulls else self.least + self.known.select(i - self.nulls)
+
     def bounds(self, i: int) -> tuple[int, int]:
         return self.ends.select(i - 1) if i else 0, self.ends.select(i)
 
@@ -136,63 +168,82 @@ class Shard:
             start = end
 
 
-#: A full stop or comma alone after a letter: the vocabulary's splits fall there anyway.
-STOP = re.compile(rb"(?<=[a-z])([.,])(?=[ \t\r\n]|$)")
+#: Of ISO 8859-1: lower case, and the vocabulary's cuts, whose letters, numbers and white space are these there.
+_LOWER = bytes(c + 32 if 65 <= c <= 90 or 192 <= c <= 222 and c != 215 else c for c in range(256))
+_L, _N, _S = rb"a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", rb"0-9\xb2\xb3\xb9\xbc-\xbe", rb"\t-\r \x85\xa0"
+PIECES = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[%b]+|[%b]|[^%b%b%b]+" % (_L, _N, _S, _L, _N))
+_IS_LETTER = [bool(re.fullmatch(rb"[%b]" % _L, bytes([c]))) for c in range(256)]
 
 
-def chunks_of(text: str) -> list[bytes]:
-    """White-space separated chunks, lower-cased and without a last stop, as the vocabulary has it.
+def pieces_of(text: str) -> list:
+    """What can be encoded alone: the vocabulary's cuts, as bytes of ISO 8859-1, of a text of these characters.
 
-    Texts that may hold special tokens, which are matched before that, are cut only.
+    Of others, runs between ASCII white space, as strings; these hold no cut of the vocabulary's
+    in part. Special tokens are matched before any cut, so texts that may have some are one piece.
     """
-    raw = text.encode()
-    return raw.split() if b"<|" in raw else STOP.sub(rb" \1", raw.lower()).split()
+    if "<|" in text:
+        return [text]
+    try:
+        return PIECES.findall(text.encode("latin-1").translate(_LOWER))
+    except UnicodeEncodeError:
+        return [c.decode() for c in text.encode().split()]
 
 
 def packed(ids: list[int]) -> bytes:
     return array("I", ids).tobytes()
 
 
-class ChunkMemo(dict):
-    """Ids, as bytes, of white-space separated chunks. The vocabulary's splits never cross white space."""
+class PieceMemo(dict):
+    """Ids, as bytes, of pieces."""
 
     def __init__(self, tokenizer_file: str):
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        suffix, vocab = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix"), self.tokenizer.get_vocab()
+        spec = json.loads(self.tokenizer.to_str())
+        suffix, vocab = spec["model"].get("end_of_word_suffix"), self.tokenizer.get_vocab()
+        self.known = all(spec[k] == v for k, v in KNOWN.items()) and spec["model"]["type"] == "BPE" and bool(suffix) and all("<|" in t["content"] for t in spec["added_tokens"])
         self.last = np.zeros(max(vocab.values()) + 1, bool)
         self.last[[i for t, i in vocab.items() if suffix and t.endswith(suffix)]] = True
+        # for pieces of letters, which are in their normal form: the same model, with cuts at spaces alone
+        spec["normalizer"] = None
+        spec["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, KNOWN["pre_tokenizer"]["pretokenizers"][1]]}
+        self.plain = Tokenizer.from_str(json.dumps(spec)) if self.known else None
 
     def _words(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Encodings of words of ASCII letters, from one text; told apart by ids that end a word."""
-        ids = np.array(self.tokenizer.encode(b" ".join(words).decode(), add_special_tokens=False).ids, "<u4")
+        """Encodings of pieces of letters, from one text; told apart by ids that end a word."""
+        ids = np.array(self.plain.encode_batch_fast([b" ".join(words).decode("latin-1")], add_special_tokens=False)[0].ids, "<u4")
         ends = (np.flatnonzero(self.last[ids]) + 1) * 4
         if len(ends) != len(words) or ends[-1] != ids.nbytes:
             return {}
         raw = ids.tobytes()
         return {w: raw[a:b] for w, a, b in zip(words, [0, *ends[:-1].tolist()], ends.tolist())}
 
-    def _new(self, chunks: list[bytes]) -> dict[bytes, bytes]:
-        """Encodings of chunks; those that aren't long are kept, and a full memo starts anew."""
-        words, out = [c for c in chunks if c.isalpha()], {}
+    def _new(self, pieces: list) -> dict:
+        """Encodings of pieces; those that aren't long are kept, and a full memo starts anew."""
+        words, out = [c for c in pieces if type(c) is bytes and _IS_LETTER[c[0]]], {}
         for at in range(0, len(words), 1024):
             out |= self._words(words[at : at + 1024])
-        rest = [c for c in chunks if c not in out]
-        out |= zip(rest, (packed(e.ids) for e in self.tokenizer.encode_batch_fast([c.decode() for c in rest], add_special_tokens=False)))
-        if len(self) + len(out) > MEMO_CHUNKS:
+        rest = [c for c in pieces if c not in out] if len(out) < len(pieces) else []
+        texts = [c.decode("latin-1") if type(c) is bytes else c for c in rest]
+        out |= zip(rest, (packed(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)))
+        if len(self) + len(out) > MEMO_PIECES:
             self.clear()
         self.update((c, ids) for c, ids in out.items() if len(c) <= MEMO_BYTES)
         return out
 
     def encode(self, texts: list[str], end: bytes) -> list[bytes]:
-        split = [chunks_of(t) for t in texts]
+        if not self.known:
+            return [packed(e.ids) + end for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        split = [pieces_of(t) for t in texts]
         flat = list(chain.from_iterable(split))
         ids = list(map(self.get, flat))
         if None in ids:
-            new = self._new(list({c for c, x in zip(flat, ids) if x is None}))
-            ids = [new[c] if x is None else x for c, x in zip(flat, ids)]
+            gaps = [k for k, x in enumerate(ids) if x is None]
+            new = self._new(list({flat[k] for k in gaps}))
+            for k in gaps:
+                ids[k] = new[flat[k]]
         out, at = [], 0
         for s in split:
             out.append(b"".join([*ids[at : at + len(s)], end]))
@@ -200,69 +251,55 @@ class ChunkMemo(dict):
         return out
 
 
-_memos: dict[str, ChunkMemo] = {}
-
+_memos: dict[str, PieceMemo] = {}
 
-def encode_documents(docs: DataFrame, tokenizer_file: str, end_id: int) -> DataFrame:
-    """doc_id and ids (unsigned 32-bit integers, the end id last) of each document."""
-    end = struct.pack("<I", end_id)
 
-    def run(batches):
-        import os
+def memo_of(tokenizer_file: str) -> PieceMemo:
+    import os
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        if tokenizer_file not in _memos:
-            _memos[tokenizer_file] = ChunkMemo(tokenizer_file)
-        memo = _memos[tokenizer_file]
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                ids = memo.encode([t or "" for t in part.column("text").to_pylist()], end)
-                yield pa.RecordBatch.from_arrays([part.column("shard"), part.column("doc_id"), pa.array(ids, pa.binary())], names=["shard", "doc_id", "ids"])
-
-    return docs.mapInArrow(run, "shard int, doc_id long, ids binary")
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    if tokenizer_file not in _memos:
+        _memos[tokenizer_file] = PieceMemo(tokenizer_file)
+    return _memos[tokenizer_file]
 
 
 def write_tokens(docs: DataFrame, tokenizer_file: str, path: str, end_id: int = 2, id_bytes: int = 2, shard_bytes: int = 32 << 20) -> list[tuple[str, int]]:
     """Write shard files; their names and first offsets, in doc_id order. The driver holds a row per shard."""
-    spark = docs.sparkSession
     docs = shared.with_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(1, -(-size // shard_bytes))
-    cuts = []
-    if shards > 1:
-        found = docs.agg(F.percentile_approx("doc_id", [k / shards for k in range(1, shards)], 20 * shards)).first()[0]
-        cuts = sorted(set(found or []))
-    at = F.lit(0) if not cuts else F.coalesce(F.size(F.filter(F.lit(cuts).cast("array<bigint>"), lambda c: c <= F.col("doc_id"))), F.lit(0))
-    at = F.when(F.col("doc_id").isNull(), 0).otherwise(at).cast("int")
-    encoded = encode_documents(docs.select(at.alias("shard"), "doc_id", "text"), tokenizer_file, end_id)
-    ordered = encoded.repartitionById(len(cuts) + 1, F.col("shard")).sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "ids")
+    keyed = docs.withColumns({"key": F.xxhash64("text"), "row": F.monotonically_increasing_id()})
+    order = [F.col("doc_id").asc_nulls_first(), "key", "row"]
+    ordered = keyed.repartitionByRange(max(1, -(-size // shard_bytes)), *order).sortWithinPartitions(*order).select("doc_id", "text")
+    end = struct.pack("<I", end_id)
 
     def run(batches):
         fs, base = pafs.FileSystem.from_uri(path)
         fs.create_dir(base, recursive=True)
-        shard, doc_ids, ids = None, [], []
+        memo, part, number = memo_of(tokenizer_file), TaskContext.get().partitionId(), 0
+        doc_ids, ids, held = [], [], 0
 
         def put():
-            name = f"{shard:06d}-{uuid.uuid4().hex}.tok"
+            name = f"{part:06d}-{number:06d}-{uuid.uuid4().hex}.tok"
             with fs.open_output_stream(f"{base}/{name}", compression=None) as out:
                 total = write_shard(out, doc_ids, ids, id_bytes)
-            return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([name]), pa.array([total], pa.int64())], names=["shard", "name", "total"])
+            return pa.RecordBatch.from_arrays([pa.array([part]), pa.array([number]), pa.array([name]), pa.array([total])], names=["part", "number", "name", "total"])
 
         for batch in batches:
-            for s, d, x in zip(*(batch.column(k).to_pylist() for k in ("shard", "doc_id", "ids"))):
-                if s != shard and ids:
+            for at in range(0, batch.num_rows, 256):
+                some = batch.slice(at, 256)
+                encoded = memo.encode([t or "" for t in some.column("text").to_pylist()], end)
+                doc_ids += some.column("doc_id").to_pylist()
+                ids += encoded
+                held += sum(map(len, encoded))
+                if held >= 2 * shard_bytes:  # ranges are of rows, and may hold more bytes than meant
                     yield put()
-                    doc_ids, ids = [], []
-                shard = s
-                doc_ids.append(d)
-                ids.append(x)
+                    doc_ids, ids, held, number = [], [], 0, number + 1
         if ids:
             yield put()
 
-    manifest = sorted(ordered.mapInArrow(run, "shard int, name string, total long").collect())
+    manifest = sorted(map(tuple, ordered.mapInArrow(run, "part long, number long, name string, total long").collect()))
     out, start = [], 0
-    for _, name, total in manifest:
+    for *_, name, total in manifest:
         out.append((name, start))
         start += total
     fs, base = pafs.FileSystem.from_uri(path)
