@@ -4,12 +4,13 @@ import collections
 import hashlib
 import math
 import re
+import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallymark.llm import decontamination, language_id, metric_tree, near_duplicates, repeats, secrets, shared, warc
+from tallymark.llm import decontamination, language_id, metric_tree, near_duplicates, repeats, secrets, shared, token_files, warc
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -256,3 +257,25 @@ def test_scratch_needs_a_shared_folder(spark):
     assert shared.scratch(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert shared.fresh(["A", "_a"], "a", "b") == ["__a", "b"]
     assert hashlib.blake2b(b"").digest_size == 64
+
+
+def test_token_files_of_any_text(spark):
+    """Pieces of every kind, ids of any sign, repeated ids over many files, and a vocabulary of another kind."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    rng = np.random.default_rng(3)
+    marks = [chr(c) for c in range(1, 256)] + ["'s", "'ll", "''d", "don't", " ", "\n", "<|endoftext|>", "漢", "İ", "é", "½", "á", " "]
+    texts = ["".join(rng.choice(marks, 50)) for _ in range(300)] + ["Ça va? L'été n'est pas fini..., ouç,", "x" * 5000, None, ""]
+    rows = [(int(rng.integers(-(2**62), 2**62)) if k % 3 else 7 if k % 2 else None, t) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, ids string").repartition(4)
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        library, path = Tokenizer.from_file(public_tokenizers.path(name)), shared.scratch(spark, "t")
+        files = token_files.write_tokens(docs, public_tokenizers.path(name), path, shard_bytes=4000)
+        got = sorted(map(tuple, token_files.read_tokens(spark, path).collect()), key=lambda r: r[1])
+        want = sorted(((i is not None, i or 0), zlib.crc32(np.array([*library.encode(t or "", add_special_tokens=False).ids, 2], "<u4").tobytes())) for i, t in rows)
+        assert len(files) > 3 and sorted(((i is not None, i or 0), c) for i, _, _, c in got) == want
+        assert [(i is not None, i or 0) for i, *_ in got] == [k for k, _ in want] and [r[1] for r in got] == [0, *np.cumsum([r[2] for r in got])[:-1].tolist()]
+    with open(f"{path.removeprefix('file:')}/{files[-1][0]}", "rb") as f:
+        shard = token_files.Shard(f)
+        assert [shard.doc_id(k) for k in range(shard.n)] == shard.doc_ids and [shard.bounds(k) for k in range(shard.n)] == list(zip([0, *shard.ends.all().tolist()], shard.ends.all().tolist()))
