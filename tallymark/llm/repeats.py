@@ -180,6 +180,15 @@ def is_in(values: np.ndarray, sorted_set: np.ndarray) -> np.ndarray:
     return sorted_set[at] == values
 
 
+def ranks(values: np.ndarray) -> np.ndarray:
+    """The index of each value among the sorted distinct ones. One sort is faster than a search for each in a long array."""
+    order = np.argsort(values)
+    ordered = values[order]
+    out = np.empty(len(values), np.int64)
+    out[order] = np.cumsum(np.concatenate([[False], ordered[1:] != ordered[:-1]])) if len(values) else 0
+    return out
+
+
 def runs_of(places: np.ndarray, *keys: tuple[np.ndarray, int]) -> tuple[np.ndarray, np.ndarray]:
     """Index and size of each run of adjacent places, in order, along which each key grows by its step."""
     if not len(places):
@@ -218,8 +227,10 @@ def equal_windows(x: np.ndarray, a: np.ndarray, y: np.ndarray, b: np.ndarray, le
 
 def first_equal(data: np.ndarray, places: np.ndarray, names: np.ndarray, length: int) -> np.ndarray:
     """For each place, the index of the first one with the same bytes; names only save comparisons."""
-    _, first, which = np.unique(names, return_index=True, return_inverse=True)
-    out = first[which]
+    rank = ranks(names)
+    out = np.full(rank.max(initial=-1) + 1, len(names))
+    np.minimum.at(out, rank, np.arange(len(names)))
+    out = out[rank]
     later = np.flatnonzero(out != np.arange(len(places)))
     seen = {}
     for k in later[~equal_windows(data, places[later], data, places[out[later]], length)].tolist():
@@ -233,8 +244,9 @@ def _send(uid: str, names: np.ndarray, buckets: int, texts: np.ndarray | None =
     With texts, the text that each name is of, twice is in two of them; buckets are numbered on, as these are other names.
     """
     if texts is None:
-        every, counts = np.unique(names, return_counts=True)
-        twice = counts > 1
+        ordered = np.sort(names)
+        at = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, np.int64)
+        every, twice = ordered[at], np.diff(np.append(at, len(ordered))) > 1
     else:
         order = np.argsort(names, kind="stable")
         at = np.flatnonzero(np.diff(names[order], prepend=~names[order[:1]]) != 0)
@@ -255,7 +267,7 @@ def _answers(sent: DataFrame, level: int) -> DataFrame:
         each = [unpack(x.as_py()) for x in group.column("names")]
         twice = [np.unpackbits(np.frombuffer(t.as_py(), np.uint8), count=len(x)).astype(bool) for t, x in zip(group.column("twice"), each)]
         every = np.sort(np.concatenate(each))
-        repeated = np.unique(np.concatenate([every[1:][every[1:] == every[:-1]], *[x[t] for x, t in zip(each, twice)]]))
+        repeated = shared.distinct(np.concatenate([every[1:][every[1:] == every[:-1]], *[x[t] for x, t in zip(each, twice)]]))
         hits = [is_in(x, repeated) for x in each]
         bits = [np.packbits(h).tobytes() for h in hits]
         n = len(each)
@@ -292,8 +304,7 @@ def _messages(rows: list[tuple]) -> pa.Table:
 def _repeated(names: np.ndarray, answers: list) -> np.ndarray:
     """Which of a block's names are repeated, by the answers (bucket, n, bits, keepers) to its distinct names."""
     bits = [np.unpackbits(np.frombuffer(r, np.uint8), count=n) for _, n, r, _ in sorted(answers)]
-    every = np.unique(names)
-    return is_in(names, every[np.concatenate(bits).astype(bool)]) if bits else np.zeros(len(names), bool)
+    return np.concatenate(bits).astype(bool)[ranks(names)] if bits else np.zeros(len(names), bool)
 
 
 def remove_repeats(docs: DataFrame, length: int = 400, block_bytes: int = 4 << 20, text: bool = False, words: int = PASSAGE_WORDS) -> DataFrame:
@@ -390,7 +401,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, block_bytes: int = 4 << 2
         places, names = places[left], names[left]
         if not len(places):
             return _messages(rows)
-        keeper = np.concatenate([unpack_keepers(x) for *_, x in sorted(answers)])[np.unique(names, return_inverse=True)[1]]
+        keeper = np.concatenate([unpack_keepers(x) for *_, x in sorted(answers)])[ranks(names)]
         first = first_equal(block.data, places, names, length)
         alone = first == np.arange(len(places))
         sure = np.bincount(first, minlength=len(places))[first] > 1
@@ -445,7 +456,10 @@ def remove_repeats(docs: DataFrame, length: int = 400, block_bytes: int = 4 << 2
         fs, base = pafs.FileSystem.from_uri(path)
         block = Block.read(fs, f"{base}/{key[0].as_py()}")
         starts = {kind: [spread(*unpack_runs(runs)) for k, runs in zip(group.column("kind").to_pylist(), group.column("runs").to_pylist()) if k == kind] for kind in (SURE, PASSAGE)}
-        gone = block.bytes.covered(np.unique(np.concatenate([np.empty(0, np.int64), *starts[SURE]])), length)
+        repeated = np.zeros(len(block.data), bool)
+        for places in starts[SURE]:
+            repeated[places] = True
+        gone = block.bytes.covered(np.flatnonzero(repeated), length)
         found = np.zeros(len(block.doc_ids), np.int64)
         if starts[PASSAGE]:
             sums = np.concatenate([[0], np.cumsum(block.words.covered(np.concatenate(starts[PASSAGE]), words))])
