@@ -73,7 +73,7 @@ def shingle_sets(column: pa.Array, width: int) -> list[np.ndarray]:
     for i in range(n):
         a, m = first[i], many[i]
         if m >= width:
-            out.append(np.unique(each[a : a + m - width + 1]))
+            out.append(shared.distinct(each[a : a + m - width + 1]))
         elif m:
             one = np.array([m], np.uint64)
             for k in range(a, a + m):
