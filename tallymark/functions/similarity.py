@@ -1,11 +1,13 @@
-"""Pairwise similarity: Column expressions, and Arrow functions for subsequence ratios."""
+"""Pairwise similarity: Column expressions, and one Arrow function for subsequence ratios."""
 
 from __future__ import annotations
 
+from collections import Counter
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .text import tokenize
 
@@ -65,19 +67,34 @@ def indel_ratio(a: str, b: str) -> float:
     return 200.0 * lcs(a, b) / (len(a) + len(b)) if a and b else 0.0
 
 
+def _windows(short: str, long: str) -> float:
+    """The best ratio of short with a window of its size in long, cut short at the ends."""
+    m, spare, common, bounds = len(short), Counter(short), 0, []
+    for at in range(len(long) + m - 1):  # the window that ends with this character
+        for c, step in ((long[at] if at < len(long) else "", -1), (long[at - m] if at >= m else "", 1)):
+            if c in spare:
+                # characters in common, repeats counted: no subsequence has more
+                common -= step if (spare[c] > 0 if step < 0 else spare[c] >= 0) else 0
+                spare[c] += step
+        first = max(0, at - m + 1)
+        bounds.append((200.0 * common / (m + min(at + 1, len(long)) - first), first, min(at + 1, len(long))))
+    best = 0.0
+    for most, first, end in sorted(bounds, reverse=True):
+        if most <= best:
+            break
+        best = max(best, indel_ratio(short, long[first:end]))
+    return best
+
+
 def best_window_ratio(a: str, b: str) -> float:
-    """The best ratio of the shorter text with a window of the longer, cut short at its ends."""
+    """The best ratio of the shorter text with a window of the longer; of two as long, either may slide."""
     short, long = sorted((a, b), key=len)
     if not short:
         return 0.0
     if short in long:
         return 100.0
-    m = len(short)
-    windows = {long[max(0, k) : k + m] for k in range(1 - m, len(long))}
-    best = max(indel_ratio(short, w) for w in windows)
-    if len(a) == len(b):  # either may be the one that slides
-        best = max(best, max(indel_ratio(long, short[max(0, k) : k + m]) for k in range(1 - m, m)))
-    return best
+    best = _windows(short, long)
+    return max(best, _windows(long, short)) if len(a) == len(b) else best
 
 
 def token_sort_ratio(a: str, b: str) -> float:
@@ -100,18 +117,34 @@ def token_set_ratio(a: str, b: str) -> float:
     return best
 
 
-def _arrow(function):
-    @F.pandas_udf(DoubleType())
-    def run(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([function(x or "", y or "") for x, y in zip(a, b)], dtype="float64")
+RATIOS = {"fuzzy_ratio": indel_ratio, "partial_ratio": best_window_ratio, "token_sort_ratio": token_sort_ratio, "token_set_ratio": token_set_ratio}
+
+
+def ratios(a: Column, b: Column, *names: str) -> Column:
+    """A struct of the named ratios, in one pass; each pair of a batch is computed once, and equal ones not at all."""
+    schema = StructType([StructField(n, DoubleType(), False) for n in names])
+    functions = [RATIOS[n] for n in names]
+
+    @F.pandas_udf(schema)
+    def run(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+        known: dict[tuple[str, str], list[float]] = {}
+        out = []
+        for pair in zip(a.fillna(""), b.fillna("")):
+            if pair not in known:
+                x, y = pair
+                known[pair] = [0.0] * len(functions) if not x or not y else [100.0] * len(functions) if x == y and x.strip() else [f(x, y) for f in functions]
+            out.append(known[pair])
+        return pd.DataFrame(out, columns=list(names), dtype="float64")
+
+    return run(a, b)
+
 
-    return run
+def fuzzy_ratio(a: Column, b: Column) -> Column:
+    return ratios(a, b, "fuzzy_ratio")["fuzzy_ratio"]
 
 
-fuzzy_ratio = _arrow(indel_ratio)
-partial_ratio = _arrow(best_window_ratio)
-token_sort = _arrow(token_sort_ratio)
-token_set = _arrow(token_set_ratio)
+def token_sort(a: Column, b: Column) -> Column:
+    return ratios(a, b, "token_sort_ratio")["token_sort_ratio"]
 
 
 def token_sets(a: Column, b: Column) -> tuple[Column, Column]:
