@@ -64,24 +64,34 @@ def prune(keys: DataFrame, max_block_size: int = 500) -> DataFrame:
 
 
 def pairs(s1: DataFrame, pool: DataFrame, rules=DEFAULT_RULES, max_block_size: int = 500, min_shared: int = 2) -> DataFrame:
-    """s1, cand, hits, rules: every pair that shares an unpruned key. Self-pairs go."""
+    """s1, cand, hits, rules: every pair that shares an unpruned key. Self-pairs go.
+
+    Rules go through the shuffle as bits, and hits of all rules but the grams' as one sum.
+    """
+    names = sorted(rules)
+    bit = F.array_position(F.array(*[F.lit(r) for r in names]), F.col("rule")).cast("int") - 1
     left = block_keys(s1, rules).withColumnRenamed("entity_id", "s1")
-    right = prune(block_keys(pool, rules), max_block_size).withColumnRenamed("entity_id", "cand")
-    met = left.join(right, ["rule", "key"]).filter("s1 <> cand").groupBy("s1", "cand", "rule").agg(F.count(F.lit(1)).alias("n"))
-    grams = F.col("rule") == "char_ngram"
-    met = met.filter(~grams | (F.col("n") >= min_shared)).withColumn("n", F.when(grams, 1).otherwise(F.col("n")))
-    return met.groupBy("s1", "cand").agg(F.sum("n").alias("hits"), F.array_sort(F.collect_set("rule")).alias("rules"))
+    right = prune(block_keys(pool, rules), max_block_size).select("rule", "key", F.col("entity_id").alias("cand"))
+    met = left.join(right, ["rule", "key"]).filter("s1 <> cand").select("s1", "cand", F.call_function("shiftleft", F.lit(1), bit).alias("bit"), (F.col("rule") == "char_ngram").cast("int").alias("gram"))
+    met = met.groupBy("s1", "cand").agg(F.bit_or("bit").alias("bits"), F.sum(1 - F.col("gram")).alias("others"), F.sum("gram").alias("grams"))
+    grams = F.col("grams") >= min_shared
+    of = [(F.col("bits").bitwiseAND(1 << k) != 0) & (grams if r == "char_ngram" else F.lit(True)) for k, r in enumerate(names)]
+    listed = F.filter(F.array(*[F.when(c, F.lit(r)) for c, r in zip(of, names)]), lambda r: r.isNotNull())
+    return met.filter((F.col("others") > 0) | grams).select("s1", "cand", (F.col("others") + grams.cast("int")).alias("hits"), listed.alias("rules"))
 
 
 def ranked(pairs_: DataFrame, s1: DataFrame, pool: DataFrame) -> DataFrame:
-    """The pairs with score and rn, their rank within s1 by score and candidate id."""
+    """The pairs with score and rn, their rank within s1 by score and candidate id.
+
+    Master rows are joined last, so that their shuffle is also the one that ranks need.
+    """
     tokens = F.array_distinct(T.tokenize(F.col("name")))
     a = s1.select(F.col("entity_id").alias("s1"), F.filter(tokens, lambda t: F.length(t) >= 2).alias("ta"), F.col("postal").alias("pa"), F.col("country_norm").alias("ca"))
     b = pool.select(F.col("entity_id").alias("cand"), F.col("src").alias("source"), tokens.alias("tb"), F.col("postal").alias("pb"), F.col("country_norm").alias("cb"))
     same = lambda x, y: F.when((F.col(x) != "") & (F.col(x) == F.col(y)), 1.0).otherwise(0.0)
     score = 4.0 * jaccard(F.col("ta"), F.col("tb")) + 2.0 * same("pa", "pb") + 1.0 * same("ca", "cb") + 0.5 * F.col("hits")
-    full = pairs_.join(a, "s1").join(b, "cand").withColumn("score", score)
-    return full.withColumn("rn", F.row_number().over(Window.partitionBy("s1").orderBy(F.col("score").desc(), "cand"))).select("s1", "cand", "source", "hits", "rules", "score", "rn")
+    full = pairs_.join(b, "cand").join(a, "s1").select("s1", "cand", "source", "hits", "rules", score.alias("score"))
+    return full.withColumn("rn", F.row_number().over(Window.partitionBy("s1").orderBy(F.col("score").desc(), "cand")))
 
 
 def candidates(s1: DataFrame, pool: DataFrame, rules=DEFAULT_RULES, max_block_size: int = 500, k: int = 50) -> DataFrame:
@@ -115,3 +125,38 @@ def cap_sweep(ranked_: DataFrame, links: DataFrame, ks=(25, 50, 75, 100, 150)) -
         F.count_if(F.col("rn") <= F.col("k")).alias("pairs"), F.count_if((F.col("rn") <= F.col("k")) & F.col("true_link").isNotNull()).alias("found"),
         F.count_if((F.col("rn") > F.col("k")) & F.col("true_link").isNotNull()).alias("lost"),
     )
+
+
+def recall_report(found: DataFrame, truth: DataFrame, before_cap: DataFrame) -> DataFrame:
+    """One row of counts and shares: the links and entities of truth (s1, ids) that found covers, and what the cap lost.
+
+    before_cap: all pairs with rn, or without a cap the same as found. Shares are null without links.
+    """
+    links = truth.select("s1", F.explode("ids").alias("cand"))
+    count = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
+    facts = [
+        candidate_recall(found, links), count(truth.select("s1").distinct().join(found.select("s1"), "s1", "left_anti"), "entities_zero_candidates"),
+        count(before_cap, "candidates_before_cap"), count(found, "candidates_after_cap"),
+        count(before_cap.join(links, ["s1", "cand"], "left_semi").join(found.select("s1", "cand"), ["s1", "cand"], "left_anti"), "true_matches_lost_to_cap"),
+    ]
+    rows = facts[0]
+    for df in facts[1:]:  # each is one row
+        rows = rows.unionByName(df, allowMissingColumns=True)
+    out = rows.agg(*[F.max(c).alias(c) for c in rows.columns])
+    share = lambda c: F.when(F.col("recall").isNotNull(), 100.0 * F.col(c) / F.col("entities"))
+    return out.select(
+        F.col("recall").alias("candidate_recall"), F.when(F.col("recall").isNull(), "NOT_AVAILABLE").otherwise("MEASURED").alias("candidate_recall_status"), F.col("links").alias("total_true_links"),
+        F.col("covered").alias("true_links_covered"), (F.col("links") - F.col("covered")).alias("true_links_missed"), F.col("entities").alias("s1_entities_with_truth"),
+        F.col("all_covered").alias("entities_all_covered_count"), share("all_covered").alias("entities_all_covered_pct"), F.col("any_covered").alias("entities_any_covered_count"), share("any_covered").alias("entities_any_covered_pct"),
+        "entities_zero_candidates", "candidates_before_cap", "candidates_after_cap", "true_matches_lost_to_cap",
+        F.when(F.col("recall").isNull(), "No true link was there to be covered.").otherwise(F.concat(F.lit("Candidate recall: "), F.format_string("%.4f", "recall"))).alias("message"),
+    )
+
+
+def experiment_slice(s1: DataFrame, pool: DataFrame, truth: DataFrame, entities: int = 100, others: int = 25_000) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Master rows, pool and truth of a small experiment: the first entities with links by id, the rows they link to, and of each source the first others."""
+    some = truth.filter(F.size("ids") > 0).orderBy("s1").limit(entities)
+    wanted = some.select(F.explode("ids").alias("entity_id")).distinct()
+    near = pool.join(wanted, "entity_id", "left_semi")
+    first = pool.filter("src = 'S2'").orderBy("entity_id").limit(others).unionByName(pool.filter("src = 'S3'").orderBy("entity_id").limit(others))
+    return s1.join(some.select(F.col("s1").alias("entity_id")), "entity_id", "left_semi"), near.unionByName(first).dropDuplicates(["entity_id"]), some

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import similarity as S
 from ..functions import text as T
 
+# The features in their order.
 FEATURES = (
     "name_exact", "name_fuzzy_ratio", "name_partial_ratio", "name_token_sort_ratio", "name_token_set_ratio", "name_jaccard", "name_char_sim", "name_tfidf_word", "name_tfidf_char",
     "name_length_diff", "name_token_count_diff", "name_common_tokens", "address_exact", "address_fuzzy_ratio", "address_token_sort_ratio", "address_jaccard", "address_char_sim",
@@ -16,14 +17,28 @@ FEATURES = (
 )
 
 
-def attach(pairs: DataFrame, s1: DataFrame, pool: DataFrame) -> DataFrame:
-    """Pairs (s1, cand) with both records' columns, prefixed a_ and b_; text of an unknown id is empty."""
+#: What turns features on: a flag's own name, or one that stands for others.
+FLAGS = {"name_tfidf_cosine": ("name_tfidf_word", "name_tfidf_char"), "address_tfidf_cosine": ("address_tfidf_word", "address_tfidf_char"), "source_indicator": ("source_is_s2", "source_is_s3"), "address_fuzzy": ("address_fuzzy_ratio",), "address_token_sim": ("address_token_sort_ratio",)}
+COSINES = tuple(f for f in FEATURES if "_tfidf_" in f)
+
+
+def enabled(off=()) -> tuple[str, ...]:
+    """The features without those of the flags that are off, in their order."""
+    if unknown := set(off) - set(FLAGS) - set(FEATURES):
+        raise ValueError(f"unknown feature flags: {sorted(unknown)}")
+    gone = {f for flag in off for f in FLAGS.get(flag, (flag,))}
+    return tuple(f for f in FEATURES if f not in gone)
+
+
+def attach(pairs: DataFrame, s1: DataFrame, pool: DataFrame, more=()) -> DataFrame:
+    """Pairs (s1, cand) with both records' columns, prefixed a_ and b_; text of an unknown id is empty. more: further columns."""
     def side(df, key, p):
-        return df.select(F.col("entity_id").alias(key), *[F.col(c).alias(f"{p}_{c}") for c in ("name", "address", "postal", "house", "country_norm", "numbers")], *([F.col("src").alias("b_src")] if p == "b" else []))
+        return df.select(F.col("entity_id").alias(key), *[F.col(c).alias(f"{p}_{c}") for c in ("name", "address", "postal", "house", "country_norm", "numbers", *more)], *([F.col("src").alias("b_src")] if p == "b" else []))
 
-    out = pairs.select("s1", "cand").join(side(s1, "s1", "a"), "s1", "left").join(side(pool, "cand", "b"), "cand", "left")
+    out = pairs.select("s1", "cand").join(side(pool, "cand", "b"), "cand", "left").join(side(s1, "s1", "a"), "s1", "left")
     empty = F.array().cast("array<string>")
-    return out.select("s1", "cand", *[F.coalesce(F.col(c), empty if c.endswith("numbers") else F.lit("")).alias(c) for c in out.columns if c not in ("s1", "cand")])
+    kept = {"s1", "cand", *(f"{p}_{c}" for p in "ab" for c in more)}
+    return out.select(*[F.col(c) if c in kept else F.coalesce(F.col(c), empty if c.endswith("numbers") else F.lit("")).alias(c) for c in out.columns])
 
 
 def native_features() -> dict[str, Column]:
@@ -42,11 +57,9 @@ def native_features() -> dict[str, Column]:
 
 
 def fuzzy_features() -> dict[str, Column]:
-    n, a = (F.col("a_name"), F.col("b_name")), (F.col("a_address"), F.col("b_address"))
-    return {
-        "name_fuzzy_ratio": S.fuzzy_ratio(*n), "name_partial_ratio": S.partial_ratio(*n), "name_token_sort_ratio": S.token_sort(*n), "name_token_set_ratio": S.token_set(*n),
-        "address_fuzzy_ratio": S.fuzzy_ratio(*a), "address_token_sort_ratio": S.token_sort(*a),
-    }
+    name = S.ratios(F.col("a_name"), F.col("b_name"), *S.RATIOS)
+    address = S.ratios(F.col("a_address"), F.col("b_address"), "fuzzy_ratio", "token_sort_ratio")
+    return {f"name_{r}": name[r] for r in S.RATIOS} | {f"address_{r}": address[r] for r in ("fuzzy_ratio", "token_sort_ratio")}
 
 
 def terms(field: Column, analyzer: str) -> Column:
@@ -87,18 +100,40 @@ def weights(docs: DataFrame, field: str, analyzer: str, vocabulary: DataFrame) -
     return raw.select("id", "term", (F.col("x") / F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy("id")))).alias("w"))
 
 
+def weight_maps(docs: DataFrame, vocabularies: dict[str, DataFrame]) -> DataFrame:
+    """id, and for each vocabulary (by the name of its feature) a map of terms to weights; null without a term."""
+    out = docs.select("id").distinct()
+    for name, vocabulary in vocabularies.items():
+        maps = weights(docs, *name.split("_tfidf_"), vocabulary).groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("term", "w"))).alias(name))
+        out = out.join(maps, "id", "left")
+    return out
+
+
+def dot(a: Column, b: Column) -> Column:
+    """The cosine of two maps of unit length; 0 where one is null or no term is shared."""
+    products = F.map_values(F.map_zip_with(a, b, lambda _, x, y: F.coalesce(x * y, F.lit(0.0))))
+    total = F.aggregate(F.array_sort(products), F.lit(0.0), lambda acc, x: acc + x)
+    return F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.coalesce(total, F.lit(0.0))))
+
+
+def _weighted(records: DataFrame, vocabularies: dict[str, DataFrame]) -> DataFrame:
+    maps = weight_maps(records.select(F.col("entity_id").alias("id"), "name", "address"), vocabularies)
+    return records.join(maps.withColumnRenamed("id", "entity_id"), "entity_id", "left")
+
+
 def cosine(pairs: DataFrame, s1: DataFrame, pool: DataFrame, field: str, analyzer: str, vocabulary: DataFrame) -> DataFrame:
     """s1, cand, cosine of every pair, 0 where no term is shared."""
-    side = lambda d, k, w: weights(d.select(F.col("entity_id").alias("id"), field), field, analyzer, vocabulary).select(F.col("id").alias(k), "term", F.col("w").alias(w))
-    dots = pairs.select("s1", "cand").join(side(s1, "s1", "wa"), "s1").join(side(pool, "cand", "wb"), ["cand", "term"]).groupBy("s1", "cand").agg(F.sum(F.col("wa") * F.col("wb")).alias("dot"))
-    return pairs.select("s1", "cand").join(dots, ["s1", "cand"], "left").select("s1", "cand", F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.coalesce("dot", F.lit(0.0)))).alias("cosine"))
+    name = f"{field}_tfidf_{analyzer}"
+    both = attach(pairs, _weighted(s1, {name: vocabulary}), _weighted(pool, {name: vocabulary}), (name,))
+    return both.select("s1", "cand", dot(F.col(f"a_{name}"), F.col(f"b_{name}")).alias("cosine"))
 
 
-def feature_matrix(pairs: DataFrame, s1: DataFrame, pool: DataFrame, vocabularies: dict[str, DataFrame]) -> DataFrame:
-    """s1, cand and the 27 features in their order. vocabularies: by feature name of the four cosines."""
-    out = attach(pairs, s1, pool).select("s1", "cand", *[c.alias(n) for n, c in (native_features() | fuzzy_features()).items()])
-    for name, vocabulary in vocabularies.items():
-        field, analyzer = name.split("_tfidf_")
-        out = out.join(cosine(pairs, s1, pool, field, analyzer, vocabulary).withColumnRenamed("cosine", name), ["s1", "cand"], "left")
-    missing = [f for f in FEATURES if f not in out.columns]
-    return out.withColumns({f: F.lit(0.0) for f in missing}).select("s1", "cand", *[F.col(f).cast("double").alias(f) for f in FEATURES])
+def feature_matrix(pairs: DataFrame, s1: DataFrame, pool: DataFrame, vocabularies: dict[str, DataFrame], columns=FEATURES) -> DataFrame:
+    """s1, cand and the features in their order, after one join with either side.
+
+    vocabularies: by feature name of the cosines; a feature without one is 0.
+    """
+    wanted = {v: d for v, d in vocabularies.items() if v in columns}
+    both = attach(pairs, _weighted(s1, wanted), _weighted(pool, wanted), tuple(wanted))
+    made = native_features() | fuzzy_features() | {v: dot(F.col(f"a_{v}"), F.col(f"b_{v}")) for v in wanted}
+    return both.select("s1", "cand", *[made.get(f, F.lit(0.0)).cast("double").alias(f) for f in columns])
