@@ -14,16 +14,29 @@ from pyspark.sql import functions as F
 from .features import FEATURES
 
 
-def train(rows: DataFrame, kind: str = "gbt", columns=FEATURES, iterations: int = 100, seed: int = 42) -> PipelineModel:
-    """Fit to rows with the features and label; positives weigh as much as all negatives."""
-    counts = rows.agg(F.count_if(F.col("label") == 1).alias("p"), F.count_if(F.col("label") == 0).alias("n")).first()
-    weight = counts["n"] / counts["p"] if counts["p"] else 1.0
+def class_counts(rows: DataFrame) -> DataFrame:
+    """One row: positives, negatives, and the weight of a positive, with which both classes weigh the same."""
+    out = rows.agg(F.count_if(F.col("label") == 1).alias("positives"), F.count_if(F.col("label") == 0).alias("negatives"))
+    return out.withColumn("weight", F.when(F.col("positives") > 0, F.col("negatives") / F.col("positives")).otherwise(F.lit(1.0)))
+
+
+def zero_filled(rows: DataFrame, columns=FEATURES) -> DataFrame:
+    """The rows, with features that they lack as 0."""
+    return rows.withColumns({c: F.lit(0.0) for c in columns if c not in rows.columns})
+
+
+def train(rows: DataFrame, kind: str = "gbt", columns=FEATURES, iterations: int = 100, seed: int = 42, step: float = 0.05, depth: int = 6, least: int = 20, share: float = 0.8) -> PipelineModel:
+    """Fit to rows with the features and label; positives weigh as much as all negatives.
+
+    Trees: step is the learning rate, least the rows of a leaf, share that of rows and columns to a tree.
+    """
+    weight = class_counts(rows).first()["weight"]
     rows = rows.withColumn("weight", F.when(F.col("label") == 1, F.lit(float(weight))).otherwise(F.lit(1.0)))
     common = {"featuresCol": "features", "labelCol": "label", "weightCol": "weight"}
     if kind == "gbt":
-        estimator = GBTClassifier(maxIter=iterations, stepSize=0.05, maxDepth=6, minInstancesPerNode=20, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=seed, **common)
+        estimator = GBTClassifier(maxIter=iterations, stepSize=step, maxDepth=depth, minInstancesPerNode=least, subsamplingRate=share, featureSubsetStrategy=str(share), seed=seed, **common)
     elif kind == "forest":
-        estimator = RandomForestClassifier(numTrees=iterations, maxDepth=8, seed=seed, **common)
+        estimator = RandomForestClassifier(numTrees=iterations, maxDepth=depth + 2, seed=seed, **common)
     elif kind == "logistic":
         estimator = LogisticRegression(maxIter=iterations, **common)
     else:
@@ -41,7 +54,7 @@ def feature_names(model: PipelineModel, columns=FEATURES) -> list[str]:
 
 def predict(rows: DataFrame, model: PipelineModel) -> DataFrame:
     """The rows with probability; features that are missing count as 0."""
-    rows = rows.withColumns({c: F.lit(0.0) for c in model.stages[0].getInputCols() if c not in rows.columns})
+    rows = zero_filled(rows, model.stages[0].getInputCols())
     scored = model.transform(rows)
     kept = [c for c in rows.columns if c != "probability"]
     return scored.select(*kept, vector_to_array("probability")[1].alias("probability"))

@@ -58,6 +58,31 @@ def violations(matching: DataFrame, candidate: DataFrame, s1: DataFrame, pool: D
     return every
 
 
+#: The columns of the two outputs.
+MATCHING, CANDIDATE = ("source1_entity_id", "matched_entity_ids"), ("source1_entity_id", "candidate_entity_ids")
+
+
+def header_errors(header: str, expected: tuple[str, str], label: str) -> list[str]:
+    """What is wrong with the first line of an output."""
+    columns = header.rstrip("\r\n").split("\t")
+    if len(columns) < 2:
+        return [f"{label}: not separated by tabs"]
+    return [] if tuple(columns) == expected else [f"{label}: columns {columns}, not {list(expected)}"]
+
+
+def coverage(df: DataFrame, s1: DataFrame, label: str) -> DataFrame:
+    """One row: rows of an output and of the master table, and ids that only one of them has."""
+    got, want = df.select(F.col("source1_entity_id").alias("s1")), s1.select(F.col("entity_id").alias("s1")).distinct()
+    both = got.groupBy("s1").agg(F.count(F.lit(1)).alias("got")).join(want.withColumn("want", F.lit(1)), "s1", "full_outer")
+    return both.agg(F.coalesce(F.sum("got"), F.lit(0)).alias("rows"), F.count("want").alias("expected"), F.count_if(F.col("got").isNull()).alias("missing"), F.count_if(F.col("want").isNull()).alias("extra")).select(F.lit(label).alias("output"), "*")
+
+
+def summary(matching: DataFrame) -> DataFrame:
+    """One row: links and rows without any of the matching output."""
+    ids = F.array_distinct(split_ids(F.col("matched_entity_ids")))
+    return matching.select(F.size(ids).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("links"), F.count_if(F.col("n") == 0).alias("singletons"))
+
+
 def resolve_threshold(explicit=None, persisted=None, selected=None, default: float = 0.5) -> tuple[float, str]:
     for value, source in ((explicit, "explicit"), (persisted, "persisted"), (selected, "selected")):
         if value is not None:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import tempfile
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +31,37 @@ def read_truth(spark: SparkSession, path: str) -> DataFrame:
     return read_tsv(spark, path, TRUTH_COLUMNS, "ground truth")
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """The rows of a scan with line, which grows along the file."""
+    return df.withColumn("line", F.monotonically_increasing_id())
+
+
+def head(df: DataFrame, n: int, key: str = "entity_id") -> DataFrame:
+    """The first n rows in the order of a key, as a scan of many files has no order of its own."""
+    return df.orderBy(key).limit(n)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path in spark.checkpoint.dir, which all executors see; in a local session without one, a temporary folder."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        root = tempfile.mkdtemp(prefix="tallymark-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
+    return path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Written to the scratch folder and read back, so that several plans read it at its known size."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def inspect_schema(df: DataFrame, expected=SOURCE_COLUMNS) -> dict:
     have, want = set(df.columns), set(expected)
     return {"columns": df.columns, "missing": sorted(want - have), "unexpected": sorted(have - want), "valid": want <= have}
@@ -49,17 +82,17 @@ class Sources:
     truth: DataFrame | None = None
 
     def summary(self) -> dict:
-        return {n: d.count() for n in ("s1", "s2", "s3") if (d := getattr(self, n)) is not None}
+        return {n: d.count() for n in ("s1", "s2", "s3", "truth") if (d := getattr(self, n)) is not None}
 
 
 def load(spark: SparkSession, paths: dict[str, str]) -> Sources:
     """Of a mapping with source1, source2, source3 and, for training, ground_truth."""
     truth = read_truth(spark, paths["ground_truth"]) if "ground_truth" in paths else None
-    return Sources(*(read_tsv(spark, paths[f"source{k}"], label=f"source{k}") for k in (1, 2, 3)), truth)
+    return Sources(*(read_tsv(spark, paths[f"source{k}"], label=f"source{k}") for k in (1, 2, 3)), numbered(truth) if truth is not None else None)
 
 
 def write_tsv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).csv(path, sep="\t", header=True, emptyValue="", quote='"', escape='"')
+    df.write.mode(mode).csv(path, sep="\t", header=True, emptyValue="", quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def write_json(spark: SparkSession, record: dict, path: str) -> None:
@@ -86,9 +119,9 @@ def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(ENTITY_SQL, **frames)
 
 
-def prepared(df: DataFrame, fold: bool = True) -> DataFrame:
+def prepared(df: DataFrame, fold: bool = True, suffixes=T.LEGAL_SUFFIXES, abbreviations=T.ABBREVIATIONS) -> DataFrame:
     """The six derived columns of every record; the originals stay."""
-    name, address = T.normalize_name(F.col("business_name"), fold=fold), T.normalize_address(F.col("business_address"), fold=fold)
+    name, address = T.normalize_name(F.col("business_name"), suffixes, fold), T.normalize_address(F.col("business_address"), abbreviations, fold)
     df = df.withColumns({"name": name, "address": address, "country_norm": T.normalize_country(F.col("country"), fold=fold), "postal": T.postal_code(F.col("business_address"))})
     return df.withColumns({"house": T.house_number(F.col("address")), "numbers": T.numeric_tokens(F.col("address"))})
 
