@@ -121,6 +121,30 @@ def _(spark, d):
     return _rounded(blocking.candidate_recall(found(spark, d), links(spark, d)))
 
 
+@query("candidates_char_ngram", f"WITH {sql.pairs(('char_ngram',))} SELECT s1, cand, hits, rules FROM pairs")
+def _(spark, d):
+    return blocking.pairs(*sides(spark, d), rules=("char_ngram",)).withColumn("rules", F.array_join("rules", ","))
+
+
+@query("recall_report", f"""WITH {sql.ranked()}, {sql.LINKS}, per AS (SELECT l.s1, count(*) AS n, count(c.cand) AS k FROM links l LEFT JOIN cands c USING (s1, cand) GROUP BY 1),
+t AS (SELECT coalesce(sum(n), 0)::BIGINT AS n, coalesce(sum(k), 0)::BIGINT AS k, count(*) AS e, count(*) FILTER (k = n) AS every, count(*) FILTER (k > 0) AS part FROM per)
+SELECT round(k / n, 9) AS candidate_recall, CASE WHEN n > 0 THEN 'MEASURED' ELSE 'NOT_AVAILABLE' END AS candidate_recall_status, n AS total_true_links, k AS true_links_covered, n - k AS true_links_missed, e AS s1_entities_with_truth,
+every AS entities_all_covered_count, round(100.0::DOUBLE * every / e, 9) AS entities_all_covered_pct, part AS entities_any_covered_count, round(100.0::DOUBLE * part / e, 9) AS entities_any_covered_pct,
+(SELECT count(*) FROM ent WHERE src = 'S1' AND entity_id NOT IN (SELECT s1 FROM cands)) AS entities_zero_candidates, (SELECT count(*) FROM ranked) AS candidates_before_cap, (SELECT count(*) FROM cands) AS candidates_after_cap,
+(SELECT count(*) FROM ranked JOIN links USING (s1, cand) WHERE rn > 50) AS true_matches_lost_to_cap, 'Candidate recall: ' || printf('%.4f', k / n) AS message FROM t""")
+def _(spark, d):
+    s1, pool = sides(spark, d)
+    every = tables.stored(blocking.ranked(blocking.pairs(s1, pool), s1, pool), "ranked")
+    return _rounded(blocking.recall_report(every.filter("rn <= 50"), truth(spark, d), every))
+
+
+@query("experiment_slice", f"""WITH {sql.ENT}, {sql.LINKS}, few AS (SELECT DISTINCT s1 FROM links ORDER BY s1 LIMIT 100), other AS (SELECT entity_id, src FROM ent WHERE src <> 'S1' QUALIFY row_number() OVER (PARTITION BY src ORDER BY entity_id) <= 200)
+SELECT s1 AS entity_id, 'S1' AS src FROM few UNION SELECT entity_id, src FROM other UNION SELECT cand, substr(cand, 1, 2) FROM links WHERE s1 IN (SELECT s1 FROM few)""")
+def _(spark, d):
+    s1, pool, _ = blocking.experiment_slice(*sides(spark, d), truth(spark, d), others=200)
+    return s1.select("entity_id", "src").unionByName(pool.select("entity_id", "src"))
+
+
 @query("cap_sweep", f"""WITH {sql.ranked()}, {sql.LINKS}, ks AS (SELECT unnest([25, 50, 75, 100, 150])::INTEGER AS k)
 SELECT k, count(*) FILTER (rn <= k) AS pairs, count(l.cand) FILTER (rn <= k) AS found, count(l.cand) FILTER (rn > k) AS lost FROM ranked r LEFT JOIN links l USING (s1, cand), ks GROUP BY k""")
 def _(spark, d):
@@ -136,43 +160,52 @@ def _(spark, d):
     return _rounded(scored(spark, d).select("s1", "cand", *[F.col(c).cast("double").alias(c) for c in _NATIVE]))
 
 
-@query("features_fuzzy")
-def _(spark, d):
-    s1, pool = sides(spark, d)
-    return features.attach(blocking.candidates(s1, pool), s1, pool).select("s1", "cand", *[c.alias(n) for n, c in features.fuzzy_features().items()])
+_RATIOS = ["name_fuzzy_ratio", "name_partial_ratio", "name_token_sort_ratio", "name_token_set_ratio", "address_fuzzy_ratio", "address_token_sort_ratio"]
+_nine = lambda columns: ", ".join(f"round({c}::DOUBLE, 9) AS {c}" for c in columns)
 
 
-@query("features_all")
+@query("features_fuzzy", f"WITH {sql.ranked()}, {sql.fuzzy_features()} SELECT s1, cand, {_nine(_RATIOS)} FROM fuzz")
 def _(spark, d):
     s1, pool = sides(spark, d)
-    return features.feature_matrix(blocking.candidates(s1, pool), s1, pool, {v: _vocabulary(spark, d, *v.split("_tfidf_")) for v in ("name_tfidf_word", "name_tfidf_char", "address_tfidf_word", "address_tfidf_char")})
+    return _rounded(features.attach(blocking.candidates(s1, pool), s1, pool).select("s1", "cand", *[c.alias(n) for n, c in features.fuzzy_features().items()]))
+
+
+def vocabularies(spark, d, names=features.COSINES) -> dict[str, DataFrame]:
+    return {v: _vocabulary(spark, d, *v.split("_tfidf_")) for v in names}
 
 
 def _vocabulary(spark, d, field, analyzer):
     return features.fit_tfidf(records(spark, d).select(F.col("entity_id").alias("id"), field), field, analyzer)
 
 
-def _tfidf_sql(field: str, analyzer: str) -> str:
-    if analyzer == "word":
-        words = rf"regexp_extract_all({field}, '\w\w+')"
-        made = f"SELECT entity_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS term FROM (SELECT entity_id, {words} AS w FROM norm)"
-    else:
-        grams = ", ".join(f"CASE WHEN length(p) >= {n} THEN list_transform(range(1, length(p) - {n - 2}), lambda i: substr(p, i, {n})) ELSE [] END" for n in (2, 3, 4))
-        made = f"SELECT entity_id, unnest(flatten([{grams}])) AS term FROM (SELECT entity_id, ' ' || unnest(list_filter(string_split({field}, ' '), lambda w: w <> '')) || ' ' AS p FROM norm)"
-    return f"""WITH {sql.ranked()}, made AS ({made}), tf AS (SELECT entity_id, term, count(*) AS tf FROM made GROUP BY ALL),
-vocab AS (SELECT term, ln((1 + (SELECT count(*) FROM norm)) / (1 + count(*))) + 1 AS idf FROM tf GROUP BY term ORDER BY sum(tf) DESC, term LIMIT 10000),
-x AS (SELECT entity_id, term, (1 + ln(tf)) * idf AS x FROM tf JOIN vocab USING (term)), w AS (SELECT entity_id, term, x / sqrt(sum(x * x) OVER (PARTITION BY entity_id)) AS w FROM x),
-dots AS (SELECT s1, cand, sum(a.w * b.w) AS dot FROM cands JOIN w a ON a.entity_id = s1 JOIN w b ON b.entity_id = cand AND a.term = b.term GROUP BY ALL)
-SELECT s1, cand, round(least(1.0, greatest(0.0, coalesce(dot, 0.0))), 6) AS cosine FROM cands LEFT JOIN dots USING (s1, cand)"""
+_COSINES = [v.split("_tfidf_") for v in features.COSINES]
+_ALL = f"""WITH {sql.SCORED}, {sql.fuzzy_features()}, {', '.join(f"{sql.tfidf(*v)}, {sql.cosine(*v)}" for v in _COSINES)}
+SELECT s1, cand, {', '.join(f"round({f}::DOUBLE, 6) AS {f}" if f not in features.COSINES else f"round({f}.cosine, 6) AS {f}" for f in features.FEATURES)}
+FROM feats JOIN fuzz USING (s1, cand) {' '.join(f"JOIN {v} USING (s1, cand)" for v in features.COSINES)}"""
+
+
+@query("features_all", _ALL)
+def _(spark, d):
+    s1, pool = sides(spark, d)
+    out = features.feature_matrix(blocking.candidates(s1, pool), s1, pool, vocabularies(spark, d))
+    return out.select("s1", "cand", *[F.round(f, 6).alias(f) for f in features.FEATURES])
 
 
 def _tfidf(field, analyzer):
-    @query(f"tfidf_{field}_{analyzer}", _tfidf_sql(field, analyzer))
+    @query(f"tfidf_{field}_{analyzer}", f"WITH {sql.ranked()}, {sql.tfidf(field, analyzer)}, {sql.cosine(field, analyzer)} SELECT s1, cand, round(cosine, 6) AS cosine FROM {field}_tfidf_{analyzer}")
     def _(spark, d):
         s1, pool = sides(spark, d)
         out = features.cosine(blocking.candidates(s1, pool), s1, pool, field, analyzer, _vocabulary(spark, d, field, analyzer))
         return out.withColumn("cosine", F.round("cosine", 6))
 
+    @query(f"vocabulary_{field}_{analyzer}", f"WITH {sql.NORM}, {sql.PARTS}, fit AS (SELECT entity_id FROM norm WHERE src <> 'S1' OR entity_id IN (SELECT s1 FROM parts WHERE part = 'train')), {sql.tfidf(field, analyzer, 'fit')} SELECT term, round(idf, 9) AS idf FROM {field}_{analyzer}_vocab")
+    def _(spark, d):
+        """Fitted to the training rows and the pool only."""
+        s1, pool = sides(spark, d)
+        train = labels.split_entities(truth(spark, d)).filter("part = 'train'").select(F.col("s1").alias("entity_id"))
+        corpus = s1.join(train, "entity_id", "left_semi").unionByName(pool)
+        return _rounded(features.fit_tfidf(corpus.select(F.col("entity_id").alias("id"), field), field, analyzer))
+
 
 for _field in ("name", "address"):
     for _analyzer in ("word", "char"):
@@ -210,21 +243,58 @@ def _(spark, d):
     return labels.prefilter(_labelled(spark, d)).select("s1", "cand", "label")
 
 
-@query("downsample_negatives")
+@query("downsample_negatives", f"WITH {_LAB}, hard AS (SELECT *, len(string_split(rules, ',')) > 1 AS hard, sum(label) OVER (PARTITION BY s1) AS n_pos FROM lab) SELECT s1, cand, label FROM hard QUALIFY label = 1 OR row_number() OVER (PARTITION BY s1, label ORDER BY hard DESC, {sql.place('cand')}, cand) <= greatest(2 * n_pos, 1)")
 def _(spark, d):
     return labels.downsample(_labelled(spark, d).withColumn("hard", F.size("rules") > 1), 2).select("s1", "cand", "label")
 
 
-@query("split_entities")
+@query("split_entities", f"WITH {sql.ENT}, {sql.PARTS} SELECT s1, part FROM parts")
 def _(spark, d):
     return labels.split_entities(truth(spark, d))
 
 
-@query("sample_exact")
+@query("sample_exact", f"WITH {sql.ENT} SELECT entity_id FROM ent ORDER BY {sql.place('entity_id')}, entity_id LIMIT 100")
 def _(spark, d):
     return labels.sample_exact(tables.entities(spark, d), 100).select("entity_id")
 
 
+@query("development_pool", f"WITH {sql.ENT}, {sql.LINKS}, other AS (SELECT entity_id FROM ent WHERE src <> 'S1' AND entity_id NOT IN (SELECT cand FROM links) ORDER BY {sql.place('entity_id')}, entity_id LIMIT 300) SELECT entity_id FROM ent WHERE src <> 'S1' AND entity_id IN (SELECT cand FROM links) UNION ALL SELECT entity_id FROM other")
+def _(spark, d):
+    return labels.development_pool(sides(spark, d)[1], links(spark, d), 300).select("entity_id")
+
+
+def _featured(spark, d):
+    """The labelled pairs with native features, ratios and the number of rules."""
+    s1, pool = sides(spark, d)
+    found_ = tables.stored(found(spark, d), "candidates")
+    made = features.attach(found_, s1, pool).select("s1", "cand", *[c.alias(n) for n, c in (features.native_features() | features.fuzzy_features()).items()])
+    return labels.label(made.join(found_.select("s1", "cand", F.size("rules").alias("n_rules")), ["s1", "cand"]), links(spark, d))
+
+
+_HARD = f"{sql.SCORED}, {sql.fuzzy_features()}, hn AS (SELECT s1, cand, (l.cand IS NOT NULL)::INTEGER AS label, name_fuzzy_ratio >= 65 OR name_token_sort_ratio >= 65 OR name_jaccard >= 0.4 OR len(string_split(rules, ',')) > 1 AS hard FROM cands JOIN feats USING (s1, cand) JOIN fuzz USING (s1, cand) LEFT JOIN links l USING (s1, cand))"
+
+
+@query("hard_negatives", f"WITH {_HARD} SELECT s1, cand FROM hn WHERE label = 0 AND hard")
+def _(spark, d):
+    return _featured(spark, d).filter("label = 0").filter(labels.is_hard_negative()).select("s1", "cand")
+
+
+@query("dataset_composition", f"WITH {_HARD}, {sql.PARTS} SELECT part, label, hard, count(*) AS n FROM hn JOIN parts USING (s1) GROUP BY ALL")
+def _(spark, d):
+    rows = _featured(spark, d).withColumn("hard", labels.is_hard_negative())
+    return labels.composition(rows.join(labels.split_entities(truth(spark, d)), "s1"))
+
+
+@query("class_counts", f"WITH {_LAB} SELECT sum(label)::BIGINT AS positives, sum(1 - label)::BIGINT AS negatives, round(sum(1 - label) / sum(label), 9) AS weight FROM lab")
+def _(spark, d):
+    return _rounded(model.class_counts(_labelled(spark, d)))
+
+
+@query("zero_filled", f"WITH {sql.SCORED} SELECT s1, cand, round(name_jaccard::DOUBLE, 9) AS name_jaccard, 0.0::DOUBLE AS name_tfidf_word, 0.0::DOUBLE AS address_fuzzy_ratio FROM feats")
+def _(spark, d):
+    return _rounded(model.zero_filled(scored(spark, d).select("s1", "cand", "name_jaccard"), ("name_jaccard", "name_tfidf_word", "address_fuzzy_ratio")))
+
+
 @query("linear_score", f"WITH {sql.SCORED} SELECT s1, cand, probability FROM linear")
 def _(spark, d):
     return scored(spark, d).select("s1", "cand", "probability")
@@ -273,6 +343,12 @@ def _(spark, d):
     return outputs.accept(scored(spark, d), THRESHOLD, require_country=True).select("s1", "cand", "probability")
 
 
+@query("postprocess_similarity_guards", f"WITH {sql.SCORED}, {sql.fuzzy_features()} SELECT s1, cand, probability FROM linear JOIN fuzz USING (s1, cand) WHERE probability >= 0.3 AND name_fuzzy_ratio >= 60 AND address_fuzzy_ratio >= 50")
+def _(spark, d):
+    rows = _featured(spark, d)
+    return outputs.accept(model.linear_score(rows), 0.3, min_name=60, min_address=50).select("s1", "cand", "probability")
+
+
 def _listed(which: str, column: str) -> str:
     return f"WITH {sql.SCORED} SELECT e.entity_id AS source1_entity_id, coalesce(string_agg(cand, ',' ORDER BY cand), '') AS {column} FROM ent e LEFT JOIN ({which}) x ON x.s1 = e.entity_id WHERE src = 'S1' GROUP BY 1"
 
@@ -302,12 +378,9 @@ def _(spark, d):
     return profile.missing_values(tables.entities(spark, d))
 
 
-@query("country_profile", f"WITH {sql.ENT}, c AS (SELECT src, lower(trim(country)) AS country, count(*) AS n FROM ent GROUP BY ALL) SELECT src, country, n, round(100.0::DOUBLE * n / sum(n) OVER (PARTITION BY src), 3) AS percent FROM c")
+@query("country_profile", f"WITH {sql.ENT}, c AS (SELECT src, lower(trim(country)) AS country, count(*) AS n FROM ent GROUP BY ALL) SELECT src, country, n, round_even(100.0::DOUBLE * n / sum(n) OVER (PARTITION BY src), 4) AS percent FROM c")
 def _(spark, d):
-    counts = profile.countries(tables.entities(spark, d)).drop("percent")
-    from pyspark.sql import Window
-
-    return counts.withColumn("percent", F.round(100.0 * F.col("n") / F.sum("n").over(Window.partitionBy("src")), 3))
+    return profile.countries(tables.entities(spark, d))
 
 
 @query("name_profile", f"WITH {sql.ENT} SELECT src, count(DISTINCT business_name) AS unique_raw, count(DISTINCT lower(business_name)) AS unique_lower, min(length(business_name))::DOUBLE AS chars_min, quantile_cont(length(business_name), 0.5)::DOUBLE AS chars_median, max(length(business_name))::DOUBLE AS chars_max FROM ent GROUP BY 1")
@@ -326,21 +399,92 @@ def _(spark, d):
     return both.agg(F.count(F.lit(1)).alias("pairs"), F.sum(S.both_equal(F.col("a_name"), F.col("b_name"))).alias("same_name"), F.sum((F.col("a_country_norm") == F.col("b_country_norm")).cast("int")).alias("same_country"))
 
 
-@query("name_profile_all")
+_WORD = lambda s, column: rf"regexp_matches(lower({column}), '\b{s}\b')"
+_SHARE = lambda c: f"round_even(100.0::DOUBLE * count(*) FILTER ({c}) / count(*), 2)"
+_NAMES = rf"""WITH {sql.NORM}, n AS (SELECT *, len(list_filter(string_split(regexp_replace(business_name, '\s+', ' ', 'g'), ' '), lambda t: t <> '')) AS tokens FROM norm)
+SELECT src, count(*) AS analyzed, count(DISTINCT business_name) AS unique_raw, count(DISTINCT lower(business_name)) AS unique_lower, count(DISTINCT name) AS unique_normalized,
+round_even(100.0::DOUBLE * (1 - count(DISTINCT business_name) / count(*)), 2) AS duplicate_raw_percent, round_even(100.0::DOUBLE * (1 - count(DISTINCT name) / count(*)), 2) AS duplicate_normalized_percent,
+count(*) FILTER (trim(business_name) = '') AS empty, {sql.quantiles('length(business_name)', 'chars_')}, {sql.quantiles('tokens', 'tokens_')}, {_SHARE(r"regexp_matches(business_name, '[^\w\s]')")} AS punctuation_percent,
+{', '.join(f"count(*) FILTER ({_WORD(x, 'business_name')}) AS suffix_{x}, {_SHARE(_WORD(x, 'business_name'))} AS suffix_{x}_percent" for x in profile.SUFFIXES)} FROM n GROUP BY src"""
+
+
+@query("name_profile_all", _NAMES)
 def _(spark, d):
     return profile.names(tables.entities(spark, d))
 
 
-@query("address_profile_all")
+_SOME = lambda c: f"round_even(CASE WHEN count(v) > 0 THEN 100.0::DOUBLE * count(*) FILTER ({c}) / count(v) ELSE 0.0 END, 2)"
+_ADDRESSES = rf"""WITH {sql.NORM}, a AS (SELECT src, postal, nullif(address, '') AS norm, CASE WHEN trim(business_address) <> '' THEN business_address END AS v FROM norm),
+b AS (SELECT *, length(v) AS chars, len(list_filter(string_split(regexp_replace(v, '\s+', ' ', 'g'), ' '), lambda t: t <> '')) AS tokens, len(regexp_extract_all(v, '\b\d+\b')) AS numbers FROM a)
+SELECT src, count(*) AS analyzed, count(*) - count(v) AS empty, round_even(100.0::DOUBLE * (count(*) - count(v)) / count(*), 2) AS empty_percent, {sql.quantiles('chars', 'chars_')}, {sql.quantiles('tokens', 'tokens_')}, {sql.quantiles('numbers', 'numbers_')},
+{_SOME('numbers > 0')} AS numeric_percent, {_SOME("v IS NOT NULL AND postal <> ''")} AS postal_percent, count(DISTINCT v) AS unique_raw, count(DISTINCT norm) AS unique_normalized,
+{', '.join(f"count(*) FILTER ({_WORD(x, 'v')}) AS abbr_{x}, {_SOME(_WORD(x, 'v'))} AS abbr_{x}_percent" for x in profile.ABBREVIATIONS)} FROM b GROUP BY src"""
+
+
+@query("address_profile_all", _ADDRESSES)
 def _(spark, d):
     return profile.addresses(tables.entities(spark, d))
 
 
-@query("true_pair_similarity")
+_TRUE = f"""WITH {sql.NORM}, {sql.LINKS}, {sql.fuzzy_features('links')}, t AS (SELECT (a.name = b.name AND a.name <> '')::INTEGER AS ne, (a.address = b.address AND a.address <> '')::INTEGER AS ae, (a.country_norm = b.country_norm AND a.country_norm <> '')::INTEGER AS ce,
+name_fuzzy_ratio AS nf, name_token_sort_ratio AS ns, address_fuzzy_ratio AS af, {sql.JACCARD.format(a='list_distinct(a.atk)', b='list_distinct(b.atk)')} AS aj FROM fuzz JOIN norm a ON a.entity_id = s1 JOIN norm b ON b.entity_id = cand)
+SELECT count(*) AS pairs, {', '.join(f"round_even(coalesce(100.0::DOUBLE * avg({c}), 0.0), 2) AS {n}_exact_percent" for c, n in (('ne', 'name'), ('ae', 'address'), ('ce', 'country')))},
+{', '.join(sql.quantiles(c, f'{n}_') for c, n in (('nf', 'name_fuzzy'), ('ns', 'name_token_sort'), ('af', 'address_fuzzy'), ('aj', 'address_jaccard')))} FROM t"""
+
+
+@query("true_pair_similarity", _TRUE)
 def _(spark, d):
     return profile.true_pair_similarity(links(spark, d), *sides(spark, d))
 
 
+@query("null_counts", f"WITH {sql.ENT}, e AS (SELECT entity_id, nullif(business_address, '') AS business_address, country FROM ent) SELECT 'entity_id' AS \"column\", count(*) FILTER (entity_id IS NULL) AS nulls FROM e UNION ALL SELECT 'business_address', count(*) FILTER (business_address IS NULL) FROM e UNION ALL SELECT 'country', count(*) FILTER (country IS NULL) FROM e")
+def _(spark, d):
+    return profile.null_counts(tables.entities(spark, d).select("entity_id", F.nullif("business_address", F.lit("")).alias("business_address"), "country"))
+
+
+@query("top_countries", f"WITH {sql.NORM}, c AS (SELECT src, country_norm, count(*) AS n FROM norm GROUP BY ALL) SELECT src, country_norm, n, row_number() OVER (PARTITION BY src ORDER BY n DESC, country_norm)::INTEGER AS rank FROM c QUALIFY rank <= 10")
+def _(spark, d):
+    return profile.top_values(records(spark, d), "country_norm", 10)
+
+
+@query("source_summary", f'WITH {sql.NORM} SELECT src, count(*) AS "rows", round(avg(length(name)), 9) AS avg_name_length, round(avg(length(address)), 9) AS avg_address_length FROM norm GROUP BY 1')
+def _(spark, d):
+    return _rounded(profile.source_summary(records(spark, d)))
+
+
+@query("sampled_summary", f'WITH {sql.NORM}, s AS (SELECT * FROM norm QUALIFY row_number() OVER (PARTITION BY src ORDER BY {sql.place("entity_id")}, entity_id) <= 50) SELECT src, count(*) AS "rows", round(avg(length(name)), 9) AS avg_name_length, round(avg(length(address)), 9) AS avg_address_length FROM s GROUP BY 1')
+def _(spark, d):
+    """The summary of a sample of each source, which is the feature."""
+    every = records(spark, d)
+    parts = [labels.sample_exact(every.filter(F.col("src") == s), 50) for s in ("S1", "S2", "S3")]
+    return _rounded(profile.source_summary(parts[0].unionByName(parts[1]).unionByName(parts[2])))
+
+
+def _histogram_sql(column: str) -> str:
+    return f"WITH {sql.NORM}, e AS (SELECT src, length({column}) AS v, min(length({column})) OVER (PARTITION BY src) AS low, max(length({column})) OVER (PARTITION BY src) AS high FROM norm) SELECT src, (CASE WHEN high = low THEN 20 ELSE least((v - low) * 40 // (high - low), 39) END)::INTEGER AS bin, count(*) AS n FROM e GROUP BY ALL"
+
+
+@query("name_length_histogram", _histogram_sql("name"))
+def _(spark, d):
+    return profile.length_histogram(records(spark, d), "name")
+
+
+@query("address_length_histogram", _histogram_sql("address"))
+def _(spark, d):
+    return profile.length_histogram(records(spark, d), "address")
+
+
+@query("match_histogram", f"WITH {sql.ENT}, {sql.LINKS}, c AS (SELECT entity_id, count(cand) AS n FROM ent LEFT JOIN links ON s1 = entity_id WHERE src = 'S1' GROUP BY 1) SELECT n::INTEGER AS matches, count(*) AS n FROM c GROUP BY c.n")
+def _(spark, d):
+    return profile.match_histogram(truth(spark, d))
+
+
+@query("half_even", "SELECT p_partkey, round_even(p_partkey / 8.0::DOUBLE, 2) AS two, round_even(p_partkey / 2.0::DOUBLE, 0) AS none FROM part")
+def _(spark, d):
+    x = F.col("p_partkey").cast("double")
+    return spark.read.parquet(f"{d}/part.parquet").select("p_partkey", profile.half_even(x / 8, 2).alias("two"), profile.half_even(x / 2, 0).alias("none"))
+
+
 @query("error_fp", f"WITH {sql.SCORED} SELECT s1, cand, probability FROM linear ANTI JOIN links USING (s1, cand) WHERE probability >= {THRESHOLD}")
 def _(spark, d):
     return metrics.false_positives(scored(spark, d), links(spark, d), THRESHOLD).select("s1", "cand", "probability")
@@ -382,6 +526,104 @@ def _(spark, d):
     return tables.entities(spark, d).groupBy("truth_key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 
+def _written(spark, d) -> dict[str, str]:
+    """Paths of the four sources as tab-separated files."""
+    every, root = tables.entities(spark, d), tables.scratch(spark, "sources")
+    for k in (1, 2, 3):
+        tables.write_tsv(every.filter(F.col("src") == f"S{k}").select(*tables.SOURCE_COLUMNS), f"{root}/source{k}")
+    tables.write_tsv(tables.truth_of(every), f"{root}/ground_truth")
+    return {name: f"{root}/{name}" for name in ("source1", "source2", "source3", "ground_truth")}
+
+
+@query("source_scan", f"WITH {sql.ENT} SELECT {', '.join(tables.SOURCE_COLUMNS)} FROM ent WHERE src = 'S1'")
+def _(spark, d):
+    return tables.read_tsv(spark, _written(spark, d)["source1"])
+
+
+@query("truth_scan", f"WITH {sql.ENT}, {sql.LINKS} SELECT entity_id AS source1_entity_id, coalesce(string_agg(cand, ',' ORDER BY cand), '') AS matched_entity_ids FROM ent LEFT JOIN links ON s1 = entity_id WHERE src = 'S1' GROUP BY 1")
+def _(spark, d):
+    return tables.read_truth(spark, _written(spark, d)["ground_truth"])
+
+
+_COUNTS = f"WITH {sql.ENT} SELECT lower(src) AS source, count(*) AS \"rows\" FROM ent GROUP BY 1"
+
+
+@query("train_bundle", f"{_COUNTS} UNION ALL SELECT 'truth', count(*) FROM ent WHERE src = 'S1'")
+def _(spark, d):
+    return spark.createDataFrame(list(tables.load(spark, _written(spark, d)).summary().items()), "source string, rows long")
+
+
+@query("test_bundle", _COUNTS)
+def _(spark, d):
+    paths = {k: v for k, v in _written(spark, d).items() if k != "ground_truth"}
+    return spark.createDataFrame(list(tables.load(spark, paths).summary().items()), "source string, rows long")
+
+
+@query("dataset_sizes", f"WITH {sql.ENT} SELECT 'source' || substr(src, 2) AS source, count(*) AS \"rows\", 'entity_id,business_name,business_address,country' AS columns, true AS has_bytes FROM ent GROUP BY ALL")
+def _(spark, d):
+    sizes = {k: tables.dataset_sizes(spark, v) for k, v in _written(spark, d).items() if k != "ground_truth"}
+    return spark.createDataFrame([(k, v["rows"], ",".join(v["columns"]), v["bytes"] > v["rows"]) for k, v in sizes.items()], "source string, rows long, columns string, has_bytes boolean")
+
+
+@query("schema_check", "SELECT 'whole' AS \"table\", '' AS missing, 'src,truth_key' AS unexpected, true AS valid UNION ALL SELECT 'part', 'business_address,country', '', false")
+def _(spark, d):
+    every = tables.entities(spark, d)
+    found_ = {"whole": tables.inspect_schema(every), "part": tables.inspect_schema(every.select("entity_id", "business_name"))}
+    return spark.createDataFrame([(k, ",".join(v["missing"]), ",".join(v["unexpected"]), v["valid"]) for k, v in found_.items()], "table string, missing string, unexpected string, valid boolean")
+
+
+@query("head_scan", f"WITH {sql.ENT} SELECT entity_id, business_name FROM ent ORDER BY entity_id LIMIT 80")
+def _(spark, d):
+    return tables.head(tables.entities(spark, d), 80).select("entity_id", "business_name")
+
+
+@query("truth_last_wins", f"WITH {sql.ENT}, {sql.LINKS} SELECT entity_id AS s1, CASE WHEN entity_id LIKE '%1' THEN 'S9-1,S9-2' ELSE coalesce(string_agg(cand, ',' ORDER BY cand), '') END AS ids FROM ent LEFT JOIN links ON s1 = entity_id WHERE src = 'S1' GROUP BY 1")
+def _(spark, d):
+    """Repeated master rows: of some, a later line has another list."""
+    first = tables.truth_of(tables.entities(spark, d)).withColumn("line", F.lit(1))
+    later = first.filter("source1_entity_id LIKE '%1'").select("source1_entity_id", F.lit("S9-2, S9-1").alias("matched_entity_ids"), F.lit(2).alias("line"))
+    return labels.parse_truth(first.unionByName(later), "line").withColumn("ids", F.array_join("ids", ","))
+
+
+@query("evaluate_at_threshold", f"WITH {sql.SCORED}, {sql.entity('0.5')}, m AS (SELECT {sql.MACRO} FROM es) {_MACRO9.format(t='0.5::DOUBLE AS threshold, ')}")
+def _(spark, d):
+    return _rounded(metrics.evaluate(scored(spark, d), truth(spark, d), 0.5))
+
+
+@query("coverage_report", f"WITH {sql.ENT} SELECT 'matching' AS output, count(*) AS \"rows\", count(*) AS expected, 0::BIGINT AS missing, 0::BIGINT AS extra FROM ent WHERE src = 'S1' UNION ALL SELECT 'part', count(*) FILTER (entity_id LIKE '%1'), count(*), count(*) FILTER (entity_id NOT LIKE '%1'), 0 FROM ent WHERE src = 'S1'")
+def _(spark, d):
+    s1 = sides(spark, d)[0]
+    whole = outputs.matching_table(s1, _accepted(spark, d), found(spark, d))
+    return outputs.coverage(whole, s1, "matching").unionByName(outputs.coverage(whole.filter("source1_entity_id LIKE '%1'"), s1, "part"))
+
+
+@query("matching_summary", f"WITH {sql.SCORED}, n AS (SELECT entity_id, count(cand) AS n FROM ent LEFT JOIN (SELECT s1, cand FROM linear WHERE probability >= {THRESHOLD}) ON s1 = entity_id WHERE src = 'S1' GROUP BY 1) SELECT sum(n)::BIGINT AS links, count(*) FILTER (n = 0) AS singletons FROM n")
+def _(spark, d):
+    s1 = sides(spark, d)[0]
+    return outputs.summary(outputs.matching_table(s1, _accepted(spark, d), found(spark, d)))
+
+
+@query("stream_matches", f"WITH {sql.ranked()} SELECT s1, cand, rn::INTEGER AS rn FROM cands")
+def _(spark, d):
+    """Master rows as a stream of three files, each matched as a batch of its own and appended."""
+    from ..streaming import scoring
+
+    s1, pool = sides(spark, d)
+    source, out, marks = (tables.scratch(spark, n) for n in ("stream", "matches", "marks"))
+    s1.repartition(3, "entity_id").write.parquet(source)
+    rows = spark.readStream.schema(s1.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    scoring.match_stream(rows, lambda batch: blocking.candidates(batch, pool).select("s1", "cand", "rn"), out, marks).awaitTermination()
+    return spark.read.parquet(out).select("s1", "cand", "rn")
+
+
+@query("gbt_scores")
+def _(spark, d):
+    """Gradient-boosted trees on native features, fitted to the training part and scored on the rest."""
+    rows = tables.stored(labels.label(scored(spark, d).drop("probability"), links(spark, d)).join(labels.split_entities(truth(spark, d)), "s1"), "pairs")
+    fitted = model.train(rows.filter("part = 'train'"), "gbt", _NATIVE, 10)
+    return model.predict(rows.filter("part = 'validation'"), fitted).select("s1", "cand", "label", "probability")
+
+
 @query("model_scores")
 def _(spark, d):
     """A logistic model on native features, fitted to the training part and scored on the rest."""
