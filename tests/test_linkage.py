@@ -37,6 +37,14 @@ def test_addresses(spark):
     assert one(spark, T.char_ngrams(F.col("c0")), "ab") == ["ab"]
 
 
+def plain_partial(a, b):
+    """Every window of the shorter text's size, of two texts as long both ways."""
+    best = 0.0
+    for short, long in {(a, b), (b, a)} if len(a) == len(b) else {tuple(sorted((a, b), key=len))}:
+        best = max([best, *(S.indel_ratio(short, long[max(0, k) : k + len(short)]) for k in range(1 - len(short), len(long)))])
+    return best
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.text("abc ", max_size=12), st.text("abc ", max_size=12))
 def test_lcs(a, b):
@@ -45,7 +53,8 @@ def test_lcs(a, b):
         for j, y in enumerate(b):
             table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
     assert S.lcs(a, b) == table[-1][-1]
-    assert S.best_window_ratio(a, b) >= S.indel_ratio(a, b) - 1e-9
+    assert abs(S.best_window_ratio(a, b) - plain_partial(a, b)) < 1e-9 and abs(S.best_window_ratio(a, b) - S.best_window_ratio(b, a)) < 1e-9
+    assert S.best_window_ratio(a, f"x{a}y") == (100.0 if a else 0.0) and S.indel_ratio(a, a) == (100.0 if a else 0.0)
     assert abs(S.token_set_ratio(a, b) - S.token_set_ratio(b, a)) < 1e-9
 
 
@@ -137,7 +146,54 @@ def rows(df):
     return sorted((tuple("" if v is None or (isinstance(v, float) and math.isnan(v)) else str(cell(v)) for v in r) for r in df.itertuples(index=False)))
 
 
-@pytest.mark.parametrize("name", ["normalize_text", "extract_fields", "block_char_ngram", "candidates_topk", "features_native", "threshold_sweep", "matching_output", "missing_profile"])
+def test_ratios_in_one_pass(spark):
+    pairs = [("acme tools", "acne tool"), ("", "x"), ("a b", "b a"), ("same", "same"), (None, "x"), (" ", " "), ("acme tools", "acne tool")]
+    df = spark.createDataFrame(pairs, "a string, b string").coalesce(1)
+    got = [tuple(r[0]) for r in df.select(S.ratios(F.col("a"), F.col("b"), *S.RATIOS)).collect()]
+    assert got == [tuple(f(a or "", b or "") for f in S.RATIOS.values()) for a, b in pairs]
+
+
+def test_feature_flags():
+    from tallymark.operators import features
+
+    assert features.enabled() == features.FEATURES and len(features.enabled()) == 27
+    left = features.enabled(("name_tfidf_cosine", "source_indicator", "postal_code_match"))
+    assert len(left) == 22 and not {"name_tfidf_word", "source_is_s3", "postal_code_match"} & set(left)
+    with pytest.raises(ValueError):
+        features.enabled(("nothing",))
+
+
+def test_split_is_exact(spark):
+    from tallymark.operators import labels
+
+    universe = spark.createDataFrame([(f"S1-{k}",) for k in range(1013)], "s1 string")
+    for share in (0.0, 0.2, 0.5, 1.0):
+        assert labels.split_entities(universe, share).filter("part = 'validation'").count() == int(share * 1013)
+    capped = labels.split_entities(universe, 0.2, train_cap=10, validation_cap=5).groupBy("part").count().collect()
+    assert {r["part"]: r["count"] for r in capped} == {"train": 10, "validation": 5}
+
+
+def test_cosine(spark):
+    """Above 0 with a shared term, exactly 0 without, and with an unknown id."""
+    from tallymark.operators import features
+
+    rows = spark.createDataFrame([("S1-1", "acme tools", "S1"), ("S2-1", "acme works", "S2"), ("S2-2", "blue fox", "S2")], "entity_id string, name string, src string")
+    rows = rows.selectExpr("*", "'' AS address", "'' AS postal", "'' AS house", "'' AS country_norm", "cast(array() AS array<string>) AS numbers")
+    vocabulary = features.fit_tfidf(rows.select(F.col("entity_id").alias("id"), "name"), "name", "word")
+    pairs = spark.createDataFrame([("S1-1", "S2-1"), ("S1-1", "S2-2"), ("S1-1", "S2-404")], "s1 string, cand string")
+    got = {r.cand: r.cosine for r in features.cosine(pairs, rows.filter("src = 'S1'"), rows.filter("src = 'S2'"), "name", "word", vocabulary).collect()}
+    assert 0 < got["S2-1"] < 1 and got["S2-2"] == 0.0 and got["S2-404"] == 0.0
+
+
+def test_cap_keeps_the_best(spark):
+    """A true match with a late id is kept over noise that shares one key."""
+    rows = [("S1-1", "alpha beta", "10001", "US", "S1")] + [(f"S2-{k:05d}", f"alpha noise{k}", "", "", "S2") for k in range(20)] + [("S2-99999", "alpha beta", "10001", "US", "S2")]
+    df = spark.createDataFrame([(i, n, "", p, c, s) for i, n, p, c, s in rows], "entity_id string, name string, address string, postal string, country_norm string, src string")
+    found = blocking.candidates(df.filter("src = 'S1'"), df.filter("src = 'S2'"), k=5)
+    assert found.count() == 5 and found.filter("rn = 1").first().cand == "S2-99999"
+
+
+@pytest.mark.parametrize("name", ["normalize_text", "extract_fields", "block_char_ngram", "candidates_topk", "features_native", "threshold_sweep", "matching_output", "missing_profile", "features_all", "recall_report", "name_profile_all", "address_profile_all", "true_pair_similarity", "source_scan", "stream_matches", "dataset_composition"])
 def test_parity(spark, name):
     c = duckdb.connect()
     for t in ("part", "nation"):
