@@ -16,10 +16,19 @@ SOURCE_COLUMNS = ("entity_id", "business_name", "business_address", "country")
 TRUTH_COLUMNS = ("source1_entity_id", "matched_entity_ids")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
+
+
+def first_line(spark: SparkSession, path: str) -> str:
+    """The header of a file, or of a folder's files."""
+    return next((r.value for r in spark.read.text(path).limit(1).collect()), "")
+
+
 def read_tsv(spark: SparkSession, path: str, expected=SOURCE_COLUMNS, label: str = "table") -> DataFrame:
     """All columns as strings, missing ones as empty text; extra columns stay."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path):
+    if not exists(spark, path):
         raise FileNotFoundError(f"{label}: {path}")
     df = spark.read.csv(path, sep="\t", header=True, inferSchema=False, quote='"', escape='"').na.fill("")
     if missing := set(expected) - set(df.columns):
