@@ -193,7 +193,7 @@ def is_held_out(doc_id):
 
 def train(docs: DataFrame, fit_chars: int = FIT_CHARS, calibrate_chars: int = CALIBRATE_CHARS, order: int = ORDER) -> Model:
     """Fit to the labelled rows that aren't held out. Sums by language, and grams of the sample, come to the driver."""
-    rows = shared.with_columns(docs, "doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & ~is_held_out(F.col("doc_id")))
+    rows = shared.small_batches(shared.with_columns(docs, "doc_id", "text", "lang")).filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & ~is_held_out(F.col("doc_id")))
     u = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(11)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     rows = rows.withColumn("u", u)
     sizes = rows.groupBy("lang").agg(F.sum(F.length("text").cast("long")).alias("n"), F.count(F.lit(1)).alias("docs"), F.min("u").alias("least")).collect()
@@ -268,7 +268,7 @@ FOUND = ("lang_pred", "score", "cross_entropy", "rejected")
 def identify(docs: DataFrame, model: Model, *columns: str) -> DataFrame:
     """The named columns of every row, with lang_pred, score, cross_entropy and rejected, renamed if a column has the name."""
     found = shared.fresh(list(columns), *FOUND)
-    kept = docs.select(*[F.col(f"`{c}`") for c in columns], F.col("text").alias(shared.fresh(list(columns), "text")[0]))
+    kept = shared.small_batches(docs).select(*[F.col(f"`{c}`") for c in columns], F.col("text").alias(shared.fresh(list(columns), "text")[0]))
     sent = docs.sparkSession.sparkContext.broadcast(model)
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1]] + [f"{n} {kind}" for n, kind in zip(found, ("string", "double", "double", "boolean"))])
     names = [*columns, *found]
@@ -276,8 +276,8 @@ def identify(docs: DataFrame, model: Model, *columns: str) -> DataFrame:
     def run(batches):
         model = sent.value
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
                 lang, score, low, rejected = model.predict([t or "" for t in part.column(part.num_columns - 1).to_pylist()])
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(lang), pa.array(score), pa.array(low), pa.array(rejected)], names=names)
 

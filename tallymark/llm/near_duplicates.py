@@ -138,7 +138,7 @@ def most_ones(similarity: float, hashes: int, sigmas: float = 6.0) -> int:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return shared.with_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
+    return shared.small_batches(shared.with_columns(docs, "doc_id", "text")).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
 
 
 def signatures(docs: DataFrame, width: int, bands: int) -> DataFrame:

@@ -80,7 +80,7 @@ def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id") ->
                 found.append([{"start": s, "kind": kind, "end": e, "hash": hashlib.sha256(v.encode()).digest()[:16]} for s, kind, e, v in spans])
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(4)), pa.array(found, found_type)], names=["doc_id", "owner", "repo", "text_key", "found"])
 
-    return docs.select(
+    return shared.small_batches(docs).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{owner}`").cast("string"), F.lit("")).alias("owner"), F.coalesce(F.col(f"`{repository}`").cast("string"), F.lit("")).alias("repo"), F.xxhash64("text").alias("text_key"), "text"
     ).mapInArrow(run, schema)
 

@@ -10,7 +10,8 @@ No piece has a space symbol after another character, and line breaks are in no p
 all; texts are cut there, and the split of a short unit is kept in a bounded memo. Long
 units are encoded all the same, whole. Characters that no piece has go to byte ids.
 
-Null texts are empty ones; empty texts give only the begin and end ids.
+Null texts are empty ones; empty texts give only the begin and end ids; long ones are encoded
+whole. Every row gives one, repeated ones too; an empty table gives none. Extra columns go.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from . import shared
 SPACE = "▁"
 UNITS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 #: Units, characters of a unit, and checked pairs up to which a Python worker keeps them.
-MEMO_UNITS, MEMO_CHARS, MEMO_PAIRS = 800_000, 48, 500_000
+MEMO_UNITS, MEMO_CHARS, MEMO_PAIRS = 500_000, 48, 300_000
 
 
 class Encoder:
@@ -233,7 +234,7 @@ def encode_texts(docs: DataFrame, model_file: str, keep_ids: bool = True, keep_t
                 }
                 yield pa.RecordBatch.from_arrays([cols[n].cast(kinds[n]) if isinstance(cols[n], pa.Array) else pa.array(cols[n], kinds.get(n, pa.string())) for n in names], names=names)
 
-    return shared.with_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
+    return shared.small_batches(shared.with_columns(docs, "doc_id", "text")).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
 
 
 def default_model() -> str:

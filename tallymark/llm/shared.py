@@ -72,6 +72,18 @@ def by_row(docs: DataFrame, found: DataFrame, how: str) -> tuple[DataFrame, dict
     return docs.join(right, F.col("doc_id").eqNullSafe(F.col(names["doc_id"])) & (F.xxhash64("text") == F.col(names["text_key"])), how), names
 
 
+#: Rows of a batch that goes to Python at once; whole texts may be long.
+BATCH_ROWS = 1000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """The same, in a session whose batches for Python are small."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(key)) <= BATCH_ROWS:
+        df.sparkSession.conf.set(key, BATCH_ROWS)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
