@@ -265,7 +265,7 @@ def memo_of(tokenizer_file: str) -> PieceMemo:
 
 def write_tokens(docs: DataFrame, tokenizer_file: str, path: str, end_id: int = 2, id_bytes: int = 2, shard_bytes: int = 32 << 20) -> list[tuple[str, int]]:
     """Write shard files; their names and first offsets, in doc_id order. The driver holds a row per shard."""
-    docs = shared.with_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = shared.small_batches(shared.with_columns(docs, "doc_id", "text")).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     keyed = docs.withColumns({"key": F.xxhash64("text"), "row": F.monotonically_increasing_id()})
     order = [F.col("doc_id").asc_nulls_first(), "key", "row"]

@@ -264,7 +264,7 @@ def register(spark: SparkSession) -> None:
 
 def to_records(pages: DataFrame, min_bytes: int = 100) -> DataFrame:
     """One WARC record per page; of equal payloads of min_bytes or more all but the smallest page_id's revisit it."""
-    rows = shared.with_columns(pages, "page_id", "url", "html").withColumn("payload", F.encode(F.coalesce("html", F.lit("")), "utf-8"))
+    rows = shared.small_batches(shared.with_columns(pages, "page_id", "url", "html")).withColumn("payload", F.encode(F.coalesce("html", F.lit("")), "utf-8"))
     rows = rows.select("page_id", F.col("url").alias("target_uri"), "payload", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("digest"))
     firsts = (
         rows.filter(F.col("payload_bytes") >= min_bytes)
