@@ -260,7 +260,7 @@ def _send(uid: str, names: np.ndarray, buckets: int, texts: np.ndarray | None =
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.int32(), pa.int32(), pa.binary(), pa.binary()))], names=["uid", "bucket", "n", "names", "twice"])
 
 
-def _answers(sent: DataFrame, level: int) -> DataFrame:
+def _answers(sent: DataFrame, level: int, tasks: int) -> DataFrame:
     """For each block and bucket, a bit for each name: whether any other place has it; and who keeps those that are."""
 
     def merge(group: pa.Table) -> pa.Table:
@@ -282,7 +282,7 @@ def _answers(sent: DataFrame, level: int) -> DataFrame:
         cols = [group.column("uid"), pa.array([level] * n, pa.int32()), group.column("bucket"), group.column("n"), pa.array(bits, pa.binary()), pa.array(keepers, pa.binary())]
         return pa.table(cols, names=["uid", "level", "bucket", "n", "repeated", "keeper"])
 
-    return sent.groupBy("bucket").applyInArrow(merge, ANSWERS)
+    return sent.repartition(tasks, "bucket").groupBy("bucket").applyInArrow(merge, ANSWERS)
 
 
 def pack_keepers(keepers: np.ndarray) -> bytes:
@@ -347,6 +347,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, block_bytes: int = 4 << 2
     blocks = shared.materialise(rows.mapInArrow(write, "uid string, size long"), "block-list")
     total = blocks.agg(F.sum("size"), F.count(F.lit(1))).first()
     buckets, tasks = max(64, (total[0] or 0) // (8 << 20)), max(1, total[1])
+    merges = max(1, buckets // 4)  # tasks that compare names, of eight buckets each, four of either kind
     # one task a block, whatever the sizes of the rows that name them
     numbered = blocks.select("uid").repartition(tasks)
 
@@ -359,7 +360,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, block_bytes: int = 4 << 2
                 places = block.words.sampled(words, wv, word_cover)
                 yield from _send(uid, block.words.names(places, words - wv + 1), buckets, block.words.start[places])
 
-    first = shared.materialise(_answers(numbered.mapInArrow(first_level, NAMES), 1), "answers")
+    first = shared.materialise(_answers(numbered.mapInArrow(first_level, NAMES), 1, merges), "answers")
 
     def starts(block, answers):
         """The remaining suffixes of a block."""
@@ -385,7 +386,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, block_bytes: int = 4 << 2
         return pa.Table.from_batches(sent, empty)
 
     # a number of partitions of its own, as little shuffled data stands for much work
-    second = shared.materialise(_answers(first.repartition(tasks, "uid").groupBy("uid").applyInArrow(second_level, NAMES), 2), "answers")
+    second = shared.materialise(_answers(first.repartition(tasks, "uid").groupBy("uid").applyInArrow(second_level, NAMES), 2, merges), "answers")
 
     def ask(key, group):
         """What a block knows of its own, and the bytes that it sends to the keepers of its names."""
