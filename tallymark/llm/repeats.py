@@ -343,7 +343,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, block_bytes: int = 4 << 2
         if parts:
             yield put()
 
-    rows = shared.with_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = shared.small_batches(shared.with_columns(docs, "doc_id", "text")).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     blocks = shared.materialise(rows.mapInArrow(write, "uid string, size long"), "block-list")
     total = blocks.agg(F.sum("size"), F.count(F.lit(1))).first()
     buckets, tasks = max(64, (total[0] or 0) // (8 << 20)), max(1, total[1])
