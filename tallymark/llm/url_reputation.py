@@ -6,8 +6,14 @@ level's groups around their parents, shrinks a group's rate towards its parent's
 mean: suffix to the corpus, domain to suffix, host to domain. A host is blocked when the
 lower bound of its posterior bad rate is above a threshold, so few labels never block.
 
-All of it is DataFrame operations. Null urls and urls without ``://`` have an empty host
-and path, which are judged like any other host. Pages without labels take part with none.
+All of it is DataFrame operations. The bound is that of a normal distribution with the
+posterior's mean and standard error. A port isn't part of the domain. Addresses of numbers
+are their own domain and suffix, so that only the corpus is above them.
+
+Null urls and urls without ``://`` have an empty host and path, which are judged like any
+other host; long urls are whole. Pages without labels take part with none. Repeated rows of
+a page are judged alike, and each counts with the page's outcome. Of rules of one length
+that fit, the later of RULES holds. Empty tables give no rows. Extra columns go.
 """
 
 from __future__ import annotations
@@ -19,8 +25,9 @@ from . import shared
 
 #: (host, path, verdict): fixed values of the contract.
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
-#: Suffixes of two labels; fixed values of public knowledge.
-LONG_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "co.jp", "ne.jp", "or.jp", "com.br", "co.in", "co.nz", "co.za", "com.cn", "com.mx")
+#: Labels below a country's that make a suffix with it, as in co.uk or com.br; fixed values of public knowledge.
+SECOND_LEVELS = ("ac", "co", "com", "edu", "go", "gob", "gov", "mil", "ne", "net", "or", "org")
+NUMBERS, PORT = r"^[0-9.]+$|^\[", ":[0-9]*$"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -40,17 +47,26 @@ def rule_of(host, path):
     return found
 
 
+def _last(labels, n: int):
+    return F.array_join(F.slice(labels, F.greatest(F.size(labels) - n + 1, F.lit(1)), n), ".")
+
+
+def _parts(host):
+    """The host without a port, its labels, whether it's an address, and whether its suffix has two labels."""
+    bare = F.regexp_replace(host, PORT, "")
+    labels = F.split(bare, r"\.")
+    two = (F.size(labels) > 1) & F.element_at(labels, -1).rlike("^[a-z]{2}$") & F.get(labels, F.size(labels) - 2).isin(*SECOND_LEVELS)
+    return bare, labels, bare.rlike(NUMBERS), two
+
+
 def domain_of(host):
-    labels = F.split(host, r"\.")
-    last = lambda n: F.array_join(F.slice(labels, F.greatest(F.size(labels) - n + 1, F.lit(1)), n), ".")
-    long = last(2).isin(*LONG_SUFFIXES)
-    return F.when(host.rlike(r"^[0-9.]+(:[0-9]+)?$|^\["), host).when(long, last(3)).otherwise(last(2))
+    bare, labels, address, two = _parts(host)
+    return F.when(address, bare).when(two, _last(labels, 3)).otherwise(_last(labels, 2))
 
 
 def suffix_of(host):
-    labels = F.split(host, r"\.")
-    two = F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2), ".")
-    return F.when(two.isin(*LONG_SUFFIXES), two).otherwise(F.element_at(labels, -1))
+    bare, labels, address, two = _parts(host)
+    return F.when(address, bare).when(two, _last(labels, 2)).otherwise(F.element_at(labels, -1))
 
 
 def _strength(groups: DataFrame) -> float:
@@ -121,17 +137,17 @@ def _level_sql(name: str, groups: str) -> str:
 _RULE_CASES = "\n".join(
     f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{h + p}'" for h, p, _ in sorted(RULES, key=lambda r: -len(r[0] + r[1]))
 )
-_LONG = ", ".join(f"'{x}'" for x in LONG_SUFFIXES)
+_SECOND = ", ".join(f"'{x}'" for x in SECOND_LEVELS)
 OP2_SQL = f"""
 WITH u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
 r AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
 o AS (SELECT doc_id AS page_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad FROM labels WHERE quality IS NOT NULL OR toxic IS NOT NULL GROUP BY 1),
 h0 AS (SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS k FROM r LEFT JOIN o USING (page_id) GROUP BY 1),
-h1 AS (SELECT *, string_split(host, '.') AS l FROM h0),
-h2 AS (SELECT *, array_to_string(l[-2:], '.') AS two FROM h1),
-h AS (SELECT host, n, k,
-  CASE WHEN regexp_matches(host, '^[0-9.]+(:[0-9]+)?$|^\\[') THEN host WHEN two IN ({_LONG}) THEN array_to_string(l[-3:], '.') ELSE two END AS domain,
-  CASE WHEN two IN ({_LONG}) THEN two ELSE l[-1] END AS suffix FROM h2),
+h1 AS (SELECT *, regexp_replace(host, '{PORT}', '') AS bare FROM h0),
+h2 AS (SELECT *, string_split(bare, '.') AS l, regexp_matches(bare, '{NUMBERS}') AS address FROM h1),
+h3 AS (SELECT *, len(l) > 1 AND regexp_matches(l[-1], '^[a-z]{{2}}$') AND l[-2] IN ({_SECOND}) AS two FROM h2),
+h AS (SELECT host, n, k, CASE WHEN address THEN bare WHEN two THEN array_to_string(l[-3:], '.') ELSE array_to_string(l[-2:], '.') END AS domain,
+  CASE WHEN address THEN bare WHEN two THEN array_to_string(l[-2:], '.') ELSE l[-1] END AS suffix FROM h3),
 {_level_sql('s', "SELECT suffix, sum(n) AS n, sum(k) AS k, (SELECT (sum(k) + 0.5) / (sum(n) + 1) FROM h) AS prior FROM h GROUP BY 1")},
 {_level_sql('d', "SELECT domain, sum(h.n) AS n, sum(h.k) AS k, any_value(a / (a + b)) AS prior FROM h JOIN s_p USING (suffix) GROUP BY domain, suffix")},
 {_level_sql('f', "SELECT host, h.n, h.k, a / (a + b) AS prior FROM h JOIN d_p USING (domain)")},
