@@ -246,7 +246,7 @@ def test_sql(spark, name):
     assert text(a) == text(b)
 
 
-def test_pipeline(spark):
+def test_pipeline_over_the_smallest_tables(spark):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     out = corpus_pipeline.run(spark, SF).collect()
     texts = {r.doc_id: r.text for r in shared.table(spark, SF, "documents").select("doc_id", "text").collect()}
