@@ -3,8 +3,9 @@
 Labelled page outcomes (bad or not) are counted by host, registered domain and suffix. At
 each level a beta-binomial prior, whose strength is fitted by moments to the spread of that
 level's groups around their parents, shrinks a group's rate towards its parent's posterior
-mean: suffix to the corpus, domain to suffix, host to domain. A host is blocked when the
-lower bound of its posterior bad rate is above a threshold, so few labels never block.
+mean: suffix to the corpus, domain to suffix, host to domain. A prior counts for no more
+observations than the parent's posterior rests on. A host is blocked when the lower bound of
+its posterior bad rate is above a threshold, so that a few labels don't block.
 
 All of it is DataFrame operations. The bound is that of a normal distribution with the
 posterior's mean and standard error. A port isn't part of the domain. Addresses of numbers
@@ -99,11 +100,11 @@ def reputation(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
     for level, up in (("suffix", None), ("domain", "suffix"), ("host", "domain")):
         keys = [level] + ([up] if up else [])
         groups = hosts if level == "host" else hosts.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
-        groups = groups.withColumn("prior", F.lit(above)) if parent is None else groups.join(parent, up)
-        s = _strength(groups)
-        a, b = F.lit(s) * F.col("prior") + F.col("k"), F.lit(s) * (1 - F.col("prior")) + F.col("n") - F.col("k")
-        groups = groups.withColumns({"p_bad": a / (a + b), "se": F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))})
-        parent = groups.select(level, F.col("p_bad").alias("prior"))
+        groups = groups.withColumns({"prior": F.lit(above), "weight": F.lit(1e18)}) if parent is None else groups.join(parent, up)
+        s = F.least(F.lit(_strength(groups)), F.col("weight"))
+        a, b = s * F.col("prior") + F.col("k"), s * (1 - F.col("prior")) + F.col("n") - F.col("k")
+        groups = groups.withColumns({"p_bad": a / (a + b), "se": F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))), "rests": a + b})
+        parent = groups.select(level, F.col("p_bad").alias("prior"), F.col("rests").alias("weight"))
     return groups.select("host", "n", "k", "p_bad", "se")
 
 
@@ -131,7 +132,7 @@ def _level_sql(name: str, groups: str) -> str:
 {name}_r AS (SELECT CASE WHEN g < 2 OR coalesce(v, 0) = 0 THEN NULL ELSE least(greatest(CASE WHEN nt - nn / nt - (g - 1) > 0
   THEN (ss - v / nt * (g - 1)) / (v / nt * (nt - nn / nt - (g - 1))) ELSE 0 END, 1e-3), 0.9) END AS rho FROM {name}_t),
 {name}_s AS (SELECT coalesce((1 - rho) / rho, 100.0) AS s FROM {name}_r),
-{name}_p AS (SELECT *, s * prior + k AS a, s * (1 - prior) + n - k AS b FROM {name}_g, {name}_s)"""
+{name}_p AS (SELECT *, least(s, weight) * prior + k AS a, least(s, weight) * (1 - prior) + n - k AS b FROM {name}_g, {name}_s)"""
 
 
 _RULE_CASES = "\n".join(
@@ -148,9 +149,9 @@ h2 AS (SELECT *, string_split(bare, '.') AS l, regexp_matches(bare, '{NUMBERS}')
 h3 AS (SELECT *, len(l) > 1 AND regexp_matches(l[-1], '^[a-z]{{2}}$') AND l[-2] IN ({_SECOND}) AS two FROM h2),
 h AS (SELECT host, n, k, CASE WHEN address THEN bare WHEN two THEN array_to_string(l[-3:], '.') ELSE array_to_string(l[-2:], '.') END AS domain,
   CASE WHEN address THEN bare WHEN two THEN array_to_string(l[-2:], '.') ELSE l[-1] END AS suffix FROM h3),
-{_level_sql('s', "SELECT suffix, sum(n) AS n, sum(k) AS k, (SELECT (sum(k) + 0.5) / (sum(n) + 1) FROM h) AS prior FROM h GROUP BY 1")},
-{_level_sql('d', "SELECT domain, sum(h.n) AS n, sum(h.k) AS k, any_value(a / (a + b)) AS prior FROM h JOIN s_p USING (suffix) GROUP BY domain, suffix")},
-{_level_sql('f', "SELECT host, h.n, h.k, a / (a + b) AS prior FROM h JOIN d_p USING (domain)")},
+{_level_sql('s', "SELECT suffix, sum(n) AS n, sum(k) AS k, (SELECT (sum(k) + 0.5) / (sum(n) + 1) FROM h) AS prior, 1e18 AS weight FROM h GROUP BY 1")},
+{_level_sql('d', "SELECT domain, sum(h.n) AS n, sum(h.k) AS k, any_value(a / (a + b)) AS prior, any_value(a + b) AS weight FROM h JOIN s_p USING (suffix) GROUP BY domain, suffix")},
+{_level_sql('f', "SELECT host, h.n, h.k, a / (a + b) AS prior, a + b AS weight FROM h JOIN d_p USING (domain)")},
 bad AS (SELECT host FROM f_p WHERE a / (a + b) - 1.645 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) > 0.5),
 w AS (SELECT page_id, host, path, CASE {_RULE_CASES} END AS rule FROM r)
 SELECT page_id, host, path, rule,
