@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallymark.llm import decontamination, language_id, metric_tree, near_duplicates, repeats, secrets, shared, token_files, warc
+from tallymark.llm import decontamination, language_id, metric_tree, near_duplicates, repeats, secrets, shared, token_files, url_reputation, warc
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -279,3 +279,30 @@ def test_token_files_of_any_text(spark):
     with open(f"{path.removeprefix('file:')}/{files[-1][0]}", "rb") as f:
         shard = token_files.Shard(f)
         assert [shard.doc_id(k) for k in range(shard.n)] == shard.doc_ids and [shard.bounds(k) for k in range(shard.n)] == list(zip([0, *shard.ends.all().tolist()], shard.ends.all().tolist()))
+
+
+def test_urls_of_any_kind(spark):
+    """Repeated pages, ports, addresses, suffixes of two labels, long urls, extra columns, and rules of any depth."""
+    urls = ["http://A.b.co.kr:80/x", "http://10.0.0.1/x", "http://[::1]:8080/x", "http://shop.com.tr", "://x.github.io?q", "ftp://a.EXAMPLE.com/de/x#f", "http://a.example.net/en/", "http://sub.org/fr/" + "y" * 100_000, "http:///only", None, "no url", "http://host:99"]
+    rows = [(k, u) for k, u in enumerate(urls)] * 2
+    pages = spark.createDataFrame([(k, u, "x", "y", "z") for k, u in rows], "page_id long, url string, domain string, host string, bad string")
+    labels = spark.createDataFrame([(0, 1, 5), (0, 0, 5), (None, 1, 5), (99, 1, 5)], "page_id long, bad int, n int")
+    got = [r.asDict() for r in url_reputation.judge(pages, labels).collect()]
+    assert len(got) == len(rows) and {(r["page_id"], r["host"]) for r in got} >= {(0, "a.b.co.kr:80"), (2, "[::1]:8080"), (4, "x.github.io"), (8, ""), (9, ""), (10, "")}
+    by = {r["page_id"]: r for r in got}
+    assert by[5]["rule"] == "example.com/de/" and by[6]["rule"] == "example.net/en/" and by[7]["rule"] == "org/fr/" and len(by[7]["path"]) == 100_004 and by[9]["rule"] is None
+    host = F.col("h")
+    parts = spark.createDataFrame([("a.b.co.kr:80",), ("10.0.0.1",), ("[::1]:8080",), ("shop.com.tr",), ("x.github.io",), ("",), ("host:99",)], "h string").select("h", url_reputation.domain_of(host).alias("d"), url_reputation.suffix_of(host).alias("s"))
+    assert {r.h: (r.d, r.s) for r in parts.collect()} == {"a.b.co.kr:80": ("b.co.kr", "co.kr"), "10.0.0.1": ("10.0.0.1", "10.0.0.1"), "[::1]:8080": ("[::1]", "[::1]"), "shop.com.tr": ("shop.com.tr", "com.tr"), "x.github.io": ("github.io", "io"), "": ("", ""), "host:99": ("host", "host")}
+
+
+def test_host_reputation_is_shrunk(spark):
+    """One bad label doesn't block a host where most are middling; many do, and a host without labels takes its domain's rate."""
+    rows = [(k, "http://bad.one.com/", int(k % 20 > 0)) for k in range(100)] + [(300, "http://few.three.com/", 1), (301, "http://new.one.com/", None)]
+    rows += [(1000 + 20 * d + k, f"http://h{d}.d{d}.com/", int(k < 5 + d % 5)) for d in range(40) for k in range(20)]
+    pages = spark.createDataFrame([r[:2] for r in rows], "page_id long, url string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "page_id long, bad int")
+    found = {r.host: r for r in url_reputation.reputation(pages, labels).collect()}
+    verdict = {r.host: r.verdict for r in url_reputation.judge(pages, labels).collect()}
+    assert {h for h, v in verdict.items() if v == "block"} >= {"bad.one.com"} and verdict["few.three.com"] == "allow" and verdict["h3.d3.com"] == "allow"
+    assert found["h3.d3.com"].p_bad < found["few.three.com"].p_bad < found["bad.one.com"].p_bad and found["new.one.com"].p_bad > 0.5
