@@ -35,6 +35,12 @@ def sides(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     return every.filter("src = 'S1'"), every.filter("src <> 'S1'")
 
 
+def stored_sides(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Both sides of records that are normalised once, for plans that read them several times."""
+    every = tables.stored(records(spark, sf_dir), "records")
+    return every.filter("src = 'S1'"), every.filter("src <> 'S1'")
+
+
 def links(spark, sf_dir) -> DataFrame:
     return labels.links_of(truth(spark, sf_dir))
 
@@ -44,12 +50,16 @@ def truth(spark, sf_dir) -> DataFrame:
 
 
 def found(spark, sf_dir) -> DataFrame:
-    return blocking.candidates(*sides(spark, sf_dir))
+    return blocking.candidates(*stored_sides(spark, sf_dir))
 
 
 def scored(spark, sf_dir) -> DataFrame:
-    s1, pool = sides(spark, sf_dir)
-    pairs = features.attach(blocking.candidates(s1, pool), s1, pool)
+    s1, pool = stored_sides(spark, sf_dir)
+    return scored_pairs(blocking.candidates(s1, pool), s1, pool)
+
+
+def scored_pairs(candidates: DataFrame, s1: DataFrame, pool: DataFrame) -> DataFrame:
+    pairs = features.attach(candidates, s1, pool)
     return model.linear_score(pairs.select("s1", "cand", *[c.alias(n) for n, c in features.native_features().items()]))
 
 
@@ -133,7 +143,7 @@ every AS entities_all_covered_count, round(100.0::DOUBLE * every / e, 9) AS enti
 (SELECT count(*) FROM ent WHERE src = 'S1' AND entity_id NOT IN (SELECT s1 FROM cands)) AS entities_zero_candidates, (SELECT count(*) FROM ranked) AS candidates_before_cap, (SELECT count(*) FROM cands) AS candidates_after_cap,
 (SELECT count(*) FROM ranked JOIN links USING (s1, cand) WHERE rn > 50) AS true_matches_lost_to_cap, 'Candidate recall: ' || printf('%.4f', k / n) AS message FROM t""")
 def _(spark, d):
-    s1, pool = sides(spark, d)
+    s1, pool = stored_sides(spark, d)
     every = tables.stored(blocking.ranked(blocking.pairs(s1, pool), s1, pool), "ranked")
     return _rounded(blocking.recall_report(every.filter("rn <= 50"), truth(spark, d), every))
 
@@ -148,7 +158,7 @@ def _(spark, d):
 @query("cap_sweep", f"""WITH {sql.ranked()}, {sql.LINKS}, ks AS (SELECT unnest([25, 50, 75, 100, 150])::INTEGER AS k)
 SELECT k, count(*) FILTER (rn <= k) AS pairs, count(l.cand) FILTER (rn <= k) AS found, count(l.cand) FILTER (rn > k) AS lost FROM ranked r LEFT JOIN links l USING (s1, cand), ks GROUP BY k""")
 def _(spark, d):
-    s1, pool = sides(spark, d)
+    s1, pool = stored_sides(spark, d)
     return blocking.cap_sweep(blocking.ranked(blocking.pairs(s1, pool), s1, pool), links(spark, d))
 
 
@@ -166,7 +176,7 @@ _nine = lambda columns: ", ".join(f"round({c}::DOUBLE, 9) AS {c}" for c in colum
 
 @query("features_fuzzy", f"WITH {sql.ranked()}, {sql.fuzzy_features()} SELECT s1, cand, {_nine(_RATIOS)} FROM fuzz")
 def _(spark, d):
-    s1, pool = sides(spark, d)
+    s1, pool = stored_sides(spark, d)
     return _rounded(features.attach(blocking.candidates(s1, pool), s1, pool).select("s1", "cand", *[c.alias(n) for n, c in features.fuzzy_features().items()]))
 
 
@@ -186,7 +196,7 @@ FROM feats JOIN fuzz USING (s1, cand) {' '.join(f"JOIN {v} USING (s1, cand)" for
 
 @query("features_all", _ALL)
 def _(spark, d):
-    s1, pool = sides(spark, d)
+    s1, pool = stored_sides(spark, d)
     out = features.feature_matrix(blocking.candidates(s1, pool), s1, pool, vocabularies(spark, d))
     return out.select("s1", "cand", *[F.round(f, 6).alias(f) for f in features.FEATURES])
 
@@ -194,7 +204,7 @@ def _(spark, d):
 def _tfidf(field, analyzer):
     @query(f"tfidf_{field}_{analyzer}", f"WITH {sql.ranked()}, {sql.tfidf(field, analyzer)}, {sql.cosine(field, analyzer)} SELECT s1, cand, round(cosine, 6) AS cosine FROM {field}_tfidf_{analyzer}")
     def _(spark, d):
-        s1, pool = sides(spark, d)
+        s1, pool = stored_sides(spark, d)
         out = features.cosine(blocking.candidates(s1, pool), s1, pool, field, analyzer, _vocabulary(spark, d, field, analyzer))
         return out.withColumn("cosine", F.round("cosine", 6))
 
@@ -265,8 +275,8 @@ def _(spark, d):
 
 def _featured(spark, d):
     """The labelled pairs with native features, ratios and the number of rules."""
-    s1, pool = sides(spark, d)
-    found_ = tables.stored(found(spark, d), "candidates")
+    s1, pool = stored_sides(spark, d)
+    found_ = tables.stored(blocking.candidates(s1, pool), "candidates")
     made = features.attach(found_, s1, pool).select("s1", "cand", *[c.alias(n) for n, c in (features.native_features() | features.fuzzy_features()).items()])
     return labels.label(made.join(found_.select("s1", "cand", F.size("rules").alias("n_rules")), ["s1", "cand"]), links(spark, d))
 
@@ -353,9 +363,16 @@ def _listed(which: str, column: str) -> str:
     return f"WITH {sql.SCORED} SELECT e.entity_id AS source1_entity_id, coalesce(string_agg(cand, ',' ORDER BY cand), '') AS {column} FROM ent e LEFT JOIN ({which}) x ON x.s1 = e.entity_id WHERE src = 'S1' GROUP BY 1"
 
 
+def _matching(spark, d) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The matching output, candidates and both sides; candidates are made once."""
+    s1, pool = stored_sides(spark, d)
+    c = tables.stored(blocking.candidates(s1, pool), "candidates")
+    return outputs.matching_table(s1, outputs.accept(scored_pairs(c, s1, pool), THRESHOLD), c), c, s1, pool
+
+
 @query("matching_output", _listed(f"SELECT s1, cand FROM linear WHERE probability >= {THRESHOLD}", "matched_entity_ids"))
 def _(spark, d):
-    return outputs.matching_table(sides(spark, d)[0], _accepted(spark, d), found(spark, d))
+    return _matching(spark, d)[0]
 
 
 @query("candidate_output", _listed("SELECT s1, cand FROM cands", "candidate_entity_ids"))
@@ -367,9 +384,8 @@ def _(spark, d):
 UNION ALL SELECT 'candidate: unknown id', s1, cand FROM cands WHERE cand LIKE 'S2%'""")
 def _(spark, d):
     """The real outputs against a pool that lacks source 2: its ids alone are unknown."""
-    s1, pool = sides(spark, d)
-    c = found(spark, d)
-    return outputs.violations(outputs.matching_table(s1, _accepted(spark, d), c), outputs.candidate_table(s1, c), s1, pool.filter("src = 'S3'"))
+    m, c, s1, pool = _matching(spark, d)
+    return outputs.violations(tables.stored(m, "matching"), outputs.candidate_table(s1, c), s1, pool.filter("src = 'S3'"))
 
 
 @query("missing_profile", f"""WITH {sql.ENT}, l AS (UNPIVOT (SELECT src, entity_id, business_name, business_address, country FROM ent) ON entity_id, business_name, business_address, country INTO NAME "column" VALUE v)
@@ -592,15 +608,13 @@ def _(spark, d):
 
 @query("coverage_report", f"WITH {sql.ENT} SELECT 'matching' AS output, count(*) AS \"rows\", count(*) AS expected, 0::BIGINT AS missing, 0::BIGINT AS extra FROM ent WHERE src = 'S1' UNION ALL SELECT 'part', count(*) FILTER (entity_id LIKE '%1'), count(*), count(*) FILTER (entity_id NOT LIKE '%1'), 0 FROM ent WHERE src = 'S1'")
 def _(spark, d):
-    s1 = sides(spark, d)[0]
-    whole = outputs.matching_table(s1, _accepted(spark, d), found(spark, d))
+    whole, _, s1, _ = _matching(spark, d)
     return outputs.coverage(whole, s1, "matching").unionByName(outputs.coverage(whole.filter("source1_entity_id LIKE '%1'"), s1, "part"))
 
 
 @query("matching_summary", f"WITH {sql.SCORED}, n AS (SELECT entity_id, count(cand) AS n FROM ent LEFT JOIN (SELECT s1, cand FROM linear WHERE probability >= {THRESHOLD}) ON s1 = entity_id WHERE src = 'S1' GROUP BY 1) SELECT sum(n)::BIGINT AS links, count(*) FILTER (n = 0) AS singletons FROM n")
 def _(spark, d):
-    s1 = sides(spark, d)[0]
-    return outputs.summary(outputs.matching_table(s1, _accepted(spark, d), found(spark, d)))
+    return outputs.summary(_matching(spark, d)[0])
 
 
 @query("stream_matches", f"WITH {sql.ranked()} SELECT s1, cand, rn::INTEGER AS rn FROM cands")
