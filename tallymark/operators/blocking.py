@@ -144,6 +144,7 @@ def recall_report(found: DataFrame, truth: DataFrame, before_cap: DataFrame) ->
         rows = rows.unionByName(df, allowMissingColumns=True)
     out = rows.agg(*[F.max(c).alias(c) for c in rows.columns])
     share = lambda c: F.when(F.col("recall").isNotNull(), 100.0 * F.col(c) / F.col("entities"))
+    # fixed values: the names of the report's fields and of its two states
     return out.select(
         F.col("recall").alias("candidate_recall"), F.when(F.col("recall").isNull(), "NOT_AVAILABLE").otherwise("MEASURED").alias("candidate_recall_status"), F.col("links").alias("total_true_links"),
         F.col("covered").alias("true_links_covered"), (F.col("links") - F.col("covered")).alias("true_links_missed"), F.col("entities").alias("s1_entities_with_truth"),
