@@ -96,8 +96,9 @@ def matches(docs: DataFrame, postings: DataFrame, phrases: DataFrame, asked: Dat
     """doc_id, text_key, hits (array of start, wid, phrase) of the documents that have any, exactly."""
     found = intersect(postings, asked).join(phrases.select("wid", "phrase"), "wid")
     found = shared.materialise(found.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "wid", "phrase")).alias("hits")), "found")
+    keys = shared.materialise(found.select("doc_id", "text_key"), "keys")  # few and thin, so that texts need no shuffle for them
     rows = shared.with_columns(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    joined, names = shared.by_row(rows, found, "inner")
+    joined, names = shared.by_row(shared.by_row(rows, keys, "left_semi")[0], found, "inner")
     joined = joined.select("doc_id", F.xxhash64("text").alias("text_key"), words(F.col("text")).alias("w"), F.col(names["hits"]).alias("hits"))
     exact = F.filter("hits", lambda h: F.slice("w", h["start"] + 1, F.size(h["phrase"])) == h["phrase"])
     return joined.select("doc_id", "text_key", exact.alias("hits")).filter(F.size("hits") > 0).dropDuplicates(["doc_id", "text_key"])
@@ -143,7 +144,7 @@ def near(docs: DataFrame, first: str, second: str, within: int) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that no window of the benchmark hits, with their columns."""
-    bad = decontaminate(docs, benchmark).filter("n_hit > 0").select("doc_id", "text_key")
+    bad = shared.materialise(decontaminate(docs, benchmark).filter("n_hit > 0").select("doc_id", "text_key"), "bad")
     return shared.by_row(docs, bad, "left_anti")[0]
 
 
