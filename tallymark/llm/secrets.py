@@ -136,7 +136,7 @@ def redact(docs: DataFrame, mask: str = "[secret]", **options) -> DataFrame:
     """
     found = classify(docs, **options).select("doc_id", "text_key", F.filter("spans", lambda s: s["live"]).alias("live_spans")).filter(F.size("live_spans") > 0)
     found = found.groupBy("doc_id", "text_key").agg(F.first("live_spans").alias("live_spans"))  # repeated rows have the same spans
-    joined, names = shared.by_row(docs, found, "left")
+    joined, names = shared.by_row(docs, shared.materialise(found, "redactions"), "left")
     spans = F.col(names["live_spans"])
 
     def merge(acc, s):
