@@ -347,7 +347,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, block_bytes: int = 4 << 2
     blocks = shared.materialise(rows.mapInArrow(write, "uid string, size long"), "block-list")
     total = blocks.agg(F.sum("size"), F.count(F.lit(1))).first()
     buckets, tasks = max(64, (total[0] or 0) // (8 << 20)), max(1, total[1])
-    merges = max(1, buckets // 4)  # tasks that compare names, of eight buckets each, four of either kind
+    merges = max(1, (total[0] or 0) // (32 << 20))  # tasks that compare names, of a fixed share of the text
     # one task a block, whatever the sizes of the rows that name them
     numbered = blocks.select("uid").repartition(tasks)
 
