@@ -64,7 +64,7 @@ def test_near_duplicates_in_hot_buckets(spark):
                 group = {k: new if g == old else g for k, g in group.items()}
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert 1 < len(set(group.values())) < 120
-    for hot, piece in ((near_duplicates.HOT, near_duplicates.PIECE), (4, 3), (1000, 5)):
+    for hot, piece in ((near_duplicates.HOT, 5), (4, 3)):
         assert {r.doc_id: r.component_id for r in near_duplicates.near_duplicates(docs, 3, 85, hot, piece).collect()} == group
 
 
