@@ -362,8 +362,6 @@ def remove_repeats(docs: DataFrame, length: int = 400, block_bytes: int = 4 << 2
 
     first = shared.materialise(_answers(numbered.mapInArrow(first_level, NAMES), 1, merges), "answers")
 
-    shared.release(spark)
-
     def starts(block, answers):
         """The remaining suffixes of a block."""
         places = block.bytes.sampled(length, v, cover)
@@ -390,8 +388,6 @@ def remove_repeats(docs: DataFrame, length: int = 400, block_bytes: int = 4 << 2
     # a number of partitions of its own, as little shuffled data stands for much work
     second = shared.materialise(_answers(first.repartition(tasks, "uid").groupBy("uid").applyInArrow(second_level, NAMES), 2, merges), "answers")
 
-    shared.release(spark)
-
     def ask(key, group):
         """What a block knows of its own, and the bytes that it sends to the keepers of its names."""
         fs, base = pafs.FileSystem.from_uri(path)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import tempfile
 import uuid
@@ -47,12 +46,6 @@ def discard(df: DataFrame) -> None:
     jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of plans that are gone; it waits for the driver's JVM to find them unreachable."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def with_columns(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns; extra ones, clashing or not, go before anything else."""
     return df.select(*[F.col(f"`{n}`") for n in names])
