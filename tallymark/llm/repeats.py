@@ -9,8 +9,8 @@ and j + d both lie in a difference cover modulo v (sizes by Colbourn and Ling).
 2. The remaining suffixes, unsampled ones too, get names of their first `length` bytes, are
    merged into ranges of names in the same way, and adjacent equal prefixes are repeats.
 
-3. Names are 64-bit codes (see shared.window_codes), so equal names only propose repeats.
-   The first block that has a name keeps it; the others send it the bytes, runs of adjacent
+3. Names are the leading bits of 64-bit codes (see shared.window_codes), as many as leave
+   few names equal by chance, and equal ones only propose repeats. The first block that has a name keeps it; the others send it the bytes, runs of adjacent
    windows as one string, and it compares them. Strings that differ from the keeper's are
    compared with each other. Only bytes that were found equal are removed.
 
@@ -25,8 +25,8 @@ bitmaps in the order of a block's sorted names.
 
 Passages of over 50 words are often shorter than 400 bytes. Documents that share one are
 found along with that, by the same two steps over words in place of bytes and a perfect
-difference set, and get the number of words covered; equal codes count as equal passages
-there, and nothing is removed for them.
+difference set, and get the number of words covered; equal 64-bit codes count as equal
+passages there, and nothing is removed for them.
 
 Null and empty texts have no bytes and lose none; long ones are whole. Repeated rows remove
 each other. An empty table gives no rows; extra columns go.
@@ -238,8 +238,8 @@ def first_equal(data: np.ndarray, places: np.ndarray, names: np.ndarray, length:
     return out
 
 
-def _send(uid: str, names: np.ndarray, buckets: int, texts: np.ndarray | None = None):
-    """Rows of NAMES: a block's distinct names, and which it has twice, by bucket.
+def _send(uid: str, names: np.ndarray, shift: int, buckets: int, texts: np.ndarray | None = None):
+    """Rows of NAMES: a block's distinct names, which lack the last shift bits, and which it has twice, by bucket.
 
     With texts, the text that each name is of, twice is in two of them; buckets are numbered on, as these are other names.
     """
@@ -252,7 +252,7 @@ def _send(uid: str, names: np.ndarray, buckets: int, texts: np.ndarray | None =
         at = np.flatnonzero(np.diff(names[order], prepend=~names[order[:1]]) != 0)
         every, of = names[order[at]], texts[order]
         twice = np.minimum.reduceat(of, at) != np.maximum.reduceat(of, at) if len(at) else np.zeros(0, bool)
-    cuts = np.searchsorted(bucket_of(every, buckets), np.arange(buckets + 1))
+    cuts = np.searchsorted(bucket_of(every << np.uint64(shift), buckets), np.arange(buckets + 1))
     start = 0 if texts is None else buckets
     rows = [(uid, start + b, int(z - a), pack(every[a:z]), np.packbits(twice[a:z]).tobytes()) for b, (a, z) in enumerate(zip(cuts[:-1], cuts[1:])) if z > a]
     for at in range(0, len(rows), 64):
@@ -347,6 +347,9 @@ def remove_repeats(docs: DataFrame, length: int = 400, block_bytes: int = 4 << 2
     blocks = shared.materialise(rows.mapInArrow(write, "uid string, size long"), "block-list")
     total = blocks.agg(F.sum("size"), F.count(F.lit(1))).first()
     buckets, tasks = max(64, (total[0] or 0) // (8 << 20)), max(1, total[1])
+    # of names that are no proposals but equal by chance there is one in 2 ** 10, and one in 2 ** 14 of those that bytes are sent for
+    bits = int(total[0] or 1).bit_length()
+    cut1, cut2 = max(0, 64 - bits - 10), max(0, 64 - bits - 14)
     merges = max(1, (total[0] or 0) // (32 << 20))  # tasks that compare names, of a fixed share of the text
     # one task a block, whatever the sizes of the rows that name them
     numbered = blocks.select("uid").repartition(tasks)
@@ -356,21 +359,21 @@ def remove_repeats(docs: DataFrame, length: int = 400, block_bytes: int = 4 << 2
         for batch in batches:
             for uid in batch.column("uid").to_pylist():
                 block = Block.read(fs, f"{base}/{uid}")
-                yield from _send(uid, block.bytes.names(block.bytes.sampled(length, v, cover), width), buckets)
+                yield from _send(uid, block.bytes.names(block.bytes.sampled(length, v, cover), width) >> np.uint64(cut1), cut1, buckets)
                 places = block.words.sampled(words, wv, word_cover)
-                yield from _send(uid, block.words.names(places, words - wv + 1), buckets, block.words.start[places])
+                yield from _send(uid, block.words.names(places, words - wv + 1) >> np.uint64(cut1), cut1, buckets, block.words.start[places])
 
     first = shared.materialise(_answers(numbered.mapInArrow(first_level, NAMES), 1, merges), "answers")
 
     def starts(block, answers):
         """The remaining suffixes of a block."""
         places = block.bytes.sampled(length, v, cover)
-        return block.bytes.near(places[_repeated(block.bytes.names(places, width), answers)], length, v)
+        return block.bytes.near(places[_repeated(block.bytes.names(places, width) >> np.uint64(cut1), answers)], length, v)
 
     def passages(block, answers):
         """The words of a block that may begin repeated passages."""
         places = block.words.sampled(words, wv, word_cover)
-        return block.words.near(places[_repeated(block.words.names(places, words - wv + 1), answers)], words, wv)
+        return block.words.near(places[_repeated(block.words.names(places, words - wv + 1) >> np.uint64(cut1), answers)], words, wv)
 
     def by_level(group, level, of_words=False):
         rows = zip(*(group.column(k).to_pylist() for k in ("level", "bucket", "n", "repeated", "keeper")))
@@ -380,8 +383,8 @@ def remove_repeats(docs: DataFrame, length: int = 400, block_bytes: int = 4 << 2
         fs, base = pafs.FileSystem.from_uri(path)
         block = Block.read(fs, f"{base}/{key[0].as_py()}")
         places = passages(block, by_level(group, 1, True))
-        sent = list(_send(key[0].as_py(), block.words.names(places, words), buckets, block.words.start[places]))
-        sent += _send(key[0].as_py(), block.bytes.names(starts(block, by_level(group, 1)), length), buckets)
+        sent = list(_send(key[0].as_py(), block.words.names(places, words), 0, buckets, block.words.start[places]))
+        sent += _send(key[0].as_py(), block.bytes.names(starts(block, by_level(group, 1)), length) >> np.uint64(cut2), cut2, buckets)
         empty = pa.schema([("uid", pa.string()), ("bucket", pa.int32()), ("n", pa.int32()), ("names", pa.binary()), ("twice", pa.binary())])
         return pa.Table.from_batches(sent, empty)
 
@@ -397,7 +400,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, block_bytes: int = 4 << 2
         places = places[_repeated(block.words.names(places, words), by_level(group, 2, True))]
         rows = [(uid, PASSAGE, uid, pack_runs(places), b"")] if len(places) else []
         places = starts(block, by_level(group, 1))
-        names = block.bytes.names(places, length)
+        names = block.bytes.names(places, length) >> np.uint64(cut2)
         left = _repeated(names, answers)
         places, names = places[left], names[left]
         if not len(places):
@@ -427,12 +430,12 @@ def remove_repeats(docs: DataFrame, length: int = 400, block_bytes: int = 4 << 2
             return _messages(out)
         block = Block.read(fs, f"{base}/{uid}")
         kept = np.concatenate([spread(*unpack_runs(runs)) for kind, _, runs, _ in rows if kind == KEPT])
-        kept_names = block.bytes.names(kept, length)
+        kept_names = block.bytes.names(kept, length) >> np.uint64(cut2)
         every, first = np.unique(kept_names, return_index=True)
         found, others, other_names = np.zeros(len(kept), bool), {}, set()
         for source, (begin, sizes), data in asked:
             places, at = spread(begin, sizes), spread(np.cumsum(sizes + length - 1) - sizes - length + 1, sizes)
-            names = shared.window_codes(shared.byte_sums(data), at, at + length)
+            names = shared.window_codes(shared.byte_sums(data), at, at + length) >> np.uint64(cut2)
             own = first[np.searchsorted(every, names)]
             same = equal_windows(data, at, block.data, kept[own], length)
             found[own[same]] = True
