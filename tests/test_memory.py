@@ -10,6 +10,7 @@ from tallymark.sources import tables
 
 QUERIES = [
     "candidate_recall",
+    "candidate_stats",
 ]
 
 
