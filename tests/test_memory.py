@@ -11,6 +11,7 @@ from tallymark.sources import tables
 QUERIES = [
     "candidate_recall",
     "candidate_stats",
+    "best_threshold",
 ]
 
 
