@@ -12,6 +12,7 @@ QUERIES = [
     "candidate_recall",
     "candidate_stats",
     "best_threshold",
+    "blocking_misses",
 ]
 
 
