@@ -13,6 +13,7 @@ QUERIES = [
     "candidate_stats",
     "best_threshold",
     "blocking_misses",
+    "candidate_output",
 ]
 
 
