@@ -14,6 +14,7 @@ QUERIES = [
     "best_threshold",
     "blocking_misses",
     "candidate_output",
+    "candidates_topk",
 ]
 
 
