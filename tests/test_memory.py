@@ -15,6 +15,7 @@ QUERIES = [
     "blocking_misses",
     "candidate_output",
     "candidates_topk",
+    "cap_sweep",
 ]
 
 
