@@ -16,6 +16,7 @@ QUERIES = [
     "candidate_output",
     "candidates_topk",
     "cap_sweep",
+    "coverage_report",
 ]
 
 
