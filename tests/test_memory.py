@@ -17,6 +17,7 @@ QUERIES = [
     "candidates_topk",
     "cap_sweep",
     "coverage_report",
+    "dataset_composition",
 ]
 
 
