@@ -18,6 +18,7 @@ QUERIES = [
     "cap_sweep",
     "coverage_report",
     "dataset_composition",
+    "entity_scores",
 ]
 
 
