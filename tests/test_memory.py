@@ -19,6 +19,7 @@ QUERIES = [
     "coverage_report",
     "dataset_composition",
     "entity_scores",
+    "error_fn",
 ]
 
 
