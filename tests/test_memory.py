@@ -20,6 +20,7 @@ QUERIES = [
     "dataset_composition",
     "entity_scores",
     "error_fn",
+    "error_fp",
 ]
 
 
