@@ -21,6 +21,7 @@ QUERIES = [
     "entity_scores",
     "error_fn",
     "error_fp",
+    "evaluate_at_threshold",
 ]
 
 
