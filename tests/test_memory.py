@@ -22,6 +22,7 @@ QUERIES = [
     "error_fn",
     "error_fp",
     "evaluate_at_threshold",
+    "features_all",
 ]
 
 
