@@ -23,6 +23,7 @@ QUERIES = [
     "error_fp",
     "evaluate_at_threshold",
     "features_all",
+    "features_fuzzy",
 ]
 
 
