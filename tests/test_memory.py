@@ -24,6 +24,7 @@ QUERIES = [
     "evaluate_at_threshold",
     "features_all",
     "features_fuzzy",
+    "features_native",
 ]
 
 
