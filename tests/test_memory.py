@@ -25,6 +25,7 @@ QUERIES = [
     "features_all",
     "features_fuzzy",
     "features_native",
+    "gbt_scores",
 ]
 
 
