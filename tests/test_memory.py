@@ -26,6 +26,7 @@ QUERIES = [
     "features_fuzzy",
     "features_native",
     "gbt_scores",
+    "hard_negatives",
 ]
 
 
