@@ -27,6 +27,7 @@ QUERIES = [
     "features_native",
     "gbt_scores",
     "hard_negatives",
+    "label_pairs",
 ]
 
 
