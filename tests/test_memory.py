@@ -28,6 +28,7 @@ QUERIES = [
     "gbt_scores",
     "hard_negatives",
     "label_pairs",
+    "linear_score",
 ]
 
 
