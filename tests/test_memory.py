@@ -29,6 +29,7 @@ QUERIES = [
     "hard_negatives",
     "label_pairs",
     "linear_score",
+    "macro_scores",
 ]
 
 
