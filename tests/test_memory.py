@@ -30,6 +30,7 @@ QUERIES = [
     "label_pairs",
     "linear_score",
     "macro_scores",
+    "matching_output",
 ]
 
 
