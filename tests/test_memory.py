@@ -31,6 +31,7 @@ QUERIES = [
     "linear_score",
     "macro_scores",
     "matching_output",
+    "matching_summary",
 ]
 
 
