@@ -32,6 +32,7 @@ QUERIES = [
     "macro_scores",
     "matching_output",
     "matching_summary",
+    "postprocess_guards",
 ]
 
 
