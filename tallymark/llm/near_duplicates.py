@@ -10,14 +10,14 @@ share a band of MinHash values are compared:
    the whole set, whose XOR never has more ones than the sets differ in; sets decide the rest.
 2. Components of these links. A bucket within one component needs no more. In others,
    classes of different components are compared if the triangle inequality of the Jaccard
-   distance, through the bucket's least class, allows a link: by bins of the distance to it.
-   Larger bins are cut into pieces of PIECE classes, compared piece by piece in tasks of
-   their own. Classes of buckets with over HOT members are compared only where they share a
-   second band, be it of a smaller bucket or of a hot one.
+   distance, through the bucket's least class, allows a link: by bins of the distance to it
+   (classes whose distance wasn't measured meet all bins). Larger bins are cut into pieces of
+   PIECE classes, compared piece by piece in tasks of their own. Of all these pairs only those
+   that share two bands count. So those of buckets with over HOT members are looked for by
+   both bands at once; that and the pieces change the work, and never which pairs are found.
 
-Bands have 8 values; there are as many that a pair at the threshold shares none with a chance
-of 1e-7 (51 for 0.85, 88 for 0.8), and only one, which a hot bucket asks more of, with one of
-2e-6. Sketches leave out linked pairs with less than 1e-7.
+Bands have 8 values; there are as many that a pair at the threshold shares fewer than two with
+a chance of 1e-7 (61 for 0.85, 105 for 0.8). Sketches leave out linked pairs with less than 1e-7.
 
 Shingles are compared by 64-bit codes (see shared.word_codes), and links that these show are
 confirmed on the words themselves; so are the classes of sets of up to FEW shingles, while
@@ -39,8 +39,8 @@ from pyspark.sql import functions as F
 
 from . import shared
 
-#: MinHash values of a band, bits of the sketches of samples and of whole sets, and the chance that linked sets share no band.
-ROWS, SKETCH_BITS, WHOLE_BITS, MISS = 8, 1024, 512, 1e-7
+#: MinHash values of a band, bits of the sketches of samples and of whole sets, and the chance that linked sets share fewer than two bands.
+ROWS, SKETCH_BITS, WHOLE_BITS, MISS = 8, 1280, 512, 1e-7
 #: Members of a bucket, and of a bin's piece, up to which they are compared in one go; pairs that share one copy of a set; shingles of a set whose words make its class.
 HOT, PIECE, COPIES, FEW = 8192, 2048, 64, 16
 _P, _Q = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
@@ -99,8 +99,11 @@ def digest(codes: np.ndarray, text: bytes, width: int) -> bytes | None:
 
 
 def band_count(percent: int) -> int:
-    """Bands with which sets at the threshold share none with a chance of MISS."""
-    return int(np.ceil(np.log(MISS) / np.log(1 - (percent / 100) ** ROWS)))
+    """Bands of which sets at the threshold share fewer than two with a chance of MISS."""
+    one, n = (percent / 100) ** ROWS, 2
+    while (1 - one) ** n + n * one * (1 - one) ** (n - 1) > MISS:
+        n += 1
+    return n
 
 
 def permutations(bands: int) -> tuple[np.ndarray, np.ndarray]:
@@ -288,27 +291,30 @@ def grouped(docs: DataFrame, width: int, percent: int, hot: int = HOT, piece: in
     mixed = open_.groupBy("band", "key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("size")).filter("x <> y").select("band", "key", "size")
     mixed = shared.materialise(mixed, "mixed")
     distance = measured.select(F.col("a").alias("leader"), F.col("b").alias("node"), (1 - F.col("shared") / F.col("total")).alias("d"))
-    # bins as wide as a link's distance: linked classes lie in the same or in neighbouring ones; beyond the second all are one
-    bin_ = F.when(F.col("node") == F.col("leader"), 0).otherwise(F.least(F.lit(2), F.floor(F.coalesce("d", F.lit(1.0)) / F.lit(far + 1e-9)))).cast("int")
+    # bins as wide as a link's distance: linked classes lie in the same or in neighbouring ones; beyond the second all are one, and those not measured are the last
+    bin_ = F.coalesce(F.least(F.lit(2), F.floor(F.col("d") / F.lit(far + 1e-9))), F.lit(3)).cast("int")
     small = open_.join(mixed.filter(F.col("size") <= hot), ["band", "key"]).join(distance, ["leader", "node"], "left").filter("node <> leader")
     places = small.select(F.xxhash64("band", "key").alias("place"), "node", "comp", bin_.alias("bin"), "size")
     if not (large := mixed.filter(F.col("size") > hot)).isEmpty():
-        # of a hot bucket's pairs those that share no second band are as good as none, and one of a smaller bucket is met there
+        # pairs whose second band is that of a smaller bucket are met there
         in_hot = open_.join(large, ["band", "key"]).select("node", "comp", "band", "key")
         other = in_hot.select("node", F.col("band").alias("band2"), F.col("key").alias("key2"))
         twice = in_hot.join(other, "node").filter("band < band2").select(F.xxhash64("band", "key", "band2", "key2").alias("place"), "node", "comp")
         twice = shared.materialise(twice, "hot")
         again = twice.groupBy("place").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("size")).filter("x <> y").select("place", "size")
-        places = places.unionByName(twice.join(shared.materialise(again, "hot-sizes"), "place").select("place", "node", "comp", F.lit(2).alias("bin"), "size"))
+        places = places.unionByName(twice.join(shared.materialise(again, "hot-sizes"), "place").select("place", "node", "comp", F.lit(3).alias("bin"), "size"))
     pieces = F.ceil(F.col("size") / piece).cast("int")
     placed = places.join(sketches, "node").select("place", "node", "comp", "bin", "sketch", pieces.alias("pieces"))
-    probes = placed.withColumn("bin", F.explode(F.when(F.col("bin") < 2, F.array(F.col("bin"), F.col("bin") + 1)).otherwise(F.array("bin"))))
+    near = F.when(F.col("bin") < 2, F.array(F.col("bin"), F.col("bin") + 1, F.lit(3))).when(F.col("bin") == 2, F.array(F.lit(2), F.lit(3))).otherwise(F.array(F.lit(3)))
+    probes = placed.withColumn("bin", F.explode(near))
     probes = probes.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
     other = placed.select("place", "bin", F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int").alias("piece"), F.col("node").alias("b"), F.col("comp").alias("comp_b"), F.col("sketch").alias("sketch_b"))
     # the sketches are compared within the join, which so gives only pairs that may be linked
     met = (F.col("comp") != F.col("comp_b")) & alike(F.col("sketch"), F.col("sketch_b"), percent)
     cross = probes.join(other, ["place", "bin", "piece"]).filter(met).select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
-    cross = shared.materialise(cross, "cross")
+    # the same for buckets of any size: two bands are shared
+    both = cross.join(classes.select(F.col("node").alias("a"), F.col("bands").alias("x")), "a").join(classes.select(F.col("node").alias("b"), F.col("bands").alias("y")), "b")
+    cross = shared.materialise(both.filter(F.size(F.filter(F.zip_with("x", "y", lambda x, y: x == y), lambda same: same)) >= 2).select("a", "b"), "cross")
     if not cross.isEmpty():
         met = shared.materialise(verify(cross, sets).filter(linked), "met")
         more = shared.materialise(confirm(met, sets, width, percent), "more")
