@@ -66,7 +66,7 @@ def run_train(spark: SparkSession, cfg: Config) -> None:
     for v in (c for c in features.COSINES if c in columns):
         features.fit_tfidf(corpus, *v.split("_tfidf_"), cfg.features.max_terms).write.mode("overwrite").parquet(f"{cfg.out}/tfidf/{v}")
     ranked = _ranked(spark, s1, pool, cfg, "train").join(parts, "s1")
-    found = labels.label(_candidates(ranked, cfg).drop("rn"), labels.links_of(truth))
+    found = labels.label(_candidates(ranked, cfg).drop("rn"), truth)
     held_truth = _kept(truth.join(parts.filter("part = 'validation'"), "s1", "left_semi"), f"{cfg.out}/validation_truth")
     before = ranked.filter("part = 'validation'")
     _json(blocking.recall_report(_candidates(before, cfg), held_truth, before), f"{cfg.out}/metrics/candidate_recall")
@@ -213,7 +213,7 @@ def run_cap_experiment(spark: SparkSession, cfg: Config, entities: int = 100, ot
     began = time.time()
     full = _kept(blocking.ranked(blocking.pairs(s1, pool, cfg.blocking.rules, cfg.blocking.max_block_size), s1, pool), f"{cfg.out}/cap_slice")
     seconds = time.time() - began
-    rows = _json(blocking.cap_sweep(full, labels.links_of(truth)).orderBy("k"), f"{cfg.out}/cap_experiment")
+    rows = _json(blocking.cap_sweep(full, truth).orderBy("k"), f"{cfg.out}/cap_experiment")
     tables.write_json(spark, {"seconds": seconds, "entities": s1.count(), "pool": pool.count()}, f"{cfg.out}/cap_experiment_run")
     reports.write_lines(spark, reports.cap_report(rows, seconds), f"{cfg.out}/reports/cap_experiment.md")
 
